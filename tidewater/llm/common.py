@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,14 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Where this package lies; Python workers look there too, wherever the driver was started.
+_HOME = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    env = spark.sparkContext.environment
+    if _HOME not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH", ""), _HOME]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

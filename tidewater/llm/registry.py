@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 from tidewater.llm.decontaminate import op10_winnowing
+from tidewater.llm.html_text import op9_line_blocks
+from tidewater.llm.langid import op3_rank_order
+from tidewater.llm.mixing import op5_entropy_balance
+from tidewater.llm.quality import op7_line_frequency
+from tidewater.llm.sharding import op6_hash_tree
 from tidewater.llm.simhash import op1_simhash
+from tidewater.llm.suffix_tree import op8_suffix_tree
 from tidewater.llm.token_store import op2_token_store
 from tidewater.llm.tokens import op4_lengths
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_token_store, op4_lengths, op10_winnowing)}
+_ALL = (op1_simhash, op2_token_store, op3_rank_order, op4_lengths, op5_entropy_balance, op6_hash_tree, op7_line_frequency, op8_suffix_tree, op9_line_blocks, op10_winnowing)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {}
