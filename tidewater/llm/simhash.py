@@ -43,17 +43,18 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of each row, fp as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns named in carry, and fp (as a signed long) of each row."""
+    own = ["doc_id", *carry]
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1)
+            texts = batch.column(len(own))
             found = np.fromiter((fingerprint(texts[i].as_py(), shingle) for i in range(len(texts))), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(own)], pa.array(found.view(np.int64))], [*own, "fp"])
 
-    kind = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("fp", T.LongType())])
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, kind)
+    kind = T.StructType([*(docs.schema[c] for c in own), T.StructField("fp", T.LongType())])
+    return docs.select(*own, F.col("text").cast("binary").alias("__text")).mapInArrow(run, kind)
 
 
 def ball(radius: int) -> list[int]:
@@ -78,12 +79,12 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
 
 
 def classes(prints: DataFrame, radius: int = 2) -> DataFrame:
-    """(fp, component_id) of each distinct fingerprint of (doc_id, fp); component_id: the smallest doc_id reachable."""
+    """(fp, root, component_id) of each distinct fingerprint; root names its component, component_id is the smallest doc_id in it."""
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(distinct.select("fp"), radius))
     named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return named.join(least, "root").select("fp", "component_id")
+    return named.join(least, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
