@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import pieces, table
+from tidewater.llm.common import cut, pieces, table
 
 _RAGGED = re.compile(r"\s | \s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -105,6 +105,7 @@ def length_histogram(counts: DataFrame, block: int = 1024) -> DataFrame:
     of length <= L, so the q-quantile is the first L with share_at_most >= q; total_docs and
     total_tokens: of all rows. Sums run within blocks of lengths and over block totals.
     """
+    counts = cut(counts)  # read more than once below
     h = counts.withColumn("block", F.floor(F.col("length") / block)).withColumn("tokens", F.col("length") * F.col("n_docs"))
     totals = h.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
