@@ -6,8 +6,9 @@ import difflib
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-FENCE_TAIL = "\n```"
+_TEXTS = T.ArrayType(T.StringType())
 
 
 def unified(buggy: str | None, fixed: str | None, name: str = "aie_source", context: int = 3) -> str:
@@ -72,31 +73,31 @@ def crop(buggy: str | None, fixed: str | None, window: int = 20, most_chars: int
     return piece if len(piece) < most_chars or len(piece) < most_share * len(buggy or "") else None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unified_diff(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([unified(x, y) for x, y in zip(a, b)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity(x, y) for x, y in zip(a, b)])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def n_changed_lines(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([changed_lines(x, y) for x, y in zip(a, b)])
 
 
-@F.pandas_udf("struct<added:array<string>,gone:array<string>>")
+@F.pandas_udf(T.StructType([T.StructField("added", _TEXTS), T.StructField("gone", _TEXTS)]))
 def anchor_lines(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([anchors(x, y) for x, y in zip(a, b)], columns=["added", "gone"])
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def fix_is_proven(buggy: pd.Series, fixed: pd.Series, answer: pd.Series) -> pd.Series:
     return pd.Series([proof(*x) for x in zip(buggy, fixed, answer)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def cropped(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([crop(x, y) for x, y in zip(a, b)])

@@ -13,6 +13,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.functions.text import normalized
 
@@ -139,7 +140,7 @@ def slugs_for(artifact_type: str, interfaces: list[str]) -> list[str]:
     return [s for s, k in KINDS.items() if k in wanted]
 
 
-@F.pandas_udf("array<struct<bug_type:string,buggy:string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("bug_type", T.StringType()), T.StructField("buggy", T.StringType())])))
 def _apply(code: pd.Series, artifact: pd.Series, interfaces: pd.Series) -> pd.Series:
     out = []
     for c, a, i in zip(code, artifact, interfaces):
@@ -160,7 +161,7 @@ def mutations(df: DataFrame, code: str, artifact: str, interfaces: str, most: in
 def mutate(df: DataFrame, code: str, slug: str) -> DataFrame:
     """df with `buggy`: the code edited as its slug says, null for unknown slugs and where nothing fits."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def run(c: pd.Series, s: pd.Series) -> pd.Series:
         return pd.Series([REGISTRY[y](x) if x and y in REGISTRY else None for x, y in zip(c, s)], dtype=object)
 

@@ -23,16 +23,16 @@ def or_number(column: Column, default) -> Column:
 
 def strip(column: Column) -> Column:
     """Without white space (of any script) at both ends."""
-    return F.regexp_replace(column, r"(?U)\A\s+|\s+\z", "")
+    return F.regexp_replace(column, r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
 
 
 def strip_right(column: Column) -> Column:
-    return F.regexp_replace(column, r"(?U)\s+\z", "")
+    return F.regexp_replace(column, r"(?U)[\s\x1c-\x1f]+\z", "")
 
 
 def one_space(column: Column) -> Column:
     """Each run of white space as one space."""
-    return F.regexp_replace(column, r"(?U)\s+", " ")
+    return F.regexp_replace(column, r"(?U)[\s\x1c-\x1f]+", " ")
 
 
 def lines(column: Column) -> Column:
@@ -106,24 +106,10 @@ def json_text(column: Column, ascii_only: bool = False) -> Column:
     c = F.replace(F.replace(column, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     for raw, short in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f")):
         c = F.replace(c, F.lit(raw), F.lit(short))
-    chars = F.split(c, "")
-
-    def unit(x: Column) -> Column:
-        return F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(x), 4, "0")))
-
-    def escaped(x: Column) -> Column:
-        point = F.conv(F.hex(F.encode(x, "UTF-32BE")), 16, 10).cast("long")
-        above = point - 0x10000
-        pair = F.concat(unit(F.lit(0xD800) + F.shiftright(above, 10)), unit(F.lit(0xDC00) + above % 1024))
-        wide = F.when(point >= 0x10000, pair).otherwise(unit(point))
-        out = F.when((x == "") | x.isNull(), F.lit("")).when(point < 32, unit(point))
-        if ascii_only:
-            out = out.when(point > 126, F.when(point == 127, x).otherwise(wide))
-        return out.otherwise(x)
-
-    needs = c.rlike(r"[\x00-\x1f]" if not ascii_only else r"[\x00-\x1f]|[^\x00-\x7f]")
-    c = F.when(needs, F.array_join(F.transform(chars, escaped), "")).otherwise(c)
-    return F.concat(F.lit('"'), c, F.lit('"'))
+    bad = r"[\x00-\x1f]" if not ascii_only else r"[^\x20-\x7e]"
+    units = lambda x: F.regexp_replace(F.lower(F.hex(F.encode(x, "UTF-16BE"))), "(.{4})", r"\\u$1")
+    escaped = F.array_join(F.transform(F.split(c, ""), lambda x: F.when(x.rlike(bad), units(x)).otherwise(x)), "")
+    return F.concat(F.lit('"'), F.when(c.rlike(bad), escaped).otherwise(c), F.lit('"'))
 
 
 def canonical_json(ascii_only: bool = False, **columns: Column) -> Column:

@@ -49,7 +49,7 @@ def cap_share(df: DataFrame, group: list[str], order: list, share: float) -> Dat
 def round_robin(df: DataFrame, tier: str, kind: str, order: list, shares: dict[str, float], default: float = 1.0) -> DataFrame:
     """For each tier at most int(total * share) rows, taken in turns from its kinds in the order they are first met, and one of each kind at least."""
     total = df.agg(F.count("*").alias("__total"))
-    share = F.coalesce(F.create_map(*[x for k, v in shares.items() for x in (F.lit(k), F.lit(v))])[F.col(tier)], F.lit(default))
+    share = F.coalesce(*[F.when(F.col(tier) == k, F.lit(float(v))) for k, v in shares.items()], F.lit(float(default)))
     firsts = df.groupBy(tier, kind).agg(F.min(F.struct(*order)).alias("__first"))
     d = ranked(df, [tier, kind], order, "__q").join(firsts, (df[tier].eqNullSafe(firsts[tier])) & (df[kind].eqNullSafe(firsts[kind]))).drop(firsts[tier]).drop(firsts[kind])
     d = ranked(d, [tier], ["__q", "__first"], "__at").join(F.broadcast(total))  # one row

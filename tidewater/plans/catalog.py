@@ -106,8 +106,8 @@ _TIER = {"en": 0.20, "de": 0.10, "fr": 0.05, "es": 0.02}
 @query(
     """with s as (select *, (select count(*) from documents) as total, case lang when 'en' then 0.20 when 'de' then 0.10 when 'fr' then 0.05 else 0.02 end as share from documents),
     f as (select *, row_number() over (partition by lang, source order by doc_id) as q, min(doc_id) over (partition by lang, source) as first from s),
-    a as (select *, row_number() over (partition by lang order by q, first) as at from f)
-    select doc_id, lang, source from a where at <= floor(total * share) or q = 1"""
+    a as (select *, row_number() over (partition by lang order by q, first) as nr from f)
+    select doc_id, lang, source from a where nr <= floor(total * share) or q = 1"""
 )
 def tier_round_robin(spark, d):
     return selection.round_robin(_docs(spark, d).select("doc_id", "lang", "source"), "lang", "source", ["doc_id"], _TIER, 0.02)
@@ -352,7 +352,7 @@ def index_percentiles(spark, d):
 _LABELS = ("License", "reserved", "http", "@", "!!")
 
 
-@query("select label, count(*)::bigint as n from (select unnest(list_filter(['License', 'reserved', 'http', '@', '!!'], w -> contains(text, w))) as label from documents) group by 1")
+@query("select label, count(*)::bigint as n from (select unnest(list_filter(['License', 'reserved', 'http', '@', '!!'], lambda w: contains(text, w))) as label from documents) group by 1")
 def label_coverage(spark, d):
     found = F.filter(F.array(*[F.lit(w) for w in _LABELS]), lambda w: F.contains("text", w))
     return reports.label_coverage(_docs(spark, d).withColumn("labels", found), "labels")
@@ -468,8 +468,8 @@ def identity_hashes(spark, d):
 
 
 @query(
-    """with l as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), x -> rtrim(x)), x -> trim(x) <> '') as ls from documents)
-    select doc_id, len(ls)::bigint as n_lines, array_to_string(case when len(list_filter(ls, x -> regexp_matches(x, '(?i)\\b(error|fatal|undefined|undeclared)\\b'))) > 0 then list_filter(ls, x -> regexp_matches(x, '(?i)\\b(error|fatal|undefined|undeclared)\\b'))[1:3] else ls[1:3] end, chr(10)) as excerpt from l"""
+    """with l as (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: rtrim(x)), lambda x: trim(x) <> '') as ls from documents)
+    select doc_id, len(ls)::bigint as n_lines, array_to_string(case when len(list_filter(ls, lambda x: regexp_matches(x, '(?i)\\b(error|fatal|undefined|undeclared)\\b'))) > 0 then list_filter(ls, lambda x: regexp_matches(x, '(?i)\\b(error|fatal|undefined|undeclared)\\b'))[1:3] else ls[1:3] end, chr(10)) as excerpt from l"""
 )
 def log_excerpts(spark, d):
     kept = F.filter(F.transform(X.lines(F.col("text")), X.strip_right), lambda x: X.strip(x) != "")
@@ -492,7 +492,7 @@ def error_classes(spark, d):
 
 @query(
     """with c as (select page_id, html as a, regexp_replace(html, '[()]', '', 'g') as b from pages), s as (select page_id, a, b, length(regexp_replace(a, '[^\\[\\](){}]', '', 'g')) as n from c)
-    select page_id, list_filter(['buggy_too_short', 'correct_too_short'], x -> case x when 'buggy_too_short' then length(a) < 2000 else length(b) < 2000 end) as reasons from s"""
+    select page_id, list_filter(['buggy_too_short', 'correct_too_short'], lambda x: case x when 'buggy_too_short' then length(a) < 2000 else length(b) < 2000 end) as reasons from s"""
 )
 def whole_code_lengths(spark, d):
     p = _t(spark, d, "pages").select("page_id", F.col("html").alias("a"), F.regexp_replace("html", "[()]", "").alias("b"))
@@ -500,7 +500,7 @@ def whole_code_lengths(spark, d):
     return p.select("page_id", F.filter(reasons, lambda r: F.endswith(r, F.lit("too_short"))).alias("reasons"))
 
 
-@query("select doc_id, list_sort(list_distinct(list_filter(string_split(lower(lang || ',' || source), ','), w -> contains(lower(text), w)))) as hits, contains(text, 'the') and contains(text, 'of') as both from documents")
+@query("select doc_id, list_sort(list_distinct(list_filter(string_split(lower(lang || ',' || source), ','), lambda w: contains(lower(text), w)))) as hits, contains(text, 'the') and contains(text, 'of') as both from documents")
 def topic_relevance(spark, d):
     words = F.split(F.lower(F.concat_ws(",", "lang", "source")), ",")
     return _docs(spark, d).select("doc_id", F.sort_array(F.array_distinct(F.filter(words, lambda w: F.contains(F.lower("text"), w)))).alias("hits"), (F.contains("text", F.lit("the")) & F.contains("text", F.lit("of"))).alias("both"))
@@ -548,8 +548,7 @@ def fix_proofs(spark, d):
 
 @query()
 def pair_screen(spark, d):
-    p = _turn_pairs(spark, d).select("conv_id", "turn", F.substring("buggy", 1, 400).alias("buggy"), F.substring("correct", 1, 400).alias("correct"))
-    return rows.screened(p).select("conv_id", "turn", "similarity", "band")
+    return rows.screened(_turn_pairs(spark, d)).select("conv_id", "turn", "similarity", "band")
 
 
 @query()

@@ -11,7 +11,7 @@ from tidewater.functions.text import strip
 from tidewater.operators.selection import first_of, numbered, ranked
 
 #: A row of the instruction data set; keys outside it are kept in `extras`.
-INSTRUCTION = T._parse_datatype_string(
+INSTRUCTION = (
     "instruction string, context string, response string, metadata struct<split:string,variant:string,group_id:string,source_group:string,source:string,"
     "source_repo:string,source_path:string,type:string,category:string,bug_type:string,bug_label:string,difficulty_tier:string,synthetic:boolean,slug:string,"
     "variant_idx:int,source_id:string,v4_bucket:string,v5_bucket:string,compile_ok:boolean,wsl_compile_ok:boolean,error_class:string,response_format:string>"
@@ -64,7 +64,7 @@ def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
     return _text_lines(spark, path).where((strip(F.col("raw")) != "") & F.try_parse_json("raw").isNull()).select("row_index", "raw")
 
 
-def with_extras(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def with_extras(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Rows with every key outside the schema kept in `extras` (variant)."""
     raw = spark.read.text(path).where(strip(F.col("value")) != "")
     return raw.select(F.from_json("value", schema).alias("row"), F.try_parse_json("value").alias("extras")).select("row.*", "extras")
