@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions.text import strip_right
+
 
 def with_retry(call: Callable[[dict], dict], tries: int = 4, delay: float = 1.0, busy: tuple[str, ...] = ("Throttling", "TooManyRequests", "429")) -> Callable[[dict], dict]:
     """The call, repeated with doubled waits while the service says it is busy."""
@@ -67,4 +69,4 @@ def chat_rows(df: DataFrame, system: str, user: str, assistant: str) -> DataFram
 def prompt_text(df: DataFrame) -> DataFrame:
     """df with `text` in the instruction, context, response layout."""
     part = lambda title, c: F.concat(F.lit(f"### {title}\n"), F.coalesce(F.col(c), F.lit("")), F.lit("\n\n"))
-    return df.withColumn("text", F.rtrim(F.concat(part("Instruction", "instruction"), part("Context", "context"), part("Response", "response"))))
+    return df.withColumn("text", strip_right(F.concat(part("Instruction", "instruction"), part("Context", "context"), part("Response", "response"))))

@@ -21,8 +21,8 @@ INSTRUCTION = (
 def source_tree(spark: SparkSession, path: str, suffixes: tuple[str, ...] = (".cc", ".cpp", ".h", ".hpp")) -> DataFrame:
     """(path, code) of every file below path with one of the suffixes; the files' names are filtered before they are read."""
     glob = "*{" + ",".join(suffixes) + "}"
-    found = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path)
-    return found.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("code"))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return found.select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("code"))
 
 
 def _text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -112,7 +112,7 @@ def repository_blobs(trees: DataFrame, blobs: DataFrame, suffixes: tuple[str, ..
     entry = trees.select("repo", "branch", F.explode("tree").alias("e")).select("repo", "branch", "e.*").where((F.col("type") == "blob") & (F.coalesce("size", F.lit(0)) <= most_bytes))
     entry = entry.where(F.lower("path").rlike("(?:" + "|".join(s.replace(".", r"\.") for s in suffixes) + r")\z"))
     met = entry.withColumn("key", F.sha2("url", 256)).join(blobs, "key")
-    return met.select("repo", "branch", "path", "sha", F.decode(F.unbase64("content"), "UTF-8").alias("code"))
+    return met.select("repo", "branch", "path", "sha", F.make_valid_utf8(F.unbase64("content").cast("string")).alias("code"))
 
 
 def vetted_repositories(files: DataFrame, least: int = 3) -> DataFrame:
