@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import cut, pieces, table
 
-_RAGGED = re.compile(r"\s | \s")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Tokenizers by path, so that all tasks of a worker share what it remembers.
 _ENCODERS: dict[str, Encoder] = {}
@@ -37,7 +37,7 @@ def default_tokenizer() -> str:
 class Encoder:
     """Ids of texts as little-endian bytes, two a token if the vocabulary allows it, else four."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -46,6 +46,7 @@ class Encoder:
         self.width = array(self.kind).itemsize
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}  # what was known when `later` was last full
         self.most = most
 
     @classmethod
@@ -54,32 +55,37 @@ class Encoder:
             _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
 
-    def _learn(self, known: dict[str, bytes], new: set[str], lead: str) -> None:
-        new = new.difference(known)
-        if len(known) + len(new) > self.most:
-            known.clear()
-        order = list(new)
-        for at in range(0, len(order), 10_000):
-            part = order[at : at + 10_000]
+    def _learn(self, known: dict[str, bytes], new: list[str], lead: str) -> None:
+        for at in range(0, len(new), 10_000):
+            part = new[at : at + 10_000]
             for text, found in zip(part, self.tokenizer.encode_batch_fast([lead + x for x in part], add_special_tokens=False)):
                 known[text] = array(self.kind, found.ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; texts of a call should be a few MB together."""
-        cut = [(_CUT.split(t) if _RAGGED.search(t) else t.split(" ")) if t else [] for t in texts]
-        heads = {x[0] for x in cut if x}
-        self._learn(self.first, heads, "")
-        rest: set[str] = set()
+        cut = [_cut(t) if t else [] for t in texts]
+        if len(self.first) > self.most // 10:
+            self.first.clear()
+        self._learn(self.first, list({x[0] for x in cut if x}.difference(self.first)), "")
+        asked: set[str] = set()
         for x in cut:
-            rest.update(x[1:])
-        if rest.difference(self.later):
-            if len(self.later) + len(rest) > self.most:
-                self.later.clear()
-            self._learn(self.later, rest, " ")
+            asked.update(x[1:])
+        new = asked.difference(self.later)
+        if len(self.later) + len(new) > self.most // 2:
+            self.before, self.later, new = self.later, {}, asked
+        self.later.update((x, self.before[x]) for x in new if x in self.before)
+        self._learn(self.later, [x for x in new if x not in self.before], " ")
         first, get = self.first, self.later.__getitem__
         return [first[x[0]] + b"".join(map(get, x[1:])) if x else b"" for x in cut]
 
 
+def _cut(text: str) -> list[str]:
+    """The pieces between single spaces that stand between characters that are no white space."""
+    if "  " in text or "\n " in text or " \n" in text or _OTHER_SPACE.search(text):
+        return _CUT.split(text)
+    return text.split(" ")
+
+
 def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """(length, n_docs): how many rows have each encoded length, summed in every task before the shuffle."""
     path = tokenizer or default_tokenizer()
