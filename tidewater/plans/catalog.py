@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import code as C
 from tidewater.functions import diffs, mutators, recipes
+from tidewater.functions import screens as S
 from tidewater.functions import text as X
 from tidewater.operators import merge, reports, rows, selection
 from tidewater.sources import clients, files
@@ -600,3 +601,67 @@ def diff_build(spark, d):
     p = _turn_pairs(spark, d).select(F.sha1(F.concat_ws(":", "conv_id", "turn")).alias("source_id"), "buggy", "correct", F.lit("kernel.cc:3:1: error: no member named 'mac9' in namespace 'aie'").alias("log"))
     built = rows.v5_rows(p, ["Fix the build.", "Return a unified diff.", "Repair the kernel."])
     return rows.sanitized(built, ("mac9", "mul9")).select("source_id", "instruction", "context", "response", "split")
+
+
+# ---- detectors, gates and descriptions
+
+_WORDS = {"fir_filter": ("fir", "tap", "mac"), "sorting": ("sort", "order"), "legal": ("license", "reserved"), "doppler": ("doppler",)}
+_HITS = ", ".join(f"case when {' or '.join(f'''contains(lower(text), '{w}')''' for w in ws)} then '{k}' end" for k, ws in _WORDS.items())
+
+
+@query(f"select doc_id, case when len(f) > 0 then f else ['generic_aie'] end as patterns from (select doc_id, list_filter([{_HITS}], lambda x: x is not null) as f from documents)")
+def detected_patterns(spark, d):
+    return _docs(spark, d).select("doc_id", S.compute_patterns(F.col("text"), _WORDS).alias("patterns"))
+
+
+@query("select label, count(*)::bigint as n from (select unnest(list_filter(['int8', 'int16', 'float', 'est', 'un'], lambda w: contains(lower(text), w))) as label from documents) group by 1")
+def data_type_coverage(spark, d):
+    found = S.data_types(F.col("text"), ("int8", "int16", "float", "est", "un"))
+    return reports.label_coverage(_docs(spark, d).select(F.filter(found, lambda x: x != "unknown").alias("t")), "t")
+
+
+@query(
+    """with p as (select page_id, replace(lower(url), 'https://', '') as path from pages)
+    select page_id, regexp_matches(path, '\\.(html|htm)$') as candidate, regexp_matches(path, '(^|/)tests?/') or contains(path, 'buggy') as skipped from p"""
+)
+def path_screens(spark, d):
+    p = _t(spark, d, "pages").select("page_id", F.replace(F.lower("url"), F.lit("https://"), F.lit("")).alias("path"))
+    skipped = F.col("path").rlike("(?:^|/)tests?/") | F.contains("path", F.lit("buggy"))
+    return p.select("page_id", S.path_candidate(F.col("path"), suffixes=(".html", ".htm")).alias("candidate"), skipped.alias("skipped"))
+
+
+@query("select source as repo, count(*)::bigint as n_files from documents where n_chars < 500 group by 1 having n_files >= 3")
+def vetted_sources(spark, d):
+    return files.vetted_repositories(_docs(spark, d).where("n_chars < 500").select(F.col("source").alias("repo")))
+
+
+@query(
+    """with p as (select doc_id, source || ' idiot' as bad, text from documents)
+    select doc_id, not contains(text, 'AKIA') and not len(list_filter(string_split(lower(text), chr(10)), lambda x: contains(x, 'stupid') or contains(x, 'released under'))) > 0 as ok from p"""
+)
+def quality_gate(spark, d):
+    return _docs(spark, d).select("doc_id", S.quality_gate(F.col("text"), F.lit(""), ("AKIA",), ("stupid", "Released under")).alias("ok"))
+
+
+@query("select o_orderkey, (o_orderkey % 4)::bigint as a, (o_orderkey // 4 % 3)::bigint as b, (o_orderkey // 12 % 5)::bigint as c from orders")
+def prompt_axes(spark, d):
+    return _t(spark, d, "orders").select("o_orderkey", S.axes(F.col("o_orderkey"), {"a": 4, "b": 3, "c": 5}).alias("x")).select("o_orderkey", "x.a", "x.b", "x.c")
+
+
+@query("select doc_id, len(string_split(text, chr(10)))::bigint as n_lines, nullif(regexp_extract(text, '\\b(?:in_iter|buf|acc|window|stream)[A-Za-z0-9_]*', 0), '') as identifier from documents")
+def text_anchors(spark, d):
+    a = S.code_anchors(F.col("text"))
+    return _docs(spark, d).select("doc_id", a["n_lines"].cast("long").alias("n_lines"), F.nullif(F.regexp_extract("text", r"\b(?:in_iter|buf|acc|window|stream)[A-Za-z0-9_]*", 0), F.lit("")).alias("identifier"))
+
+
+@query()
+def project_gates(spark, d):
+    """Every part's name as a project of two files, through the structure gate."""
+    code = F.concat(F.lit("// FILE: graph.h\n" + recipes.GRAPH + "// FILE: kernels/k.cc\n" + recipes.KERNEL + "// "), "p_name")
+    return _t(spark, d, "part").select("p_partkey", S.project_gate(code).alias("reasons"))
+
+
+@query()
+def graph_descriptions(spark, d):
+    code = F.concat(F.lit(recipes.GRAPH), F.lit("// "), F.col("p_name"))
+    return _t(spark, d, "part").select("p_partkey", S.graph_ports(code).alias("ports"), S.buffers(code).alias("buffers"), S.constraint_flags(code, F.lit("graph_type"), F.array(F.lit("PLIO")), F.array().cast("array<string>")).alias("constraints"))
