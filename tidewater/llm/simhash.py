@@ -71,7 +71,9 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     """
     outer = radius - radius // 2
     inner = len(ball(radius // 2))
-    spread = distinct.select("fp", F.posexplode(F.array(*[F.lit(m) for m in ball(outer)])).alias("k", "mask"))
+    # Each row becomes many, so the rows are dealt to as many tasks as a shuffle has; small partitions would be merged otherwise.
+    dealt = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    spread = dealt.select("fp", F.posexplode(F.array(*[F.lit(m) for m in ball(outer)])).alias("k", "mask"))
     met = spread.select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), (F.col("k") < inner).alias("near"))
     centre = F.min(F.when(F.col("near"), F.col("fp"))).over(Window.partitionBy("variant"))
     pairs = met.select("fp", centre.alias("centre")).where("centre is not null and centre <> fp")
