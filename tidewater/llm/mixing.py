@@ -95,7 +95,7 @@ def _copies_by_size(histogram: DataFrame, goals: DataFrame, ceiling: float, corr
     return h.select("source", "size", "n", "base", "extra")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, ceiling: int = 2, carry: tuple[str, ...] = (), run_rows: int = 4000) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, ceiling: int = 2, carry: tuple[str, ...] = (), run_rows: int = 500) -> DataFrame:
     """doc_id, size, source_size, target, copies, taken of each row, and the columns named in carry."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     draw = F.xxhash64("doc_id", F.coalesce("text", F.lit("")), *carry)
