@@ -36,7 +36,7 @@ _ROLES = frozenset("navigation banner contentinfo complementary search form dial
 _NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|adbox|banner|sponsor(?:ed)?|promo(?:tion)?|nav|navbar|navigation|menu|topbar|breadcrumbs?"
     r"|sidebar|rail|footer|masthead|cookies?|cookiebar|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|paywall"
-    r"|share|sharing|social|related|recommended|widget|comments?|commentlist|comment-list|disqus|repl(?:y|ies)|respond|discussion|form|search|toolbar|pagination|pager|skip)(?:$|[\s_-])"
+    r"|share|sharing|social|related|recommended|widget|comments?|commentlist|comment-list|disqus|repl(?:y|ies)|respond|discussion|search|toolbar|pagination|pager|skip)(?:$|[\s_-])"
 )
 _HEADERS = re.compile(r"(?:^|[\s_-])(?:header|topbar|site-title)(?:$|[\s_-])")
 _UNLESS = re.compile(r"(?:no|has|with|without)[_-]\w+")
