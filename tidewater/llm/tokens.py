@@ -23,6 +23,11 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import cut, pieces, table
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
+_LATIN = re.compile("[A-Za-z\u00c0-\u024f]+").fullmatch
+#: Letters as the characters that byte-level vocabularies write for their UTF-8 bytes: printable bytes as themselves, the others from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_AS_BYTES = {c: "".join(_BYTES[b] for b in chr(c).encode()) for c in range(0xC0, 0x250)}
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Tokenizers by path, so that all tasks of a worker share what it remembers.
 _ENCODERS: dict[str, Encoder] = {}
@@ -48,6 +53,10 @@ class Encoder:
         self.later: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}  # what was known when `later` was last full
         self.most = most
+        # Only a byte-level model whose words begin with the space's stand-in takes the short way.
+        known_way = "ByteLevel" in type(self.tokenizer.pre_tokenizer).__name__ and type(self.tokenizer.model).__name__ == "BPE" and self.tokenizer.normalizer is None
+        self.marks = {m: array(self.kind, self.tokenizer.encode(m, add_special_tokens=False).ids).tobytes() for m in ".,"} if known_way else {}
+        self.words = known_way
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -61,6 +70,22 @@ class Encoder:
             for text, found in zip(part, self.tokenizer.encode_batch_fast([lead + x for x in part], add_special_tokens=False)):
                 known[text] = array(self.kind, found.ids).tobytes()
 
+    def _learn_words(self, new: list[str]) -> None:
+        """Pieces of Latin letters, with or without a mark at the end, are one pre-token (and the mark's): the library's model alone gives their ids."""
+        known, before, merge, rest = self.later, self.before, self.tokenizer.model.tokenize, []
+        for piece in new:
+            mark = self.marks.get(piece[-1:])
+            word = piece[:-1] if mark else piece
+            if not _LATIN(word) or not word.isalpha():
+                rest.append(piece)
+                continue
+            ids = known.get(word) or before.get(word)
+            if ids is None:
+                ids = array(self.kind, [t.id for t in merge("\u0120" + (word if word.isascii() else word.translate(_AS_BYTES)))]).tobytes()
+                known[word] = ids
+            known[piece] = ids + mark if mark else ids
+        self._learn(known, rest, " ")
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; texts of a call should be a few MB together."""
         cut = [_cut(t) if t else [] for t in texts]
@@ -74,7 +99,8 @@ class Encoder:
         if len(self.later) + len(new) > self.most // 2:
             self.before, self.later, new = self.later, {}, asked
         self.later.update((x, self.before[x]) for x in new if x in self.before)
-        self._learn(self.later, [x for x in new if x not in self.before], " ")
+        unknown = [x for x in new if x not in self.before]
+        self._learn_words(unknown) if self.words else self._learn(self.later, unknown, " ")
         first, get = self.first, self.later.__getitem__
         return [first[x[0]] + b"".join(map(get, x[1:])) if x else b"" for x in cut]
 
