@@ -168,3 +168,12 @@ def test_prompts(spark):
     assert clients.prompt_text(df).first()["text"] == "### Instruction\ni\n\n### Context\n\n\n### Response\nr"
     assert [m["role"] for m in clients.chat_rows(df, "instruction", "context", "response").first()["messages"]] == ["system", "user", "assistant"]
     assert isinstance(clients.chat_rows(df, "instruction", "context", "response").toPandas(), pd.DataFrame) and C.ERROR_SEPARATOR.startswith("\n\n")
+
+
+def test_chat_examples_and_verdicts(spark):
+    shape = "system string, user struct<prompt:string,goal:string,context:string,artifacts:map<string,string>,constraints:array<string>>, assistant struct<response:string>"
+    df = spark.createDataFrame([("s", ("p", "", None, {"b.cc": "int b;", "a.txt": "t"}, ["one", "two"]), ("r",)), (None, (None, "g", "c", None, None), (None,))], shape)
+    found = [[m["content"] for m in r["messages"]] for r in rows.chat_example(df).collect()]
+    assert found[0] == ["s", "p\n\nArtifacts:\na.txt:\n```text\nt\n```\n\nb.cc:\n```cpp\nint b;\n```\n\nConstraints:\n- one\n- two", "r"] and found[1] == [None, "Goal:\ng\n\nContext:\nc", None]
+    results = spark.createDataFrame([(True, True, True, False, True), (True, False, True, True, True), (None, True, True, False, True), (True, False, True, False, True), (True, False, False, False, False), (True, False, True, False, False)], "proven boolean, compiled boolean, structure_ok boolean, dsl_only boolean, has_compiler boolean")
+    assert [(r["verdict"], r["passed"]) for r in rows.combined_verdict(results).collect()] == [("logical_likely", True), ("dsl_unresolved_but_plausible", True), ("logical_likely", False), ("syntax_error", False), ("structure_broken", False), ("structure_only_no_compiler", True)]

@@ -187,3 +187,60 @@ def render_graph(specs: DataFrame) -> DataFrame:
         link, F.lit(">(in.out[0], k.in[0]);\n        adf::connect<"), link, F.lit(">(k.out[0], out.in[0]);\n        adf::source(k) = \"run.cc\";\n        adf::runtime<ratio>(k) = 0.9;\n    }\n};\n"),
     )
     return specs.withColumn("filename", F.concat(name, F.lit(".h"))).withColumn("code", code)
+
+
+# ---- companions of the builds
+
+
+def taxonomy_entries(labels: DataFrame) -> DataFrame:
+    """(slug, label, tier, group) of (tier, group, label, at): slugs of labels, repeated ones numbered in order."""
+    from tidewater.sources.files import suffixed
+
+    d = labels.withColumn("base", slug(F.col("label"))).where("base <> ''")
+    return suffixed(d, "base", "at", "slug").select("slug", "label", "tier", "group")
+
+
+def holdout_fill(taxonomy: DataFrame, covered: DataFrame) -> DataFrame:
+    """A synthetic case for each slug that no real case covers."""
+    from tidewater.functions.recipes import synthesize_all
+
+    return synthesize_all(merge.without(taxonomy, covered, "slug")).where("buggy <> correct").withColumn("synthetic", F.lit(True))
+
+
+def error_rows(df: DataFrame, slug_: str, table: DataFrame, key: str, message: str, place: str, id_: str) -> DataFrame:
+    """Rows with one of the messages whose key is part of their slug, chosen by the hash of the id; rows without a match are left out."""
+    met = merge.theta_contains(df.select(id_, slug_), slug_, table.withColumnRenamed(place, "__at"), key, "__at")
+    listed = met.groupBy(id_).agg(F.sort_array(F.collect_list(F.struct("place", message))).alias("__m"))  # at most the lookup table's rows
+    digits, at = F.md5(F.col(id_).cast("string")), F.lit(0).cast("long")
+    for start in range(1, 33, 8):
+        at = (at * (1 << 32) + F.conv(F.substring(digits, start, 8), 16, 10).cast("long")) % F.size("__m")
+    return df.join(listed.select(id_, F.element_at("__m", (at + 1).cast("int"))[message].alias("error_message")), id_)
+
+
+def clean_rows(files_: DataFrame, path: str, code: str, most: int = 500, most_chars: int = 12_000) -> DataFrame:
+    """Correct files as rows of their own: every k-th by path of those that are short enough, `most` of them, one a path."""
+    short = files_.where(F.length(code) < most_chars)
+    return selection.stride(selection.first_of(short, [path], [F.md5(code)]), [path], most)
+
+
+def chat_example(examples: DataFrame) -> DataFrame:
+    """messages of (system, user struct<prompt, goal, context, artifacts, constraints>, assistant): sections under headings, artifacts fenced by their suffix."""
+    u = F.col("user")
+    kind = lambda name: F.when(name.rlike(r"\.(?:cc|cpp|h|hpp)\z"), "cpp").when(name.rlike(r"\.py\z"), "python").when(name.rlike(r"\.json\z"), "json").otherwise("text")
+    artifact = lambda e: F.concat(e["key"], F.lit(":\n```"), kind(e["key"]), F.lit("\n"), e["value"], F.lit("\n```"))
+    given = lambda title, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(f"{title}:\n"), c))
+    files_ = F.array_join(F.transform(F.array_sort(F.map_entries(F.coalesce(u["artifacts"], F.create_map().cast("map<string,string>")))), artifact), "\n\n")
+    rules = F.array_join(F.transform(F.coalesce(u["constraints"], F.array().cast("array<string>")), lambda c: F.concat(F.lit("- "), c)), "\n")
+    parts = F.array_compact(F.array(F.nullif(u["prompt"], F.lit("")), given("Goal", u["goal"]), given("Context", u["context"]), given("Artifacts", files_), given("Constraints", rules)))
+    role = lambda name, c: F.struct(F.lit(name).alias("role"), c.alias("content"))
+    return examples.withColumn("messages", F.array(role("system", F.col("system")), role("user", F.array_join(parts, "\n\n")), role("assistant", F.col("assistant.response"))))
+
+
+def combined_verdict(results: DataFrame) -> DataFrame:
+    """results with verdict and passed from (proven, compiled, structure_ok, dsl_only, has_compiler)."""
+    verdict = (
+        F.when(~F.col("structure_ok"), "structure_broken").when(~F.col("has_compiler"), "structure_only_no_compiler").when(F.col("compiled"), "logical_likely")
+        .when(F.col("dsl_only"), "dsl_unresolved_but_plausible").otherwise("syntax_error")
+    )
+    d = results.withColumn("verdict", verdict)
+    return d.withColumn("passed", F.coalesce(F.col("proven"), F.lit(False)) & ~F.col("verdict").isin("structure_broken", "syntax_error"))

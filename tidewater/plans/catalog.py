@@ -665,3 +665,30 @@ def project_gates(spark, d):
 def graph_descriptions(spark, d):
     code = F.concat(F.lit(recipes.GRAPH), F.lit("// "), F.col("p_name"))
     return _t(spark, d, "part").select("p_partkey", S.graph_ports(code).alias("ports"), S.buffers(code).alias("buffers"), S.constraint_flags(code, F.lit("graph_type"), F.array(F.lit("PLIO")), F.array().cast("array<string>")).alias("constraints"))
+
+
+@query("select case when k = 1 then base else base || '_' || k end as slug, p_name as label from (select *, row_number() over (partition by base order by p_partkey) as k from (select p_partkey, p_name, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_') as base from part) where base <> '')")
+def taxonomy_entries(spark, d):
+    labels = _t(spark, d, "part").select(F.col("p_type").alias("tier"), F.col("p_brand").alias("group"), F.col("p_name").alias("label"), F.col("p_partkey").alias("at"))
+    return rows.taxonomy_entries(labels).select("slug", "label")
+
+
+@query("select 'bug_' || p_partkey as slug, true as synthetic from part where p_partkey not in (select l_partkey from lineitem where l_quantity > 45)")
+def holdout_fill(spark, d):
+    taxonomy = _t(spark, d, "part").select(F.concat(F.lit("bug_"), "p_partkey").alias("slug"), F.col("p_name").alias("label"))
+    covered = _t(spark, d, "lineitem").where("l_quantity > 45").select(F.concat(F.lit("bug_"), "l_partkey").alias("slug"))
+    return rows.holdout_fill(taxonomy, covered).select("slug", "synthetic")
+
+
+@query("with s as (select doc_id, row_number() over (order by doc_id) as r, count(*) over () as n from documents where length(text) < 12000), k as (select *, greatest(1, n // 100) as step from s) select doc_id from k where (r - 1) % step = 0 and (r - 1) / step < 100")
+def clean_rows(spark, d):
+    return rows.clean_rows(_docs(spark, d).select("doc_id", "text"), "doc_id", "text", 100).select("doc_id")
+
+
+@query(
+    f"""with e(place, word, message) as (values {", ".join(str(e) for e in _ERRORS)}), m as (select doc_id, list(message order by place) as ms from documents join e on contains(text, word) group by 1)
+    select doc_id, ms[((((((0::hugeint * 4294967296 + ('0x' || substr(md5(doc_id::varchar), 1, 8))::bigint) % len(ms)) * 4294967296 + ('0x' || substr(md5(doc_id::varchar), 9, 8))::bigint) % len(ms) * 4294967296 + ('0x' || substr(md5(doc_id::varchar), 17, 8))::bigint) % len(ms) * 4294967296 + ('0x' || substr(md5(doc_id::varchar), 25, 8))::bigint) % len(ms)::bigint + 1)::bigint] as error_message from m"""
+)
+def error_rows(spark, d):
+    table = spark.createDataFrame(_ERRORS, "nr int, word string, message string")
+    return rows.error_rows(_docs(spark, d).select("doc_id", "text"), "text", table, "word", "message", "nr", "doc_id").select("doc_id", "error_message")
