@@ -13,6 +13,7 @@ from tidewater.functions import code as C
 from tidewater.functions import diffs
 from tidewater.functions.text import choose, content_hash, fingerprint, hex_mod, or_text, row_key, slug
 from tidewater.operators import merge, selection
+from tidewater.operators.lineage import settle
 
 # Shares and caps that results depend on.
 TIER_SHARES = {"easy": 0.20, "normal": 0.30, "medium": 0.25, "hard": 0.15, "extra_hard": 0.10}
@@ -71,12 +72,12 @@ def quota_rows(pool: DataFrame, slug_: str, quota: str, order: list[str], ok: Co
 
 def balanced_rows(rows: DataFrame, tiers: dict[str, float] = TIER_SHARES, bug_share: float = BUG_SHARE, most_type: int = MOST_PER_BUG_TYPE, most_group: int = MOST_PER_SOURCE_GROUP, repo_share: float = REPO_SHARE) -> DataFrame:
     """Ids that stay of (id, context, bug_type, source_group, repo, tier, split, key): bugs diversified, then share, tiers and repositories balanced."""
-    slim = rows.select("id", "key", "bug_type", "source_group", "repo", "tier", "split", fingerprint(F.col("context")).alias("print"))
+    slim = settle(rows.select("id", "key", "bug_type", "source_group", "repo", "tier", "split", fingerprint(F.col("context")).alias("print")))
     bugs = slim.where("bug_type is not null")
     chosen = selection.greedy_caps(bugs, "id", "print", "bug_type", "source_group", ["key", "id"], most_type, most_group)
-    d = bugs.join(chosen, "id").unionByName(slim.where("bug_type is null"))
-    d = selection.rebalance(d, F.col("bug_type").isNotNull(), ["key", "id"], bug_share, ["split"])
-    d = selection.round_robin(d, "tier", "bug_type", ["key", "id"], tiers)
+    d = settle(bugs.join(chosen, "id").unionByName(slim.where("bug_type is null")))
+    d = settle(selection.rebalance(d, F.col("bug_type").isNotNull(), ["key", "id"], bug_share, ["split"]))
+    d = settle(selection.round_robin(d, "tier", "bug_type", ["key", "id"], tiers))
     d = selection.cap_share(d, ["repo"], ["key", "id"], repo_share)
     return d.select("id")
 

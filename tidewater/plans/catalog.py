@@ -16,6 +16,7 @@ from tidewater.functions import diffs, mutators, recipes
 from tidewater.functions import screens as S
 from tidewater.functions import text as X
 from tidewater.operators import merge, reports, rows, selection
+from tidewater.operators.lineage import settle
 from tidewater.sources import clients, files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,7 +60,7 @@ _SHA1 = lambda e, k: X.duck_hex_mod(f"sha1({e})", 40, k)
 )
 def selection_report(spark, d):
     docs = _docs(spark, d).select("doc_id", "source", X.fingerprint(F.col("text")).alias("fp"))
-    kept = selection.first_of(docs, ["fp"], ["doc_id"])
+    kept = settle(selection.first_of(docs, ["fp"], ["doc_id"]))
     kept = selection.cap_share(kept.withColumn("m", F.md5(F.col("doc_id").cast("string"))), ["source"], ["m", "doc_id"], 0.05)
     return reports.count_by(kept.withColumn("split", selection.split_fifth(F.col("source"))), "split", "source")
 
