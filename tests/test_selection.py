@@ -197,6 +197,17 @@ def test_siblings_and_pairs(spark):
         assert [s for _, s in sorted(found[i])] == [o[0] for o in others[:4]]
 
 
+def test_siblings_of_many_kinds(spark):
+    r = random.Random(5)
+    people = [(i, r.choice("pq"), f"k{r.randrange(12):02}") for i in range(90)]
+    found = {}
+    for x in merge.siblings(spark.createDataFrame(people, "id long, parent string, kind string"), "parent", "id", "kind", 4).collect():
+        found.setdefault(x["id"], []).append((x["place"], x["sibling"]))
+    for i, parent, kind in people:
+        others = sorted((o for o in people if o[1] == parent and o[0] != i), key=lambda o: (o[2] == kind, hashlib.md5(str(o[0]).encode()).hexdigest()))
+        assert [s for _, s in sorted(found[i])] == [o[0] for o in others[:4]]
+
+
 def test_open_retries_and_restricted_filter(spark):
     log = spark.createDataFrame([("a", 1, False), ("a", 2, True), ("b", 1, True), ("b", 2, False), ("c", 1, None)], "k string, at int, ok boolean")
     assert sorted(r["k"] for r in merge.last_event_open(log, ["k"], ["at"], F.col("ok")).collect()) == ["b", "c"]

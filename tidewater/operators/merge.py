@@ -38,15 +38,16 @@ def counterpart(df: DataFrame, other: DataFrame, keys: list[str], value: str, or
 def siblings(df: DataFrame, parent: str, key: str, kind: str, most: int = 4) -> DataFrame:
     """(key, sibling, place): up to `most` others of the same parent; of another kind first, then by the md5 of their key.
 
-    Each side is first cut to what can be chosen: of a parent's rows of one kind only the
-    first `most` + 1 by md5 can be any row's siblings, so pairs stay linear in the rows.
+    Each side is first cut to what can be chosen, so pairs stay linear in the rows: of a
+    parent's rows of one kind only the first `most` + 1 by md5 can be any row's siblings, and
+    of its kinds only the `most` + 1 with the smallest first rows, as these hold the `most`
+    smallest rows of kinds other than any one. Rows without a key are no siblings.
     """
     other = df.select(F.col(parent).alias("__p"), F.col(key).alias("sibling"), F.col(kind).alias("__kind"), F.md5(F.col(key).cast("string")).alias("__m"))
-    other = ranked(other, ["__p", "__kind"], ["__m", "sibling"], "__k").where(F.col("__k") <= most + 1)
-    kinds = other.select("__p", "__kind").distinct()
-    lead = ranked(kinds, ["__p"], ["__kind"], "__kinds")
+    other = ranked(other.where("sibling is not null"), ["__p", "__kind"], ["__m", "sibling"], "__k").where(F.col("__k") <= most + 1)
+    kinds = other.groupBy("__p", "__kind").agg(F.min(F.struct("__m", "sibling")).alias("__least"))
+    lead = ranked(kinds, ["__p"], ["__least"], "__kinds").where(F.col("__kinds") <= most + 1).drop("__least")
     other = other.join(lead, (other["__p"].eqNullSafe(lead["__p"])) & (other["__kind"].eqNullSafe(lead["__kind"]))).drop(lead["__p"]).drop(lead["__kind"])
-    other = other.where(F.col("__kinds") <= most + 2)
     met = df.select(F.col(parent).alias("__q"), key, kind).join(other, F.col("__q") == F.col("__p")).where(F.col(key) != F.col("sibling"))
     differs = ~F.col(kind).eqNullSafe(F.col("__kind"))
     met = ranked(met, [key], [F.desc(differs), "__m", "sibling"], "place")
