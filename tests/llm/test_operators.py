@@ -302,6 +302,17 @@ def test_boilerplate_lines(spark):
     assert kept == {row[0]: row[0] >= 100 for row in rows}
 
 
+@pytest.mark.parametrize("times", [21, 50, 400])
+def test_boilerplate_of_a_hot_host(spark, times):
+    r = random.Random(14)
+    body = lambda n: " ".join("".join(r.choices("abcdefg", k=6)) for _ in range(n))
+    passage = body(60)
+    rows = [(i, f"{passage}\n{body(10)}", None, "hot") for i in range(times)]
+    rows += [(1000 + i, body(55), None, "hot") for i in range(200 * times)]  # the passage is in under 0.5 % of the host's texts
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert quality.judge(df.repartition(8)).where("kept <> (doc_id >= 1000)").count() == 0
+
+
 def test_suffix_tree_base_score(spark, docs, none):
     train = docs.where("doc_id % 3 <> 0")
     found = by_id(suffix_tree.score(docs, train, hot_words=20, piece=500))

@@ -2,8 +2,7 @@
 
 A line is normalised (lower case, runs of white space as one space) and hashed. For each
 source (the host), the distinct texts that hold a line are counted; a line in more than
-`most_docs` of them and in more than a share `most_share` of the host's distinct texts is
-boilerplate and removed. A text that keeps less than `least_left` of its words is depleted
+`most_docs` of them is boilerplate and removed, however many texts the host has. A text that keeps less than `least_left` of its words is depleted
 and rejected. Copies of one text count once, so they do not make each other boilerplate.
 
 Edge cases: a null or blank text has no words and fails the base rules; a null source is a
@@ -59,18 +58,16 @@ def measures(docs: DataFrame) -> DataFrame:
     )
 
 
-def boilerplate(measured: DataFrame, most_docs: int, most_share: float) -> DataFrame:
+def boilerplate(measured: DataFrame, most_docs: int) -> DataFrame:
     """(host, key) of lines that too many distinct texts of a host hold."""
-    hosts = measured.groupBy("host").agg(F.count_distinct("text_key").alias("host_docs")).withColumnRenamed("host", "h")
     held = measured.select("host", "text_key", F.explode(F.array_distinct("lines.key")).alias("key")).distinct()
-    counts = held.groupBy("host", "key").agg(F.count("*").alias("docs")).where(F.col("docs") > most_docs)
-    return counts.join(hosts, F.col("host").eqNullSafe(F.col("h"))).where(F.col("docs") > most_share * F.col("host_docs")).select("host", "key")
+    return held.groupBy("host", "key").agg(F.count("*").alias("docs")).where(F.col("docs") > most_docs).select("host", "key")
 
 
-def judge(docs: DataFrame, most_docs: int = 20, most_share: float = 0.005, least_left: float = 0.3) -> DataFrame:
+def judge(docs: DataFrame, most_docs: int = 20, least_left: float = 0.3) -> DataFrame:
     """doc_id, base measures, n_left (words outside boilerplate), base_failed, kept of each row."""
     measured = durable(measures(docs).withColumn("row", F.monotonically_increasing_id()), "line-measures")  # the ids stay as written
-    common = boilerplate(measured, most_docs, most_share).select(F.col("host").alias("h"), F.col("key").alias("k"))
+    common = boilerplate(measured, most_docs).select(F.col("host").alias("h"), F.col("key").alias("k"))
     lines = measured.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.key", "x.n")
     gone = lines.join(common, F.col("host").eqNullSafe(F.col("h")) & (F.col("key") == F.col("k"))).groupBy("row").agg(F.sum("n").alias("gone"))
     out = measured.drop("lines").join(gone, "row", "left").withColumn("n_left", F.col("n_words") - F.coalesce("gone", F.lit(0)))
