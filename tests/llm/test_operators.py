@@ -370,6 +370,18 @@ def test_html(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in found)
 
 
+def test_html_detects_text_on_pages_with_articles():
+    body = [f"paragraph {i} of the body " + "word " * 30 for i in range(6)]
+    said = [" ".join(b.split()) for b in body]
+    inner = "".join(f"<p>{b}</p>" for b in body)
+    teaser = "<article><h3>Other story</h3></article>"
+    assert html_text.main_text(f"<nav><a>menu</a></nav><div>{inner}</div>{teaser}<div>short tail</div>").split("\n") == [*said, "Other story"]
+    assert html_text.main_text(f"{teaser}<div>a</div><div>{inner}</div>").split("\n")[-6:] == said
+    ads = "<div class=ad>Buy</div>" * 4
+    assert html_text.main_text(f"<div><p>{body[0]}</p>{ads}<p>And so on.</p></div>").split("\n") == [said[0], "And so on."]
+    assert html_text.main_text(f"<p>Site</p>{ads}<div>{inner}</div>").split("\n") == said
+
+
 def test_html_keeps_random_articles():
     r = random.Random(8)
     for _ in range(50):

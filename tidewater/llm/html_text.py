@@ -4,8 +4,10 @@ Markup is stripped into lines, one for each block element. Lines of parts that a
 article (menus, page headers, footers, sidebars, notices, adverts, forms, comments; told by
 element, role, class or id) weigh nothing, and link text weighs nothing outside an article.
 The block at a line is the weight of the next `width` lines together. Text begins at a surge
-(the block exceeds the threshold) and ends at a dive (the block is zero). Where the page
-declares an article or main element, all other lines weigh nothing and any text is a surge.
+(the block exceeds the threshold) and ends at a dive (the block is zero). Lines of unwanted
+parts keep text from beginning, but are skipped within running text, so they do not end it.
+In an article or main element a character weighs more than the threshold, so any line there
+is a surge; blocks do not reach across its borders, and lines outside must surge themselves.
 
 Edge cases: null, empty and text-less pages give ''; unclosed and crossing elements end with
 what encloses them; very long pages are read in one forward pass; repeated rows each get a
@@ -147,20 +149,37 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return out
 
 
+def _blocks(lines: list[tuple[int, bool]], width: int) -> list[int]:
+    """For each (weight, inside an article), the weight of it and the next lines up to `width` that are on the same side."""
+    out = []
+    for i, (_, side) in enumerate(lines):
+        total = 0
+        for weight, own in lines[i : i + width]:
+            if own != side:
+                break
+            total += weight
+        out.append(total)
+    return out
+
+
 def main_text(page: str | None, width: int = 3, threshold: int = 86) -> str:
-    lines = lines_of(page) if page else []
-    declared = any(x[2] for x in lines)
-    weights = [len(x[0]) if x[2] else 0 for x in lines] if declared else [x[1] for x in lines]
-    blocks, total = [0] * len(lines), 0
-    for i in range(len(lines) - 1, -1, -1):
-        total += weights[i] - (weights[i + width] if i + width < len(lines) else 0)
-        blocks[i] = total
-    surge = 0 if declared else min(threshold, max(blocks, default=0) - 1)
-    kept, inside = [], False
-    for i, line in enumerate(lines):
-        inside = blocks[i] > 0 if inside else blocks[i] > surge
-        if inside and weights[i] > 0:
-            kept.append(line[0])
+    found = lines_of(page) if page else []
+    lines: list[tuple[int, bool]] = []
+    for text, own, article in found:
+        side = article if text else bool(lines) and lines[-1][1]  # an unwanted line is on the side of the line before it
+        lines.append((len(text) * (threshold + 1) if article else own, side))
+    surges = _blocks(lines, width)
+    dives = iter(_blocks([x for x, f in zip(lines, found) if f[0]], width))
+    surge = min(threshold, max(surges, default=0) - 1)
+    kept, inside, before = [], False, False
+    for (text, _, _), (weight, side), block in zip(found, lines, surges):
+        if not text:
+            continue
+        ahead = next(dives)
+        inside = ahead > 0 if inside and side == before else block > surge
+        before = side
+        if inside and weight > 0:
+            kept.append(text)
     return "\n".join(kept)
 
 
