@@ -150,6 +150,27 @@ def test_token_store_refuses_changed_chunks(spark, docs, tmp_path):
         token_store.read_documents(spark, path).collect()
 
 
+def test_token_store_refuses_lost_recipes_and_chunks(spark, docs, tmp_path):
+    for lost in ("recipes/kind=doc", "recipes/kind=part"):
+        path = tmp_path / lost.replace("/", "-")
+        token_store.write_store(docs, f"file://{path}")
+        next((path / lost).glob("part-*.parquet")).unlink()
+        for read in (token_store.read_documents, token_store.reconstruct):
+            with pytest.raises(Exception, match="roots of their parts"):
+                read(spark, f"file://{path}").collect()
+    path = f"file://{tmp_path}/changed"
+    token_store.write_store(docs.limit(5), path)
+    bad = spark.read.parquet(f"{path}/chunks").toPandas()
+    bad.at[0, "ids"] = bytes(b ^ 1 for b in bad.at[0, "ids"])
+    spark.createDataFrame(bad, "digest binary, n int, ids binary").write.mode("overwrite").parquet(f"{path}/chunks")
+    with pytest.raises(Exception, match="does not match its digest"):
+        token_store.reconstruct(spark, path).collect()
+    spark.createDataFrame(bad[1:], "digest binary, n int, ids binary").write.mode("overwrite").parquet(f"{path}/chunks")
+    for read in (token_store.read_documents, token_store.reconstruct):
+        with pytest.raises(Exception, match="chunk is missing"):
+            read(spark, path).collect()
+
+
 def test_crc_shift_is_what_following_bytes_do():
     for a, b in ((b"abc", b"defgh"), (b"", b"x"), (b"long" * 50, b"tail" * 999)):
         moved = int(token_store.crc_shift(np.array([zlib.crc32(a)]), np.array([len(b)]))[0])

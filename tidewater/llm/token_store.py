@@ -184,8 +184,8 @@ def _parts(spark: SparkSession, path: str) -> DataFrame:
     return parts.withColumn("offset", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long")))
 
 
-def _checked_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """(digest, n, crc) of each stored chunk, after its ids were hashed anew; crc: of them as 32-bit ids."""
+def _checked_chunks(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
+    """(digest, n, crc), and ids if wanted, of each stored chunk, after its ids were hashed anew; crc: of them as 32-bit ids."""
     chunks = spark.read.parquet(f"{path}/chunks")
 
     def run(batches):
@@ -195,9 +195,29 @@ def _checked_chunks(spark: SparkSession, path: str) -> DataFrame:
                 if digest_of(ids) != d:
                     raise ValueError(f"chunk {d.hex()} does not match its digest")
                 crcs.append(zlib.crc32(np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4").astype("<u4").tobytes()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(crcs, pa.int64())], ["digest", "n", "crc"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(crcs, pa.int64()), *more(batch)], names)
 
-    return chunks.select("digest", "n", "ids").mapInArrow(run, "digest binary, n int, crc long")
+    more = lambda batch: [batch.column(2)] if with_ids else []
+    names = ["digest", "n", "crc", "ids"] if with_ids else ["digest", "n", "crc"]
+    return chunks.select("digest", "n", "ids").mapInArrow(run, "digest binary, n int, crc long" + (", ids binary" if with_ids else ""))
+
+
+def _checked_recipes(recipes: DataFrame) -> DataFrame:
+    """recipes, after the root of each was computed anew from its digests."""
+
+    def run(batches):
+        for batch in batches:
+            for part, place, digests, root in zip(*(batch.column(c).to_pylist() for c in ("part", "place", "digests", "root"))):
+                if merkle(digests) != root:
+                    raise ValueError(f"recipe {place} of part {part} does not match its root")
+            yield batch
+
+    return recipes.mapInArrow(run, recipes.schema)
+
+
+def _check_roots(spark: SparkSession, path: str) -> None:
+    if not verify(spark, path):
+        raise ValueError(f"the recipes of {path} do not match the roots of their parts and the head")
 
 
 def _times(operator: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -224,9 +244,10 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document from the files.
 
     Each chunk is hashed once where it is stored; a document's checksum is put together from
-    its chunks' by their places (crc32 is linear), so no ids are shuffled. Roots of documents,
-    parts and the head are checked on the way.
+    its chunks' by their places (crc32 is linear), so no ids are shuffled. Roots of parts and
+    the head are checked first, those of documents on the way.
     """
+    _check_roots(spark, path)
 
     def spread(batches):
         names = ["part", "place", "digest", "n", "after"]
@@ -277,11 +298,13 @@ def verify(spark: SparkSession, path: str) -> bool:
 
 
 def reconstruct(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, ids (array of int) of each document, its chunks joined in order."""
+    """doc_id, start, ids (array of int) of each document, its chunks joined in order; all roots and digests are checked."""
+    _check_roots(spark, path)
     recipes = _recipes(spark, path, "doc")
-    uses = recipes.select("part", "place", F.posexplode("digests").alias("at", "digest"))
-    chunks = spark.read.parquet(f"{path}/chunks").select("digest", "n", "ids")
-    met = uses.join(chunks, "digest").groupBy("part", "place").agg(F.sort_array(F.collect_list(F.struct("at", "n", "ids"))).alias("c"))
+    uses = _checked_recipes(recipes.select("part", "place", "digests", "root")).select("part", "place", F.posexplode("digests").alias("at", "digest"))
+    chunks = _checked_chunks(spark, path, with_ids=True).select("digest", "n", "ids")
+    found = F.when(F.col("ids").isNull(), F.raise_error(F.lit("a chunk is missing"))).otherwise(F.col("ids"))
+    met = uses.join(chunks, "digest", "left").groupBy("part", "place").agg(F.sort_array(F.collect_list(F.struct("at", "n", found.cast("binary").alias("ids")))).alias("c"))
 
     @F.pandas_udf("array<int>")
     def unpack(c):
