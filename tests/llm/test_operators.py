@@ -323,6 +323,13 @@ def test_boilerplate_lines(spark):
     assert kept == {row[0]: row[0] >= 100 for row in rows}
 
 
+def test_cleaned_text_has_no_boilerplate_lines(spark):
+    rows = [(i, f" All  Rights reserved.\n\nbody {i} of words\nall rights RESERVED.\n", None, "h") for i in range(30)] + [(99, None, None, "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = by_id(quality.judge(df, with_text=True))
+    assert all(found[i]["cleaned"] == f"\nbody {i} of words\n" and found[i]["n_left"] == 4 for i in range(30)) and found[99]["cleaned"] == ""
+
+
 @pytest.mark.parametrize("times", [21, 50, 400])
 def test_boilerplate_of_a_hot_host(spark, times):
     r = random.Random(14)
@@ -442,3 +449,12 @@ def test_winnowing_keeps_one_of_every_window():
     hashes = np.random.default_rng(1).integers(0, 6, 500).astype(np.uint64)
     kept = decontaminate.winnow(hashes, 4)
     assert all(kept[i : i + 4].any() for i in range(497)) and not kept.all()
+
+
+def test_hit_spans_and_items(spark):
+    item = [f"w{i}" for i in range(12)]
+    docs = spark.createDataFrame([(1, " ".join(["a", "b", *item, "c"])), (2, "nothing here"), (3, "x two words y")], "doc_id long, text string")
+    found = by_id(decontaminate.hits(docs, spark.createDataFrame([(7, " ".join(item)), (8, "two words")], "item_id long, text string")))
+    assert [tuple(x) for x in found[1]["spans"]] == [(2, 12), (3, 13), (4, 14)] and found[1]["items"] == ["7"]
+    assert found[2]["spans"] == [] and found[2]["items"] == []
+    assert [tuple(x) for x in found[3]["spans"]] == [(1, 3)] and found[3]["items"] == ["8"]

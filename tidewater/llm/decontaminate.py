@@ -156,8 +156,8 @@ def candidate_windows(h: np.ndarray, window: int, k: int, short: list[int], kept
     return np.concatenate(starts), np.concatenate(sizes), np.concatenate(keys)
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 7, filter_bits: int = 24, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of each row, and the columns named in carry."""
+def hits(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 7, filter_bits: int = 24, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_words, spans (hit windows as start and end, in words), items (ids as text, sorted) of each row, and the columns named in carry."""
     spark = docs.sparkSession
     windows = durable(_item_windows(items, window, k), "item-windows")
     short = sorted(r["n"] for r in windows.where(f"n > 0 and n < {window}").select("n").distinct().collect())  # below `window`, so a few at most
@@ -183,19 +183,24 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, k: int =
     seen = durable(seen.withColumn("row", F.monotonically_increasing_id()), "doc-windows")  # the ids stay as written
     met = seen.where(F.size("hits") > 0).select("row", F.explode("hits").alias("h")).select("row", "h.start", "h.n", "h.key")
     met = met.join(windows.where("n > 0"), ["n", "key"]).select("row", "start", "n", "item_id")
-    spans = met.select("row", "start", "n").distinct().groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", F.col("start").alias("s") + F.col("n")))).alias("spans"))
-    step = lambda acc, x: F.struct(
-        (acc["hit"] + F.greatest(F.lit(0), x["col2"] - F.greatest(acc["end"], x["start"]))).alias("hit"), F.greatest(acc["end"], x["col2"]).alias("end")
-    )
-    total = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).cast("long").alias("end")), step)["hit"]
-    spans = spans.select("row", total.alias("n_hit"))
+    spans = met.select("row", "start", "n").distinct().groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", (F.col("start") + F.col("n")).alias("end")))).alias("spans"))
     names = met.where("item_id is not null").select("row", F.col("item_id").cast("string").alias("item")).distinct()
     names = names.groupBy("row").agg(F.sort_array(F.collect_list("item")).alias("items"))
     out = seen.drop("hits").join(spans, "row", "left").join(names, "row", "left")
-    none = F.array().cast("array<string>")
-    return out.select(
-        *own, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+    none = lambda kind: F.array().cast(kind)
+    return out.select(*own, "n_words", F.coalesce("spans", none("array<struct<start:bigint,end:bigint>>")).alias("spans"), F.coalesce("items", none("array<string>")).alias("items"))
+
+
+def contamination(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 7, filter_bits: int = 24, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of each row, and the columns named in carry."""
+    step = lambda acc, x: F.struct(
+        (acc["hit"] + F.greatest(F.lit(0), x["end"] - F.greatest(acc["end"], x["start"]))).alias("hit"), F.greatest(acc["end"], x["end"]).alias("end")
+    )
+    total = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).cast("long").alias("end")), step)["hit"]
+    found = hits(docs, items, window, k, filter_bits, carry)
+    return found.select(
+        "doc_id", *carry, "n_words", total.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
     )
 
 

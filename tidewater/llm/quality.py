@@ -40,8 +40,12 @@ def _repeat_words(words: str) -> tuple[list[tuple[str, object]], object]:
     return [("place_bits", place_bits.cast("int")), ("windows", windows), ("twins", twins)], covered
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, host, text_key, the base measures, and lines (key, n words each) of each row."""
+def _key(line):
+    return F.xxhash64(F.lower(F.regexp_replace(F.trim(line), r"[\x20\x09-\x0D]+", " ")))
+
+
+def measures(docs: DataFrame, with_text: bool = False) -> DataFrame:
+    """doc_id, host, text_key, the base measures, and lines (key, n words each) of each row, and its body if wanted."""
     d = docs.select("doc_id", F.col("source").alias("host"), F.coalesce("text", F.lit("")).alias("body"))
     d = d.withColumn("words", F.regexp_extract_all("body", F.lit(WORD), F.lit(0)))
     d = d.withColumn("told", F.filter(F.split("body", "\n", -1), lambda x: x.rlike(WORD)))
@@ -49,12 +53,12 @@ def measures(docs: DataFrame) -> DataFrame:
     for name, column in steps:
         d = d.withColumn(name, column)
     line = lambda x: F.struct(
-        F.xxhash64(F.lower(F.regexp_replace(F.trim(x), r"[\x20\x09-\x0D]+", " "))).alias("key"), F.regexp_count(x, F.lit(WORD)).alias("n")
+        _key(x).alias("key"), F.regexp_count(x, F.lit(WORD)).alias("n")
     )
     return d.select(
         "doc_id", "host", F.xxhash64("body", F.length("body")).alias("text_key"), F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"), F.regexp_count("body", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        (F.size("told") - F.size(F.array_distinct("told"))).cast("long").alias("n_dup_lines"), covered.alias("n_repeat_words"), F.transform("told", line).alias("lines"),
+        (F.size("told") - F.size(F.array_distinct("told"))).cast("long").alias("n_dup_lines"), covered.alias("n_repeat_words"), F.transform("told", line).alias("lines"), *(["body"] if with_text else []),
     )
 
 
@@ -64,15 +68,17 @@ def boilerplate(measured: DataFrame, most_docs: int) -> DataFrame:
     return held.groupBy("host", "key").agg(F.count("*").alias("docs")).where(F.col("docs") > most_docs).select("host", "key")
 
 
-def judge(docs: DataFrame, most_docs: int = 20, least_left: float = 0.3) -> DataFrame:
-    """doc_id, base measures, n_left (words outside boilerplate), base_failed, kept of each row."""
-    measured = durable(measures(docs).withColumn("row", F.monotonically_increasing_id()), "line-measures")  # the ids stay as written
+def judge(docs: DataFrame, most_docs: int = 20, least_left: float = 0.3, with_text: bool = False) -> DataFrame:
+    """doc_id, base measures, n_left (words outside boilerplate), base_failed, kept of each row, and cleaned (its text without boilerplate lines) if wanted."""
+    measured = durable(measures(docs, with_text).withColumn("row", F.monotonically_increasing_id()), "line-measures")  # the ids stay as written
     common = boilerplate(measured, most_docs).select(F.col("host").alias("h"), F.col("key").alias("k"))
     lines = measured.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.key", "x.n")
-    gone = lines.join(common, F.col("host").eqNullSafe(F.col("h")) & (F.col("key") == F.col("k"))).groupBy("row").agg(F.sum("n").alias("gone"))
+    gone = lines.join(common, F.col("host").eqNullSafe(F.col("h")) & (F.col("key") == F.col("k"))).groupBy("row").agg(F.sum("n").alias("gone"), *([F.collect_set("key").alias("keys")] if with_text else []))
     out = measured.drop("lines").join(gone, "row", "left").withColumn("n_left", F.col("n_words") - F.coalesce("gone", F.lit(0)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_left", failed.alias("base_failed"), (~failed & (F.col("n_left") >= least_left * F.col("n_words"))).alias("kept"))
+    left = F.filter(F.split("body", "\n", -1), lambda x: ~(x.rlike(WORD) & F.array_contains(F.coalesce("keys", F.array().cast("array<long>")), _key(x))))
+    cleaned = [F.array_join(left, "\n").alias("cleaned")] if with_text else []
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_left", failed.alias("base_failed"), (~failed & (F.col("n_left") >= least_left * F.col("n_words"))).alias("kept"), *cleaned)
 
 
 def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
