@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -117,7 +118,22 @@ def test_encoder_gives_the_librarys_ids():
     whole, own = Tokenizer.from_file(path), tokens.Encoder(path, most=50)
     texts = [t or "" for t in some_texts()] + ["a  b", " lead", "trail ", "a \n b", "a\n  b", "x   y  z", "<|endoftext|> a <|endoftext|>", "don't  we'll\t \tx", "　wide  em"]
     for t in texts:
-        assert np.frombuffer(own.encode([t])[0], "<u2").tolist() == whole.encode(t, add_special_tokens=False).ids, t
+        ids, sizes = own.encode(pa.array([t, None], pa.string()))
+        assert ids.tolist() == whole.encode(t, add_special_tokens=False).ids and sizes.tolist() == [len(ids), 0], t
+
+
+def test_long_texts_are_encoded_in_segments():
+    whole = tokens.Encoder.of(tokens.default_tokenizer())
+    texts = ["a b", None, "word. " * 40 + "end", "", "x  y \t z " * 30, "no-space" * 50, "c"]
+    for most in (8, 64, 1 << 20):
+        found = {i: [] for i in range(len(texts))}
+        for segments, rows in tokens.parts(pa.array(texts, pa.string()), most):
+            ids, sizes = whole.encode(segments)
+            for row, own in zip(rows.tolist(), np.split(ids, np.cumsum(sizes)[:-1])):
+                found[row] += own.tolist()
+        assert list(found.values()) == [whole.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        streams = [s for _, run in token_store._streams(pa.array(texts, pa.string()), whole, 0) for s in run]
+        assert [s.tolist() for s in streams] == [f + [0] for f in found.values()]
 
 
 def test_token_store(spark, docs, none, tmp_path):

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import durable, fresh_path, pieces, remove, table
-from tidewater.llm.tokens import Encoder, default_tokenizer
+from tidewater.llm.common import fresh_path, remove, table
+from tidewater.llm.tokens import Encoder, default_tokenizer, parts
 
 #: Fixed values of the format: ids the rolling hash sees, least and most ids of a chunk, bits that are zero at a cut.
 _SPAN, _LEAST, _MOST, _BITS = 16, 128, 2048, 9
@@ -93,36 +94,56 @@ class RunningMerkle:
         return digest_of(b"\x02" + b"".join(p for _, p in self.peaks))
 
 
+def _streams(texts: pa.Array, encoder: Encoder, end_id: int) -> Iterator[tuple[range, list[np.ndarray]]]:
+    """(rows, their ids with the end id) of runs of whole texts."""
+    end, late = np.array([end_id], encoder.kind), []
+    for segments, rows in parts(texts):
+        ids, sizes = encoder.encode(segments)
+        if len(rows) == 1:  # perhaps a segment of a longer text
+            if late and late[0] != rows[0]:
+                yield range(late[0], late[0] + 1), [np.concatenate([*late[1:], end])]
+                late = []
+            late = late or [int(rows[0])]
+            late.append(ids)
+            continue
+        if late:
+            yield range(late[0], late[0] + 1), [np.concatenate([*late[1:], end])]
+            late = []
+        stops = np.cumsum(sizes)
+        yield range(int(rows[0]), int(rows[-1]) + 1), [np.concatenate([ids[a:b], end]) for a, b in zip(stops - sizes, stops)]
+    if late:
+        yield range(late[0], late[0] + 1), [np.concatenate([*late[1:], end])]
+
+
 def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """doc_id, n_tokens, sizes and digests of its chunks, and those chunks that its task met for the first time."""
 
+    fresh_kind = pa.list_(pa.struct([("digest", pa.binary()), ("n", pa.int32()), ("ids", pa.binary())]))
+
     def run(batches):
+        met: set[bytes] = set()
         encoder = Encoder.of(tokenizer)
-        kind = np.dtype("<u2" if encoder.width == 2 else "<u4")
         gear = _gear(max(encoder.tokenizer.get_vocab_size(), end_id + 1))
-        end = np.array([end_id], kind).tobytes()
-        met: set[bytes] = set()
-        fresh_kind = pa.list_(pa.struct([("digest", pa.binary()), ("n", pa.int32()), ("ids", pa.binary())]))
         for batch in batches:
-            for at, texts in pieces(batch, "text"):
-                n_tokens, sizes, digests, fresh = [], [], [], []
-                for stream in encoder.encode(texts):
-                    stream += end
-                    ids = np.frombuffer(stream, kind)
-                    start, own_sizes, own, new = 0, [], [], []
+            for rows, streams in _streams(batch.column(1), encoder, end_id):
+                n_tokens, sizes, digests, ends, new = [], [], [], [0], ([], [], [])
+                for ids in streams:
+                    data, start, own_sizes, own = memoryview(ids).cast("B"), 0, [], []
                     for stop in cut_points(ids, gear):
-                        chunk = stream[start * kind.itemsize : stop * kind.itemsize]
+                        chunk = data[start * ids.itemsize : stop * ids.itemsize]
                         d = digest_of(chunk)
                         own.append(d), own_sizes.append(stop - start)
                         if d not in met:
-                            if len(met) > 500_000:
+                            if len(met) > 200_000:  # a chunk that is met again is written again, and stored once all the same
                                 met.clear()
                             met.add(d)
-                            new.append({"digest": d, "n": stop - start, "ids": chunk})
+                            for column, value in zip(new, (d, stop - start, chunk)):
+                                column.append(value)
                         start = stop
-                    n_tokens.append(len(ids)), sizes.append(own_sizes), digests.append(own), fresh.append(new)
+                    n_tokens.append(len(ids)), sizes.append(own_sizes), digests.append(own), ends.append(len(new[0]))
+                fresh = pa.StructArray.from_arrays([pa.array(new[0], pa.binary()), pa.array(new[1], pa.int32()), pa.array(new[2], pa.binary())], ["digest", "n", "ids"])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), pa.array(n_tokens, pa.int64()), pa.array(sizes, pa.list_(pa.int32())), pa.array(digests, pa.list_(pa.binary())), pa.array(fresh, fresh_kind)],
+                    [batch.column(0).slice(rows.start, len(rows)), pa.array(n_tokens, pa.int64()), pa.array(sizes, pa.list_(pa.int32())), pa.array(digests, pa.list_(pa.binary())), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), fresh).cast(fresh_kind)],
                     ["doc_id", "n_tokens", "sizes", "digests", "fresh"],
                 )
 
