@@ -5,7 +5,7 @@ above is shared among the others by weight (a water level, found from sorted pre
 Document rates r minimise sum(r ln r - r) under sum(r * size) = target and r <= ceiling; the
 dual has one multiplier a source, and its solution is r = min(ceiling, exp(multiplier * size)).
 Newton steps, guarded by a bracket that is known in advance, run for all sources at once on
-the exact histogram of sizes. Rates become whole copies: the extra copies of a source go
+the exact histogram of sizes, several of them in a job. Rates become whole copies: the extra copies of a source go
 evenly down its sizes, a last correction by whole documents brings the source's words to its
 target, and within a size the documents with the smallest hashes get the extra copy.
 
@@ -17,8 +17,6 @@ carry) are read.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,60 +47,90 @@ def targets(sizes: DataFrame, weights: list[int], share: float, ceiling: float)
     return s.select("source", "source_size", target.cast("double").alias("target"), (F.col("full") | (target >= F.col("cap") * (1 - 1e-12))).alias("full"))
 
 
-def multipliers(histogram: DataFrame, goals: DataFrame, ceiling: float, most_steps: int = 80, tolerance: float = 1e-10) -> DataFrame:
-    """(source, multiplier) of the sources that are not full, by Newton's method on all of them at once."""
-    open_ = goals.where("not full and target > 0").select("source", "target", "source_size")
-    low = F.when(F.col("target") < F.col("source_size"), F.log(F.col("target") / F.col("source_size"))).otherwise(F.lit(0.0))
-    high = F.when(F.col("target") > F.col("source_size"), F.lit(math.log(ceiling))).otherwise(F.lit(0.0))
-    # Sizes are 1 at least, so the multiplier lies between those of a source of one-word documents.
-    state = cut(open_.select("source", "target", low.alias("low"), high.alias("high"), F.lit(0.0).alias("x"), F.lit(float("inf")).alias("off")))
-    r = F.exp(F.col("x") * F.col("size"))
-    below = r < ceiling
-    for _ in range(most_steps):
-        worst = state.agg(F.max("off").alias("off")).first()["off"]
+def _grid(histogram: DataFrame, state: DataFrame, ceiling: float, points: int) -> DataFrame:
+    """state with its bracket narrowed to the two of `points` points between which the target lies, and u put between them."""
+    at = [F.col("low") + (F.col("high") - F.col("low")) * (j / (points - 1)) for j in range(points)]
+    met = _same(histogram, state, ["source"])
+    words = F.array(*[F.sum(F.col("n") * F.col("size") * F.least(F.exp(F.col("sign") * F.exp(u) * F.col("size")), F.lit(float(ceiling)))) for u in at])
+    sums = met.groupBy(*state.columns).agg(words.alias("f")).withColumn("at", F.array(*at))
+    under = F.size(F.filter("f", lambda f: (f - F.col("target")) * F.col("sign") < 0))
+    sums = sums.withColumn("k", F.least(F.greatest(under, F.lit(1)), F.lit(points - 1)))
+    ends = [F.element_at("at", F.col("k")), F.element_at("at", F.col("k") + 1)]
+    off = [F.log(F.element_at("f", F.col("k")) / F.col("target")), F.log(F.element_at("f", F.col("k") + 1) / F.col("target"))]
+    part = F.when(off[0] * off[1] < 0, off[0] / (off[0] - off[1])).otherwise(F.lit(0.5))
+    return sums.select("source", "target", "sign", ends[0].alias("low"), ends[1].alias("high"), (ends[0] + (ends[1] - ends[0]) * part).alias("u"), F.lit(1.0).alias("off"))
+
+
+def _newton(histogram: DataFrame, state: DataFrame, ceiling: float) -> DataFrame:
+    """state after one step for all sources: Newton's for the logarithm of the words taken, or the middle of the bracket where that leaves it."""
+    x = F.col("sign") * F.exp("u")
+    rate = F.exp(x * F.col("size"))
+    weighed = F.col("n") * F.col("size")
+    sums = _same(histogram, state, ["source"]).groupBy(*state.columns)
+    sums = sums.agg(F.sum(weighed * F.least(rate, F.lit(float(ceiling)))).alias("f"), F.sum(F.when(rate < ceiling, weighed * F.col("size") * rate).otherwise(F.lit(0.0))).alias("d"))
+    short = (F.col("f") - F.col("target")) * F.col("sign") < 0  # the root lies above u
+    low, high = F.when(short, F.col("u")).otherwise(F.col("low")), F.when(short, F.col("high")).otherwise(F.col("u"))
+    step = F.col("u") - F.log(F.col("f") / F.col("target")) * F.col("f") / (F.col("d") * x)
+    inside = F.coalesce((F.col("d") > 0) & (step >= low) & (step <= high), F.lit(False))
+    return sums.select("source", "target", "sign", low.alias("low"), high.alias("high"), F.when(inside, step).otherwise((low + high) / 2).alias("u"), F.abs(F.col("f") / F.col("target") - 1).alias("off"))
+
+
+def multipliers(histogram: DataFrame, goals: DataFrame, ceiling: float, points: int = 16, steps: int = 3, tolerance: float = 1e-7, most_jobs: int = 20) -> DataFrame:
+    """(source, multiplier) of the sources that are not full, for all of them at once.
+
+    The multiplier's logarithm lies between those of sources whose documents all have the
+    smallest or the largest size. A grid narrows that down, then Newton's steps, `steps` a
+    job, go on until the words taken before the last step are off by at most tolerance.
+    """
+    histogram = histogram.where("size > 0")
+    ends = histogram.groupBy("source").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    open_ = _same(goals.where("not full and target > 0 and target <> source_size"), ends, ["source"])
+    wide = F.abs(F.log(F.col("target") / F.col("source_size")))
+    state = open_.select("source", "target", F.signum(F.col("target") - F.col("source_size")).alias("sign"), F.log(wide / F.col("most")).alias("low"), F.log(wide / F.col("least")).alias("high"), F.lit(0.0).alias("u"), F.lit(1.0).alias("off"))
+    state = _grid(histogram, state, ceiling, points)
+    for _ in range(most_jobs):
+        for _ in range(steps):
+            state = _newton(histogram, state, ceiling)
+        state = cut(state)
+        worst = state.agg(F.max(F.when(F.col("high") - F.col("low") > 1e-15, F.col("off")).otherwise(F.lit(0.0))).alias("off")).first()["off"]
         if worst is None or worst <= tolerance:
             break
-        met = _same(histogram.where("size > 0"), state.select("source", "x"), ["source"])
-        sums = met.groupBy("source").agg(F.sum(F.col("n") * F.col("size") * F.least(r, F.lit(float(ceiling)))).alias("f"), F.sum(F.when(below, F.col("n") * F.col("size") * F.col("size") * r).otherwise(F.lit(0.0))).alias("d"))
-        now = _same(state, sums, ["source"])
-        now = now.withColumn("low", F.when(F.col("f") < F.col("target"), F.col("x")).otherwise(F.col("low"))).withColumn("high", F.when(F.col("f") >= F.col("target"), F.col("x")).otherwise(F.col("high")))
-        # The step is Newton's for the logarithm of the words taken, which is nearly straight.
-        step = F.when((F.col("d") > 0) & (F.col("f") > 0), F.col("x") - F.col("f") * F.log(F.col("f") / F.col("target")) / F.col("d"))
-        inside = (step > F.col("low")) & (step < F.col("high"))
-        off = F.abs(F.col("f") / F.col("target") - 1)
-        narrow = F.col("high") - F.col("low") <= 1e-17
-        x = F.when((off <= tolerance) | narrow, F.col("x")).when(F.coalesce(inside, F.lit(False)), step).otherwise((F.col("low") + F.col("high")) / 2)
-        state = cut(now.select("source", "target", "low", "high", x.alias("x"), F.when(narrow, F.lit(0.0)).otherwise(off).alias("off")))
-    return state.select("source", F.col("x").alias("multiplier"))
-
-
-def _copies_by_size(histogram: DataFrame, goals: DataFrame, ceiling: float, corrections: int = 4) -> DataFrame:
-    """(source, size, n, base, extra): each of the n documents gets base copies, and extra of them one more."""
-    h = _same(_same(histogram, goals.select("source", "target", "full"), ["source"]), multipliers(histogram, goals, ceiling), ["source"], "left")
-    rate = F.when(F.col("size") == 0, F.lit(1.0)).when(F.col("full"), F.lit(float(ceiling))).otherwise(F.least(F.lit(float(ceiling)), F.coalesce(F.exp(F.col("multiplier") * F.col("size")), F.lit(0.0))))
+    return state.select("source", (F.col("sign") * F.exp("u")).alias("multiplier"))
+
+
+def _copies_by_size(histogram: DataFrame, goals: DataFrame, ceiling: float, corrections: int = 3) -> DataFrame:
+    """(source, size, n, base, extra): each of the n documents gets base copies, and extra of them one more.
+
+    All of it runs over the sizes of a source, a row for each distinct size.
+    """
+    h = _same(_same(histogram, goals.select("source", "source_size", "target", "full"), ["source"]), multipliers(histogram, goals, ceiling), ["source"], "left")
+    tilted = F.when(F.col("target") == F.col("source_size"), F.lit(1.0)).otherwise(F.coalesce(F.exp(F.col("multiplier") * F.col("size")), F.lit(0.0)))
+    rate = F.when(F.col("size") == 0, F.lit(1.0)).when(F.col("full"), F.lit(float(ceiling))).otherwise(F.least(F.lit(float(ceiling)), tilted))
     h = h.withColumn("rate", rate).withColumn("base", F.floor("rate"))
     down = Window.partitionBy("source").orderBy(F.desc("size"))
+    whole = Window.partitionBy("source")
     upto = F.sum(F.col("n") * (F.col("rate") - F.col("base"))).over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     h = h.withColumn("upto", F.floor(upto + 0.5)).withColumn("extra", F.col("upto") - F.coalesce(F.lag("upto").over(down), F.lit(0)))
-    h = cut(h.select("source", "size", "n", "base", F.greatest(F.lit(0).cast("long"), F.least("extra", "n")).alias("extra"), "target"))
+    h = h.withColumn("extra", F.greatest(F.lit(0).cast("long"), F.least("extra", "n")))
     for _ in range(corrections):
-        off = h.groupBy("source").agg((F.first("target") - F.sum(F.col("size") * (F.col("n") * F.col("base") + F.col("extra")))).alias("off"))
-        near = _same(h.where("size > 0"), off, ["source"])
+        # Of one size, as many documents more or fewer as bring the source nearest to its target.
+        h = h.withColumn("off", F.col("target") - F.sum(F.col("size") * (F.col("n") * F.col("base") + F.col("extra"))).over(whole))
         room = F.when(F.col("off") > 0, F.when(F.col("base") + 1 <= ceiling, F.col("n") - F.col("extra")).otherwise(F.lit(0))).otherwise(F.col("extra"))
-        near = near.withColumn("move", F.least(room, F.floor(F.abs(F.col("off")) / F.col("size"))) * F.signum("off").cast("long"))
-        best = near.where("move <> 0").groupBy("source").agg(F.max(F.struct("size", "move")).alias("best")).select("source", "best.size", "best.move")
-        h = cut(_same(h, best, ["source", "size"], "left").select("source", "size", "n", "base", (F.col("extra") + F.coalesce("move", F.lit(0).cast("long"))).alias("extra"), "target"))
-    return h.select("source", "size", "n", "base", "extra")
+        h = h.withColumn("move", F.when(F.col("size") > 0, F.least(room, F.floor(F.abs(F.col("off")) / F.col("size")))).otherwise(F.lit(0)))
+        best = F.min(F.when(F.col("move") > 0, F.struct((F.abs(F.col("off")) - F.col("move") * F.col("size")).alias("left"), F.col("size").alias("of")))).over(whole)
+        h = h.withColumn("best", best)
+        h = h.withColumn("extra", F.col("extra") + F.when(F.col("best.of") == F.col("size"), F.col("move") * F.signum("off").cast("long")).otherwise(F.lit(0).cast("long")))
+    return h.select("source", "size", "n", "base", F.col("extra").cast("long").alias("extra"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, ceiling: int = 2, carry: tuple[str, ...] = (), run_rows: int = 500) -> DataFrame:
     """doc_id, size, source_size, target, copies, taken of each row, and the columns named in carry."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    draw = F.xxhash64("doc_id", F.coalesce("text", F.lit("")), *carry)
+    draw = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))  # not of carry: reruns over other files take the same documents
     rows = durable(docs.select("doc_id", "source", size.alias("size"), draw.alias("draw"), *carry), "mix-sizes")
     goals = cut(targets(rows.select("source", "size"), list(weights), share, ceiling))
     histogram = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
-    plan = _copies_by_size(histogram, goals, ceiling)
+    plan = cut(_copies_by_size(histogram, goals, ceiling))
     met = _same(_same(rows, plan, ["source", "size"]), goals.select("source", "source_size", "target"), ["source"])
     some = (F.col("extra") > 0) & (F.col("extra") < F.col("n"))
     alike = met.where(~some).withColumn("copies", F.col("base") + (F.col("extra") > 0).cast("long"))
@@ -112,7 +140,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     lengths = runs.groupBy(*key).agg(F.count("*").alias("m"))
     before = Window.partitionBy("source", "size").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     lengths = lengths.select(*key, F.coalesce(F.sum("m").over(before), F.lit(0).cast("long")).alias("before"))
-    place = F.row_number().over(Window.partitionBy(*key).orderBy("draw", "doc_id"))
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("draw", "doc_id", *carry))
     ranked = _same(runs.withColumn("place", place), lengths, key)
     ranked = ranked.withColumn("copies", F.col("base") + (F.col("place") + F.col("before") <= F.col("extra")).cast("long"))
     out = ["doc_id", "size", "source_size", "target", "copies", *carry]
