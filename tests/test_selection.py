@@ -71,10 +71,10 @@ def test_numbered_is_one_order(spark):
     values = [r.choice([None, 5, 5, 5, 6, r.randint(-99, 99)]) for _ in range(500)]
     frame = spark.createDataFrame(list(enumerate(values)), "id long, v long")
     expected = sorted(range(500), key=lambda i: (values[i] is not None, values[i] or 0, i))
-    found = selection.numbered(frame, ["v", "id"], "at", runs=16).orderBy("at").collect()
+    found = selection.numbered(frame.repartition(5), ["v", "id"], "at").orderBy("at").collect()
     assert [x["at"] for x in found] == list(range(1, 501)) and [x["id"] for x in found] == expected
     words = [r.choice(["", "a", "ab", "abc", "zebra", "é", None]) + "" if r.random() < 0.9 else "q" * 40 for _ in range(0)] or ["b", "", "é", "ab", "a", "abc" * 9, "zz", "abcabcx"]
-    named = selection.numbered(spark.createDataFrame([(w,) for w in words], "w string"), ["w"], "at", runs=4).orderBy("at").collect()
+    named = selection.numbered(spark.createDataFrame([(w,) for w in words], "w string"), ["w"], "at").orderBy("at").collect()
     assert [x["w"] for x in named] == sorted(words)
 
 
@@ -92,18 +92,34 @@ def test_greedy_caps_keep_more_than_windows_would(df):
     assert ids(selection.greedy_caps(df, "id", "fp", "tier", "kind", ["id"], 999, 999)) == sorted(unbound.values())
 
 
-def test_rebalance(df):
-    positive = F.coalesce(F.col("tier") == "en", F.lit(False))
-    found = ids(selection.rebalance(df, positive, ["id"], 0.8, ["kind"]))
+def turns_of(rows, n, group, key):
+    """A plain loop: one row of each group in the groups' order, then the rest by key, a key once."""
+    by_group = {}
+    for r in sorted(rows, key=key):
+        by_group.setdefault(r[group], []).append(r)
+    out = [by_group[g][0] for g in sorted(by_group)][:n]
+    seen = {key(r)[0] for r in out}
+    for r in sorted(rows, key=key):
+        if len(out) < n and key(r)[0] not in seen:
+            out.append(r)
+            seen.add(key(r)[0])
+    return out
+
+
+@pytest.mark.parametrize("target", [0.2, 0.5, 0.9])
+def test_rebalance(spark, target):
+    r = random.Random(target)
+    data = [(i, f"k{r.randrange(70):02}", r.choice("ab"), r.choice(["g1", "g2", "g3", "g4"]), r.random() < 0.2, r.random() < 0.7) for i in range(90)]
+    data += [(100 + i, f"z{i}", "c", "g1", False, False) for i in range(5)]
+    frame = spark.createDataFrame(data, "id long, key string, split string, grp string, pos boolean, kept boolean")
     expected = []
-    for kind in ("s1", "s2", "s3", None):
-        own = [r for r in rows_of() if r[2] == kind]
-        if kind is None:
-            continue
-        good, other = [r[0] for r in own if r[1] == "en"], [r[0] for r in own if r[1] != "en"]
-        few = int(len(good) * (1 - 0.8) / 0.8)
-        expected += good + (other if len(good) / len(own) >= 0.8 else other[:few])
-    assert found == sorted(expected)
+    for split in "abc":
+        own = [x for x in data if x[2] == split]
+        good, other = [x for x in own if x[4] and x[5]], [x for x in own if not x[4]]
+        if any(x[4] for x in own) and len(good) / len(own) < target:
+            other = turns_of(other, int(len(good) * (1 - target) / target), 3, lambda x: (x[1], x[0]))
+        expected += [x[0] for x in good + other]
+    assert ids(selection.rebalance(frame, "pos", "kept", "split", "grp", "key", target)) == sorted(expected)
 
 
 def test_diverse_and_contexts(df):
@@ -147,11 +163,46 @@ def test_splits(spark):
     assert selection.split_missing(leaky, "split").count() == 1
 
 
-def test_stratified(df):
-    d = df.where("tier is not null and kind is not null")
-    found = selection.stratified(d, "kind", "tier", "fp", "id", 3, ["en", "de", "fr"], 8).collect()
-    assert len(found) == 8 and len({r["fp"] for r in found}) == 8
-    assert max(sum(r["kind"] == k for r in found) for k in ("s1", "s2", "s3")) <= 3
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_stratified(spark, seed):
+    r = random.Random(seed)
+    tiers = ["easy", "normal", "hard"]
+    data = [(i, r.choice(["k1", "k2", "", None]), r.choice([*tiers, None, "odd"]), r.choice([None, "", *"abcdefg"])) for i in range(80)]
+    expected = []
+    for kind in ("k1", "k2", "unknown"):
+        waiting = {t: [x for x in data if (x[1] or "unknown") == kind and (x[2] or "normal") == t] for t in tiers}
+        picked, seen, more = [], set(), True
+        while more and len(picked) < 5:
+            more = False
+            for t in tiers:
+                free = [x for x in waiting[t] if (x[3] or "") not in seen]
+                if free and len(picked) < 5:
+                    picked.append(free[0][0])
+                    seen.add(free[0][3] or "")
+                    more = True
+        expected += list(enumerate(picked))
+    frame = spark.createDataFrame(data, "id long, kind string, tier string, grp string").repartition(3)
+    found = selection.stratified(frame, "kind", "tier", "grp", ["id"], 5, tiers, 13)
+    assert sorted((x["pick"], x["id"]) for x in found.collect()) == sorted(expected[:13])
+    assert selection.stratified(frame.where("false"), "kind", "tier", "grp", ["id"], 5, tiers, 13).count() == 0
+
+
+def test_places_in_a_hot_group(spark):
+    r = random.Random(4)
+    data = [(i, r.choice(["hot", "hot", "hot", "b", None]), r.randint(0, 9)) for i in range(300)]
+    found = {x["id"]: x["rank"] for x in selection.placed(spark.createDataFrame(data, "id long, g string, v long").repartition(7), ["g"], ["v", "id"]).collect()}
+    for g in ("hot", "b", None):
+        assert [found[i] for i, own, v in sorted(data, key=lambda x: (x[2], x[0])) if own == g] == list(range(1, sum(x[1] == g for x in data) + 1))
+
+
+def test_contained_keys_on_repeated_rows(spark):
+    frame = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "c"), (3, None), (4, "b")], "id long, slug string")
+    table = spark.createDataFrame([(2, "b", "B"), (1, "a", "A"), (3, None, "none")], "at int, word string, message string")
+    found = sorted((x["id"], x["message"], x["place"]) for x in merge.theta_contains(frame, "slug", table, "word", "at").collect())
+    assert found == [(1, "A", 1), (1, "A", 1), (1, "B", 2), (1, "B", 2), (4, "B", 1)]
+    from tidewater.operators import rows
+
+    assert ids(rows.error_rows(frame, "slug", table, "word", "message", "at", "id")) == [1, 1, 4]
 
 
 # ---- joins

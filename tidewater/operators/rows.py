@@ -70,16 +70,42 @@ def quota_rows(pool: DataFrame, slug_: str, quota: str, order: list[str], ok: Co
     return selection.ranked(pool.where(ok), [slug_], order, "__k").where(F.col("__k") <= F.col(quota)).drop("__k")
 
 
+#: Variants that are about bugs whatever their bug_type, and that of taxonomy rows.
+BUG_VARIANTS, TAXONOMY_VARIANT = ("causal_debugging", "bug_fix_pair", "multi_file_bug_fix_pair"), "synthetic_taxonomy_bug_fix"
+
+
+def bug_focused(variant: Column, bug_type: Column) -> Column:
+    """Whether a row is about a bug: it has a bug type, or its variant says so."""
+    v = F.coalesce(variant, F.lit(""))
+    return (F.coalesce(bug_type, F.lit("")) != "") | v.isin(*BUG_VARIANTS) | F.contains(v, F.lit("debug"))
+
+
 def balanced_rows(rows: DataFrame, tiers: dict[str, float] = TIER_SHARES, bug_share: float = BUG_SHARE, most_type: int = MOST_PER_BUG_TYPE, most_group: int = MOST_PER_SOURCE_GROUP, repo_share: float = REPO_SHARE) -> DataFrame:
-    """Ids that stay of (id, context, bug_type, source_group, repo, tier, split, key): bugs diversified, then share, tiers and repositories balanced."""
-    slim = settle(rows.select("id", "key", "bug_type", "source_group", "repo", "tier", "split", fingerprint(F.col("context")).alias("print")))
-    bugs = slim.where("bug_type is not null")
-    chosen = selection.greedy_caps(bugs, "id", "print", "bug_type", "source_group", ["key", "id"], most_type, most_group)
-    d = settle(bugs.join(chosen, "id").unionByName(slim.where("bug_type is null")))
-    d = settle(selection.rebalance(d, F.col("bug_type").isNotNull(), ["key", "id"], bug_share, ["split"]))
-    d = settle(selection.round_robin(d, "tier", "bug_type", ["key", "id"], tiers))
-    d = selection.cap_share(d, ["repo"], ["key", "id"], repo_share)
-    return d.select("id")
+    """Ids that stay of (id, key, context, variant, bug_type, source_group, repo, tier, split).
+
+    In each split bugs are diversified (caps of a split count its rows alone) and other rows cut
+    to the share; then bugs are cut to their tiers' shares, and all rows to the repositories'.
+    Taxonomy rows of different bug types never count as equal. Missing bug types and groups are
+    `unknown`, missing tiers `normal`, missing repositories `local`, missing splits `train`.
+    """
+    named = lambda c, v: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(v)).alias(c)
+    kind = F.coalesce(F.nullif("bug_type", F.lit("")), F.lit("unknown"))
+    text = F.when(F.col("variant") == TAXONOMY_VARIANT, F.concat(F.lit("synth:"), kind, F.lit("::"), "context")).otherwise(F.col("context"))
+    slim = rows.select(
+        "id", "key", bug_focused(F.col("variant"), F.col("bug_type")).alias("bug"), named("bug_type", "unknown"), named("source_group", "unknown"),
+        F.coalesce("repo", F.lit("local")).alias("repo"), named("tier", "normal"), F.coalesce("split", F.lit("train")).alias("split"), fingerprint(text).alias("print"),
+    )
+    slim = settle(slim)
+    in_split = lambda c: F.concat_ws("\x01", "split", c).alias(c)
+    bugs = slim.where("bug").select("id", "key", in_split("print"), in_split("bug_type"), in_split("source_group"))
+    kept = selection.greedy_caps(bugs, "id", "print", "bug_type", "source_group", ["key", "id"], most_type, most_group).withColumn("kept", F.lit(True))
+    d = slim.drop("print").join(kept, "id", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+    d = settle(selection.rebalance(settle(d), "bug", "kept", "split", "source_group", "key", bug_share))
+    bugs = d.where("bug")
+    if n_bugs := bugs.count():
+        capped = bugs.where(F.col("tier").isin(*tiers))
+        d = d.where(F.coalesce(~F.col("bug") | ~F.col("tier").isin(*tiers), F.lit(True))).unionByName(selection.round_robin(capped, "tier", "bug_type", ["key", "id"], tiers, total=n_bugs))
+    return selection.cap_share(d, ["repo"], ["key", "id"], repo_share).select("id")
 
 
 def keyed(rows: DataFrame) -> DataFrame:
@@ -209,13 +235,12 @@ def holdout_fill(taxonomy: DataFrame, covered: DataFrame) -> DataFrame:
 
 
 def error_rows(df: DataFrame, slug_: str, table: DataFrame, key: str, message: str, place: str, id_: str) -> DataFrame:
-    """Rows with one of the messages whose key is part of their slug, chosen by the hash of the id; rows without a match are left out."""
-    met = merge.theta_contains(df.select(id_, slug_), slug_, table.withColumnRenamed(place, "__at"), key, "__at")
-    listed = met.groupBy(id_).agg(F.sort_array(F.collect_list(F.struct("place", message))).alias("__m"))  # at most the lookup table's rows
+    """Rows with one of the messages whose key is part of their slug, chosen by the hash of the id; rows without a match are left out, repeated rows stay."""
+    met = df.withColumn("__m", merge.contained(F.col(slug_), table, key, place)).where(F.size("__m") > 0)
     digits, at = F.md5(F.col(id_).cast("string")), F.lit(0).cast("long")
     for start in range(1, 33, 8):
         at = (at * (1 << 32) + F.conv(F.substring(digits, start, 8), 16, 10).cast("long")) % F.size("__m")
-    return df.join(listed.select(id_, F.element_at("__m", (at + 1).cast("int"))[message].alias("error_message")), id_)
+    return met.withColumn("error_message", F.element_at("__m", (at + 1).cast("int"))[message]).drop("__m")
 
 
 def clean_rows(files_: DataFrame, path: str, code: str, most: int = 500, most_chars: int = 12_000) -> DataFrame:

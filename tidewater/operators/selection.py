@@ -2,7 +2,7 @@
 
 Each takes and returns DataFrames. `order` names columns that give a total order; ties are
 broken by what the caller puts there. Windows are over a group's key columns; where a group
-may hold most of the rows, ranks come from runs of it (see ranked).
+may hold most of the rows, ranks come from ranges of the whole order (see placed).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.text import hash_mod, hex_mod
+from tidewater.operators.lineage import settle, written
 
 
 def first_of(df: DataFrame, keys: list, order: list) -> DataFrame:
@@ -39,75 +40,93 @@ def first_n(df: DataFrame, group: list[str], order: list, n: int) -> DataFrame:
     return ranked(df, group, order, "__rank").where(F.col("__rank") <= n).drop("__rank")
 
 
+def numbered(df: DataFrame, order: list, name: str = "rank") -> DataFrame:
+    """df with each row's rank from 1 in one order of all rows, without putting all in one task.
+
+    Rows are dealt to ranges of the whole order, as many as a shuffle has, and written once;
+    a rank is the place in a range after the rows of the ranges before (a row for each range).
+    Nulls come first; rows that are equal in the order are ranked as they lie.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    d = written(dealt.withColumn("__at", F.monotonically_increasing_id()))  # the range in the upper bits, the place in the lower 33
+    d = d.withColumn("__range", F.shiftright("__at", 33))
+    sizes = d.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = sizes.select("__range", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")).alias("__before"))
+    d = d.join(F.broadcast(before), "__range")  # as many rows as ranges
+    return d.withColumn(name, F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("__before") + 1).drop("__at", "__range", "__before")
+
+
+def placed(df: DataFrame, group: list[str], order: list, name: str = "rank") -> DataFrame:
+    """df with each row's rank from 1 in its group, also where a group holds most of the rows: no task sorts a whole group."""
+    if not group:
+        return numbered(df, order, name)
+    d = numbered(df, [*group, *order], "__all")
+    first = d.groupBy(*group).agg(F.min("__all").alias("__first")).select(*[F.col(g).alias(f"__of_{g}") for g in group], "__first")
+    on = [F.col(g).eqNullSafe(F.col(f"__of_{g}")) for g in group]
+    return d.join(first, on).withColumn(name, F.col("__all") - F.col("__first") + 1).drop("__all", "__first", *[f"__of_{g}" for g in group])
+
+
 def cap_share(df: DataFrame, group: list[str], order: list, share: float) -> DataFrame:
     """At most max(1, int(total * share)) rows of each group."""
-    total = df.agg(F.count("*").alias("__total"))
-    cap = F.greatest(F.lit(1), F.floor(F.col("__total") * share))
-    return ranked(df, group, order, "__rank").join(F.broadcast(total)).where(F.col("__rank") <= cap).drop("__rank", "__total")  # the side is one row
+    cap = max(1, int(df.count() * share))
+    return placed(df, group, order, "__rank").where(F.col("__rank") <= cap).drop("__rank")
 
 
-def round_robin(df: DataFrame, tier: str, kind: str, order: list, shares: dict[str, float], default: float = 1.0) -> DataFrame:
-    """For each tier at most int(total * share) rows, taken in turns from its kinds in the order they are first met, and one of each kind at least."""
-    total = df.agg(F.count("*").alias("__total"))
-    share = F.coalesce(*[F.when(F.col(tier) == k, F.lit(float(v))) for k, v in shares.items()], F.lit(float(default)))
-    firsts = df.groupBy(tier, kind).agg(F.min(F.struct(*order)).alias("__first"))
-    d = ranked(df, [tier, kind], order, "__q").join(firsts, (df[tier].eqNullSafe(firsts[tier])) & (df[kind].eqNullSafe(firsts[kind]))).drop(firsts[tier]).drop(firsts[kind])
-    d = ranked(d, [tier], ["__q", "__first"], "__at").join(F.broadcast(total))  # one row
-    return d.where((F.col("__at") <= F.floor(F.col("__total") * share)) | (F.col("__q") == 1)).drop("__q", "__first", "__at", "__total")
+def round_robin(df: DataFrame, tier: str, kind: str, order: list, shares: dict[str, float], default: float = 1.0, total: int | None = None) -> DataFrame:
+    """For each tier at most int(total * share) rows, taken in turns from its kinds in the order they are first met, and one of each kind at least. total: all rows, if not given."""
+    total = df.count() if total is None else total
+    cap = F.coalesce(*[F.when(F.col(tier) == k, F.lit(int(total * v))) for k, v in shares.items()], F.lit(int(total * default)))
+    firsts = df.groupBy(tier, kind).agg(F.min(F.struct(*order)).alias("__met")).select(F.col(tier).alias("__t"), F.col(kind).alias("__k"), "__met")
+    d = placed(df, [tier, kind], order, "__q").join(firsts, F.col(tier).eqNullSafe(F.col("__t")) & F.col(kind).eqNullSafe(F.col("__k"))).drop("__t", "__k")
+    d = placed(d, [tier], ["__q", "__met"], "__turn")
+    return d.where((F.col("__turn") <= cap) | (F.col("__q") == 1)).drop("__q", "__met", "__turn")
 
 
 def stride(df: DataFrame, order: list, allowed: int | Column, group: list[str] | None = None) -> DataFrame:
     """Every k-th row of the order, the first `allowed` of them; k = max(1, rows // allowed)."""
     keys = group or []
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("__n"))
-    d = ranked(df, keys, order, "__rank") if keys else numbered(df, order, "__rank")
-    d = d.join(sizes, keys) if keys else d.join(F.broadcast(sizes))  # one row
+    d = placed(df, keys, order, "__rank")
+    sizes = d.groupBy(*keys).agg(F.count("*").alias("__n")).select(*[F.col(k).alias(f"__of_{k}") for k in keys], "__n")
+    d = d.join(sizes, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys]).drop(*[f"__of_{k}" for k in keys]) if keys else d.join(F.broadcast(sizes))  # one row
     limit = allowed if isinstance(allowed, Column) else F.lit(allowed)
     step = F.greatest(F.lit(1), F.floor(F.col("__n") / F.greatest(limit, F.lit(1))))
     return d.where(((F.col("__rank") - 1) % step == 0) & ((F.col("__rank") - 1) / step < limit)).drop("__rank", "__n")
 
 
-def numbered(df: DataFrame, order: list, name: str = "rank", runs: int = 64) -> DataFrame:
-    """df with each row's rank from 1 in one order of all rows, without putting all in one task.
+def diverse_order(df: DataFrame, group: str, key: str, within: list[str], name: str = "turn") -> DataFrame:
+    """df without repeated rows of a key, and with the turn of each row: in each `within`, the first of every group in the groups' order, then the rest by key.
 
-    Rows go to ranges of the first order column (taken from a sketch of its quantiles); ranks
-    count within a range, after the sizes of the ranges before.
-    """
-    first = order[0] if isinstance(order[0], str) else None
-    if first is None or df.schema[first].dataType.typeName() not in ("long", "integer", "double", "string"):
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
-    lead = F.col(first)
-    if df.schema[first].dataType.typeName() == "string":
-        lead = F.conv(F.substring(F.hex(F.coalesce(F.col(first), F.lit(""))), 1, 12), 16, 10).cast("double")
-        lead = F.coalesce(lead / F.pow(F.lit(16.0), F.least(F.lit(12), F.length(F.hex(F.coalesce(F.col(first), F.lit("")))))), F.lit(0.0))
-    lead = F.coalesce(lead.cast("double"), F.lit(float("-inf")))
-    cuts = df.agg(F.percentile_approx(lead, [i / runs for i in range(1, runs)], 1000).alias("c")).first()["c"] or []
-    at = F.aggregate(F.array(*[F.lit(c) for c in sorted(set(cuts))]), F.lit(0), lambda a, c: a + F.when(lead > c, 1).otherwise(0)) if cuts else F.lit(0)
-    d = df.withColumn("__run", at)
-    sizes = d.groupBy("__run").agg(F.count("*").alias("__n"))
-    before = sizes.select("__run", F.coalesce(F.sum("__n").over(Window.orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")).alias("__before"))
-    d = ranked(d, ["__run"], order, "__in").join(F.broadcast(before), "__run")  # at most `runs` rows
-    return d.withColumn(name, F.col("__in") + F.col("__before")).drop("__run", "__in", "__before")
-
-
-def rebalance(df: DataFrame, positive: Column, order: list[str], target: float, group: list[str], chosen: DataFrame | None = None) -> DataFrame:
-    """For each group: where the positives' share is below the target, all positives and the first int(p * (1 - t) / t) others.
-
-    chosen: the positives to keep (diversified); the share and p count all positives.
+    In the rest a key counts once, and not if a first row has it. Ties of the key go by all columns.
     """
-    marked = df.withColumn("__pos", positive)
-    sizes = marked.groupBy(*group).agg(F.count("*").alias("__n"), F.count_if("__pos").alias("__p"))
-    d = ranked(marked, [*group, "__pos"], order, "__rank").join(sizes, group)
-    enough = (F.col("__p") / F.col("__n") >= target) | (F.col("__p") == 0)
-    few = F.floor(F.col("__p") * (1 - target) / target)
-    return d.where(F.col("__pos") | enough | (F.col("__rank") <= few)).drop("__pos", "__n", "__p", "__rank")
+    order = [key, *[c for c in df.columns if c != key]]
+    d = placed(df, [*within, group], order, "__q")
+    first = d.where("__q = 1").withColumn("__late", F.lit(0)).withColumn("__group", F.col(group))
+    rest = first_of(d.where("__q > 1"), [*within, key], order).withColumn("__late", F.lit(1)).withColumn("__group", F.lit(None).cast(df.schema[group].dataType))
+    taken = first.select(*[F.col(c).alias(f"__of_{c}") for c in (*within, key)]).distinct()
+    rest = rest.join(taken, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in (*within, key)], "left_anti")
+    d = first.unionByName(rest).withColumn("__none", F.col("__group").isNull())
+    return placed(d, within, ["__late", "__none", "__group", *order], name).drop("__q", "__late", "__group", "__none")
 
 
 def diverse(df: DataFrame, group: str, key: str, n: int) -> DataFrame:
     """n rows: the first (by key) of each group in the groups' order, then the rest by key; repeated keys are skipped in the rest."""
-    d = ranked(df, [group], [key], "__q")
-    d = d.withColumn("__late", F.col("__q") > 1).withColumn("__group", F.when(~F.col("__late"), F.col(group)))
-    return d.orderBy("__late", F.asc_nulls_last("__group"), key).limit(n).drop("__q", "__late", "__group")
+    return diverse_order(df, group, key, [], "__turn").where(F.col("__turn") <= n).orderBy("__turn").drop("__turn")
+
+
+def rebalance(df: DataFrame, positive: str, kept: str, split: str, group: str, key: str, target: float) -> DataFrame:
+    """In each split, positives that are kept, and so many others that these make up the target share.
+
+    positive, kept: boolean columns; kept says which positives a diversification leaves. Their
+    share of all rows of the split counts (other positives included): from the target on, all
+    others stay; below it, the first int(p * (1 - t) / t) others, the groups taken in turn (see
+    diverse_order). A split without positives stays whole.
+    """
+    sizes = df.groupBy(split).agg(F.count("*").alias("__n"), F.count_if(F.col(positive)).alias("__p"), F.count_if(F.col(positive) & F.col(kept)).alias("__c")).withColumnRenamed(split, "__split")
+    whole = (F.col("__p") == 0) | (F.col("__c") / F.col("__n") >= target)
+    sized = lambda d: d.join(sizes, F.col(split).eqNullSafe(F.col("__split")))
+    others = sized(df.where(~F.col(positive)))
+    few = sized(diverse_order(others.where(~whole).select(*df.columns), group, key, [split], "__turn")).where(F.col("__turn") <= F.floor(F.col("__c") * (1 - target) / target))
+    return df.where(F.col(positive) & F.col(kept)).unionByName(others.where(whole).select(*df.columns)).unionByName(few.select(*df.columns))
 
 
 def rotated(df: DataFrame, position: Column, key: Column, size: Column) -> DataFrame:
@@ -131,13 +150,14 @@ def pick_contexts(df: DataFrame, turn: str, repo: str, parent: str, group: str,
 def greedy_caps(df: DataFrame, key: str, fingerprint: str, kind: str, group: str, order: list[str], most_kind: int, most_group: int) -> DataFrame:
     """Keys kept by one pass in order: the fingerprint is new, and the kind's and the group's counts are below their caps; what is rejected uses nothing.
 
-    The rule is sequential. Where no cap can bind, the first row of each fingerprint is the
-    answer and no single task is needed; else slim keys stream through one task that holds
-    the counts and the fingerprints kept, never the rows.
+    The rule is sequential. A later row of one fingerprint, kind and group can never be taken,
+    so only the first of each goes on. Where no cap can bind, the first row of each fingerprint
+    is the answer; else slim keys stream through one task that holds the counts and the
+    fingerprints kept, never the rows.
     """
-    slim = df.select(key, fingerprint, kind, group, *[c for c in order if c not in (key, fingerprint, kind, group)])
-    sizes = slim.groupBy(kind).count().agg(F.max("count").alias("k")).join(F.broadcast(slim.groupBy(group).count().agg(F.max("count").alias("g")))).first()
-    if (sizes["k"] or 0) <= most_kind and (sizes["g"] or 0) <= most_group:
+    slim = settle(first_of(df.select(key, fingerprint, kind, group, *[c for c in order if c not in (key, fingerprint, kind, group)]), [fingerprint, kind, group], order))
+    most = lambda by: slim.groupBy(by).count().agg(F.max("count")).first()[0] or 0
+    if most(kind) <= most_kind and most(group) <= most_group:
         return first_of(slim, [fingerprint], order).select(key)
 
     def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,17 +174,36 @@ def greedy_caps(df: DataFrame, key: str, fingerprint: str, kind: str, group: str
     return slim.repartition(1).sortWithinPartitions(*order).mapInPandas(fold, f"{key} {df.schema[key].dataType.simpleString()}")
 
 
-def stratified(df: DataFrame, kind: str, tier: str, group: str, key: str, per_kind: int, tiers: list[str], most: int) -> DataFrame:
-    """Held-out rows: at most per_kind of each kind, in turns over the tiers, no two of one source group, `most` in all.
+def stratified(df: DataFrame, kind: str, tier: str, group: str, order: list[str], per_kind: int, tiers: list[str], most: int) -> DataFrame:
+    """Held-out rows with `pick`, their place from 0 in their kind: at most per_kind of each kind, in turns over the tiers, no two of a kind from one group, `most` in all by kind and place.
 
-    Group uniqueness couples only rows of one kind here, as the first row of a group overall is
-    chosen beforehand; each kind's candidates are at most one a group.
+    A missing kind is `unknown`, a missing tier `normal`, a missing group the empty one; order
+    names columns that tell rows apart. A group that was taken once bars all its rows of the
+    kind, so of a kind, tier and group only the first row counts, and of a kind and tier the
+    first 2 * per_kind of those: fewer than per_kind can be barred. The turns are taken on
+    these, a bounded number for each kind.
     """
-    lone = first_of(df, [group], [key])
-    place = F.array_position(F.array(*[F.lit(t) for t in tiers]), F.col(tier))
-    d = ranked(lone, [kind, tier], [key], "__q").withColumn("__tier", place)
-    d = first_n(d, [kind], ["__q", "__tier", key], per_kind)
-    return d.orderBy(kind, "__q", "__tier", key).limit(most).drop("__q", "__tier")
+    or_else = lambda c, v: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(v))
+    slim = df.select(*order, or_else(kind, "unknown").alias("__kind"), or_else(tier, "normal").alias("__tier"), F.coalesce(F.col(group), F.lit("")).alias("__group")).where(F.col("__tier").isin(tiers))
+    few = first_n(first_of(slim, ["__kind", "__tier", "__group"], order), ["__kind", "__tier"], order, 2 * per_kind)
+    few = few.withColumn("__turn", F.array_position(F.array(*[F.lit(t) for t in tiers]), F.col("__tier")))
+
+    def turns(frame: pd.DataFrame) -> pd.DataFrame:
+        waiting = {t: list(rows) for t, rows in frame.sort_values(order).groupby("__turn").groups.items()}
+        picked, taken = [], set()
+        while len(picked) < per_kind and any(waiting.values()):
+            for t in sorted(waiting):
+                free = [i for i in waiting[t] if frame["__group"][i] not in taken]
+                if free and len(picked) < per_kind:
+                    picked.append(free[0])
+                    taken.add(frame["__group"][free[0]])
+                waiting[t] = free[1:]
+        return frame.loc[picked, order].assign(__kind=frame["__kind"].iloc[0], pick=range(len(picked)))
+
+    shape = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in order)
+    picked = few.groupBy("__kind").applyInPandas(turns, f"{shape}, __kind string, pick int")
+    picked = picked.orderBy("__kind", "pick").limit(most)
+    return df.join(picked, order).drop("__kind")
 
 
 # ---- split rules

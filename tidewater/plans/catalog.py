@@ -135,13 +135,15 @@ def stride_per_type(spark, d):
 
 
 @query(
-    f"""with m as (select d.doc_id, {_MD5('d.source', 5)} as s, coalesce(l.toxic, 0) = 1 as pos from documents d left join labels l using (doc_id)),
-    r as (select *, count(*) over (partition by s) as n, count(*) filter (pos) over (partition by s) as p, row_number() over (partition by s, pos order by doc_id) as r from m)
-    select doc_id, s from r where pos or p = 0 or p / n >= 0.8 or r <= floor(p * (1 - 0.8::double) / 0.8::double)"""
+    f"""with m as (select d.doc_id, d.source, {_MD5('d.source', 5)} as s, coalesce(l.toxic, 0) = 1 as pos from documents d left join labels l using (doc_id)),
+    r as (select *, count(*) over (partition by s) as n, count(*) filter (pos) over (partition by s) as p, count(*) filter (pos and doc_id % 4 <> 0) over (partition by s) as c, row_number() over (partition by s, pos, source order by doc_id) as q from m),
+    t as (select *, row_number() over (partition by s, pos order by q > 1, case when q = 1 then source end nulls last, doc_id) as turn from r)
+    select doc_id, s from t where case when pos then doc_id % 4 <> 0 else p = 0 or c / n >= 0.3::double or turn <= floor(c * (1 - 0.3::double) / 0.3::double) end"""
 )
 def bug_share_rebalance(spark, d):
-    marked = _docs(spark, d).select("doc_id", X.hash_mod(F.col("source"), 5).alias("s")).join(_t(spark, d, "labels").select("doc_id", "toxic"), "doc_id", "left")
-    return selection.rebalance(marked, F.coalesce(F.col("toxic"), F.lit(0)) == 1, ["doc_id"], 0.8, ["s"]).select("doc_id", "s")
+    marked = _docs(spark, d).select("doc_id", "source", X.hash_mod(F.col("source"), 5).alias("s")).join(_t(spark, d, "labels").select("doc_id", "toxic"), "doc_id", "left")
+    marked = settle(marked.select("doc_id", "source", "s", (F.coalesce("toxic", F.lit(0)) == 1).alias("pos"), (F.col("doc_id") % 4 != 0).alias("kept")))
+    return selection.rebalance(marked, "pos", "kept", "s", "source", "doc_id", 0.3).select("doc_id", "s")
 
 
 @query(
@@ -199,7 +201,7 @@ def greedy_diversify(spark, d):
 @query()
 def stratified_holdout(spark, d):
     docs = _docs(spark, d).select("doc_id", "lang", "source", F.md5("text").alias("g"))
-    return selection.stratified(docs, "source", "lang", "g", "doc_id", 6, ["de", "en", "es", "fr"], 220)
+    return selection.stratified(docs, "source", "lang", "g", ["doc_id"], 6, ["de", "en", "es", "fr"], 220)
 
 
 @query("select doc_id from (select doc_id from documents order by md5(doc_id::varchar), doc_id limit 10)")
