@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tidewater.llm import decontaminate, html_text, langid, mixing, quality, sharding, simhash, suffix_tree, token_store, tokens
 from tidewater.llm.components import components
@@ -106,7 +107,7 @@ def test_null_and_repeated_ids(spark):
     assert sorted(r["slot"] for r in sharding.assign(df, sharding.balanced(1, 1, 1)).collect()) == [0, 1, 2, 3]
     assert sum(r["size"] for r in mixing.mix(df).collect()) == 16
     assert quality.judge(df).count() == 4
-    assert suffix_tree.score(df, df).count() == 4
+    assert suffix_tree.score(df).count() == 4
     assert langid.identify(df, langid.learn(df), ["doc_id"]).where("lang_pred = 'und' and score = 0").count() == 4
     assert decontaminate.contamination(df, spark.createDataFrame([(None, "b c")], "item_id long, text string")).where("n_hit = 2 and n_items = 0 and contaminated").count() == 4
 
@@ -357,40 +358,92 @@ def test_boilerplate_of_a_hot_host(spark, times):
     assert quality.judge(df.repartition(8)).where("kept <> (doc_id >= 1000)").count() == 0
 
 
-def test_suffix_tree_base_score(spark, docs, none):
-    train = docs.where("doc_id % 3 <> 0")
-    found = by_id(suffix_tree.score(docs, train, hot_words=20, piece=500))
-    counts, total = collections.Counter(), 0
-    for d in train.collect():
-        w = [*WORD.findall(lower(d["text"] or "")), 0]
-        counts.update(w)
-        total += len(w)
-    for d in docs.collect():
-        w, r = [*WORD.findall(lower(d["text"] or "")), 0], found[d["doc_id"]]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(w), sum(counts[x] > 0 for x in w), total)
-        assert r["base_score"] == pytest.approx(sum(math.log10((counts[x] + 1) / (total + len(counts) + 1)) for x in w))
-        assert r["score"] < 0
-    whole = by_id(suffix_tree.score(docs, train))
-    assert all(whole[d]["score"] == pytest.approx(found[d]["score"]) for d in found)
-    assert suffix_tree.score(none, none).count() == 0
-    empty = by_id(suffix_tree.score(docs, none))
-    assert all(r["n_known"] == 0 and r["base_score"] == 0 for r in empty.values())
-
-
-def test_suffix_tree_is_a_distribution():
-    r = random.Random(6)
-    text = b"".join(r.choice([b"abra", b"cad ", b"abr "]) for _ in range(3000)) + b"\n"
-    depth, grams = 4, []
-    keys = suffix_tree.windows(text, depth)
-    for n in range(1, depth + 2):
-        grams.append(np.unique(keys >> np.uint64(8 * (depth + 1 - n)), return_counts=True))
-    tree = suffix_tree.Tree(grams, len(text), 1, 2, depth, 2.0, 6.0)
-    assert sum(len(s[0]) for s in tree.states) > 5
-    for past in (b"abra", b"\n\n\n\n", b"zzzz", b"d ab", b"ra a"):
-        every = np.array([int.from_bytes(bytes([s]) + past[::-1], "big") for s in range(256)], np.uint64)
-        assert (10 ** tree.log10(every)).sum() == pytest.approx(1.0)
-    scorer = suffix_tree.Scorer(tree, most=40)
-    assert np.allclose(scorer(keys), tree.log10(keys)) and np.allclose(scorer(keys[::-1]), tree.log10(keys[::-1]))
+def plain_tree(train, smoothing=32.0, tests=2.0):
+    """The tree by dictionaries of whole contexts; gives (probability of a symbol after a past, counts of symbols)."""
+    runs = [collections.Counter() for _ in range(4)]
+    for symbols in train:
+        for n in (1, 2, 3):
+            runs[n].update(zip(*(symbols[i:] for i in range(n))))
+    counts = {k[0]: n for k, n in runs[1].items() if k[0] != "<"}
+    total = sum(counts.values())
+    root = lambda w: (counts.get(w, 0) + 1) / (total + len(counts) + 1)
+    held, states = collections.Counter(), set()
+
+    def p(past, w, most):
+        for n in range(min(most, len(past)), 0, -1):
+            c = past[-n:]
+            if c in states:
+                k = runs[n + 1][(*c, w)]
+                return ((k if k > 1 else 0) + (smoothing + runs[n][c] - held[c]) * p(past, w, n - 1)) / (runs[n][c] + smoothing)
+        return root(w)
+
+    for n in (1, 2):
+        gain, symbols = collections.Counter(), collections.Counter()
+        for k, times in runs[n + 1].items():
+            c, w = k[:-1], k[-1]
+            if times > 1:
+                q = 2 ** (-round(-math.log2(p(c[1:], w, n - 1)) * 1024) / 1024)
+                held[c] += times
+                symbols[c] += 1
+                gain[c] += times * math.log((times + smoothing * q) / ((runs[n][c] + smoothing) * q))
+        for c, u in symbols.items():
+            once = runs[n][c] - held[c]
+            gain[c] += once * math.log((smoothing + once) / (runs[n][c] + smoothing)) if once else 0
+            if 2 * gain[c] > u + tests * math.sqrt(2 * u):
+                states.add(c)
+    return lambda past, w: p(tuple(past), w, 2), counts, states
+
+
+def symbols_of(text):
+    return ["<", *WORD.findall(lower(text or "")), ">"]
+
+
+def check_scores(rows, learned, found):
+    probability, counts, states = plain_tree([symbols_of(t) for i, t in rows if learned(i)])
+    total = sum(counts.values())
+    for i, text in rows:
+        s, r = symbols_of(text), found[i]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(s) - 1, sum(w in counts for w in s[1:]), total)
+        assert r["base_score"] == pytest.approx(sum(math.log10((counts.get(w, 0) + 1) / (total + len(counts) + 1)) for w in s[1:]))
+        assert r["score"] == pytest.approx(sum(math.log10(probability(s[max(0, k - 2) : k], s[k])) for k in range(1, len(s))))
+    return states
+
+
+@pytest.mark.parametrize("piece", [300, 5000, 4 << 20])
+def test_suffix_tree_scores(spark, docs, piece):
+    rows = [(d["doc_id"], d["text"]) for d in docs.collect()]
+    found = by_id(suffix_tree.score(docs, F.col("doc_id") % 3 != 0, piece=piece))
+    states = check_scores(rows, lambda i: i % 3 != 0, found)
+    assert {len(c) for c in states} == {1, 2}
+
+
+def test_suffix_tree_query(spark, tmp_path):
+    r = random.Random(12)
+    body = lambda: " ".join(r.choice(["the", "of", "a", *(f"w{k}" for k in range(200))]) for _ in range(r.randint(0, 150)))
+    texts = [body() for _ in range(60)]
+    texts += texts[:10]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    found = by_id(suffix_tree.op8_suffix_tree(spark, f"file://{tmp_path}"))
+    held = {i for i in range(70) if zlib.crc32(str(i).encode()) % 7 == 2}
+    assert held and {i for i in found if found[i]["held_out"]} == held
+    check_scores(list(enumerate(texts)), lambda i: i not in held, found)
+    twice = [i for i in range(10) if i not in held and 60 + i not in held and len(texts[i]) > 200]
+    mean = lambda i: found[i]["score"] / found[i]["n_tokens"]
+    assert min(mean(i) for i in twice) > max(mean(i) for i in range(10, 60) if len(texts[i]) > 200)
+
+
+def test_suffix_tree_without_rows(spark, docs, none):
+    assert suffix_tree.score(none).count() == 0
+    empty = by_id(suffix_tree.score(docs, F.lit(False)))
+    assert all(r["n_known"] == 0 and r["base_score"] == 0 and r["score"] == 0 for r in empty.values())
+
+
+def test_packed_numbers():
+    r = random.Random(2)
+    for n in (0, 1, 5, 300):
+        for most in (0, 1, 255, 256, (1 << 64) - 1):
+            x = np.array(sorted(r.randint(0, most) for _ in range(n)), np.uint64)
+            assert suffix_tree.unpacked(suffix_tree.packed(x)).tolist() == x.tolist() == suffix_tree.unpacked(suffix_tree.packed(x, True), True).tolist()
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="no-sidebar">
@@ -474,3 +527,56 @@ def test_hit_spans_and_items(spark):
     assert [tuple(x) for x in found[1]["spans"]] == [(2, 12), (3, 13), (4, 14)] and found[1]["items"] == ["7"]
     assert found[2]["spans"] == [] and found[2]["items"] == []
     assert [tuple(x) for x in found[3]["spans"]] == [(1, 3)] and found[3]["items"] == ["8"]
+
+
+def scanned(page, width=3, threshold=86, prior=8):
+    """Surges and dives by brute force: every block summed anew."""
+    found = html_text.lines_of(page)
+    own = [(prior * len(t) if inside else n) if t else 0 for t, n, inside in found]
+    if not any(own):
+        own = [len(t) for t, _, _ in found]
+    side = []
+    for t, _, inside in found:
+        side.append(inside if t else bool(side) and side[-1])
+    def block(places, k):
+        total = 0
+        for j in places[k : k + width]:
+            if side[j] != side[places[k]]:
+                break
+            total += own[j]
+        return total
+    every, told = list(range(len(found))), [i for i, f in enumerate(found) if f[0]]
+    surge = min(threshold, max((block(every, k) for k in every), default=0) - 1)
+    kept, on, last = [], False, None
+    for k, i in enumerate(told):
+        on = block(told, k) > 0 if on and side[i] == last else block(every, i) > surge
+        last = side[i]
+        if on and own[i]:
+            kept.append(found[i][0])
+    return "\n".join(kept)
+
+
+def test_blocks_decide_on_any_page():
+    r = random.Random(8)
+    tags = ["p", "div", "li", "h2", "nav", "article", "aside", "footer", "section", "a"]
+    for _ in range(400):
+        page = ""
+        for _ in range(r.randint(0, 14)):
+            tag, words = r.choice(tags), " ".join(r.choice(["ab", "cde", "<a href=x>link text</a>", "&amp;"]) for _ in range(r.choice([0, 1, 3, 12, 40])))
+            page += r.choice(["<{0}>{1}</{0}>", "<{0}>{1}", "{1}<br>", "<{0} class=ad>{1}</{0}>"]).format(tag, words)
+        assert html_text.main_text(page) == scanned(page)
+
+
+def test_articles_are_found_without_names():
+    r = random.Random(9)
+    say = lambda n: " ".join("".join(r.choices("abcdefgh", k=r.randint(2, 9))) for _ in range(n))
+    for _ in range(50):
+        body = [say(5), *(say(r.randint(12, 90)) for _ in range(r.randint(2, 6)))]
+        menu = "".join(f"<li><a href=/{i}>{say(1)}</a></li>" for i in range(6))
+        article = "".join(f"<p>{x}</p>" for x in body)
+        named = f'<nav id="menu"><ul>{menu}</ul></nav><div class="ad">{say(4)}</div><article class="post"><h1>{say(3)}</h1>{article}</article><footer>{say(9)}</footer>'
+        plain = re.sub(r"<(/?)(article|nav|footer)", r"<\1div", re.sub(r' (?:class|id|role)="[^"]*"', "", named))
+        assert html_text.main_text(named).split("\n")[1:] == body
+        assert set(body) <= set(html_text.main_text(plain).split("\n"))
+    assert html_text.main_text("<p><a href=x>nothing but a link</a></p>") == "nothing but a link"
+    assert html_text.main_text("<article><p>so <math><mi>x</mi></math> is</p></article>") == "so x is"

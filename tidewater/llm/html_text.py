@@ -1,13 +1,14 @@
 """Main text of HTML pages by line-block distribution.
 
-Markup is stripped into lines, one for each block element. Lines of parts that are never the
-article (menus, page headers, footers, sidebars, notices, adverts, forms, comments; told by
-element, role, class or id) weigh nothing, and link text weighs nothing outside an article.
-The block at a line is the weight of the next `width` lines together. Text begins at a surge
-(the block exceeds the threshold) and ends at a dive (the block is zero). Lines of unwanted
-parts keep text from beginning, but are skipped within running text, so they do not end it.
-In an article or main element a character weighs more than the threshold, so any line there
-is a surge; blocks do not reach across its borders, and lines outside must surge themselves.
+Markup is stripped into lines, one for each block element. Each line has a weight, its
+characters outside links; the block at a line is the weight of the next `width` lines together.
+Text begins at a surge (the block exceeds the threshold) and ends at a dive (the block is
+zero); so it goes on every page. Elements, roles and names are prior weights alone: lines of
+parts that are never the article (menus, page headers, footers, sidebars, notices, adverts,
+forms, comments) weigh nothing, and a character in an article or main element, linked or not,
+weighs `prior` times as much. Blocks do not reach across the border of such an element, and
+lines beyond it must surge themselves. Unwanted lines keep text from beginning, but are
+skipped within running text, so they do not end it.
 
 Edge cases: null, empty and text-less pages give ''; unclosed and crossing elements end with
 what encloses them; very long pages are read in one forward pass; repeated rows each get a
@@ -30,7 +31,7 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|\Z)""", re.I)
 
 # Elements and names of HTML.
-_RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math".split())
+_RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul option".split())
 _NEVER = frozenset("nav footer aside form head select button dialog menu object applet canvas audio video datalist search".split())
@@ -149,34 +150,45 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return out
 
 
-def _blocks(lines: list[tuple[int, bool]], width: int) -> list[int]:
-    """For each (weight, inside an article), the weight of it and the next lines up to `width` that are on the same side."""
-    out = []
-    for i, (_, side) in enumerate(lines):
-        total = 0
-        for weight, own in lines[i : i + width]:
-            if own != side:
-                break
-            total += weight
-        out.append(total)
+def weights(found: list[tuple[str, int, bool]], prior: int) -> list[tuple[int, bool]]:
+    """(weight, inside an article) of each line: its characters outside links, or in an article `prior` times all of them; an unwanted line weighs nothing, on the side of the line before it."""
+    only_links = not any(own or article for text, own, article in found if text)
+    out: list[tuple[int, bool]] = []
+    for text, own, article in found:
+        if not text:
+            out.append((0, bool(out) and out[-1][1]))
+        else:
+            out.append((prior * len(text) if article else len(text) if only_links else own, article))
+    return out
+
+
+def blocks(lines: list[tuple[int, bool]], width: int) -> list[int]:
+    """For each line the weight of it and the next ones, `width` in all, as far as they are on its side of an article's border."""
+    out = [0] * len(lines)
+    total = stop = 0
+    for i, (weight, side) in enumerate(lines):
+        stop = max(stop, i)
+        while stop < min(len(lines), i + width) and lines[stop][1] == side:
+            total += lines[stop][0]
+            stop += 1
+        out[i] = total
+        total -= weight
     return out
 
 
-def main_text(page: str | None, width: int = 3, threshold: int = 86) -> str:
+def main_text(page: str | None, width: int = 3, threshold: int = 86, prior: int = 8) -> str:
+    """The lines from each surge to the next dive. A page whose largest block is below the threshold surges there."""
     found = lines_of(page) if page else []
-    lines: list[tuple[int, bool]] = []
-    for text, own, article in found:
-        side = article if text else bool(lines) and lines[-1][1]  # an unwanted line is on the side of the line before it
-        lines.append((len(text) * (threshold + 1) if article else own, side))
-    surges = _blocks(lines, width)
-    dives = iter(_blocks([x for x, f in zip(lines, found) if f[0]], width))
-    surge = min(threshold, max(surges, default=0) - 1)
+    lines = weights(found, prior)
+    ahead = blocks(lines, width)
+    surge = min(threshold, max(ahead, default=0) - 1)
+    running = iter(blocks([x for x, f in zip(lines, found) if f[0]], width))  # unwanted lines do not end running text
     kept, inside, before = [], False, False
-    for (text, _, _), (weight, side), block in zip(found, lines, surges):
+    for (text, _, _), (weight, side), block in zip(found, lines, ahead):
         if not text:
             continue
-        ahead = next(dives)
-        inside = ahead > 0 if inside and side == before else block > surge
+        rest = next(running)
+        inside = rest > 0 if inside and side == before else block > surge
         before = side
         if inside and weight > 0:
             kept.append(text)
