@@ -1,9 +1,10 @@
 """Quality rules by cross-document line frequency, with DataFrame functions only.
 
-A line is normalised (lower case, runs of white space as one space) and hashed. For each
-source (the host), the distinct texts that hold a line are counted; a line in more than
-`most_docs` of them is boilerplate and removed, however many texts the host has. A text that keeps less than `least_left` of its words is depleted
-and rejected. Copies of one text count once, so they do not make each other boilerplate.
+A line is normalised (lower case, runs of white space as one space, none at its ends) and
+hashed. For each source (the host), the distinct texts that hold a line are counted; a line in
+more than `most_docs` of them is boilerplate and removed, however many texts the host has. A
+text that keeps less than `least_left` of its words is depleted and rejected. Copies of one
+text count once, so they do not make each other boilerplate.
 
 Edge cases: a null or blank text has no words and fails the base rules; a null source is a
 host; repeated rows each get a row and the same verdict; very long texts are handled within
@@ -30,10 +31,10 @@ def _repeat_words(words: str) -> tuple[list[tuple[str, object]], object]:
         f"case when size({words}) >= 4 then sort_array(transform(sequence(0, size({words}) - 3), i -> "
         f"(xxhash64(get({words}, i), get({words}, i + 1), get({words}, i + 2)) & ~(shiftleft(1L, place_bits) - 1L)) | cast(i as long))) else cast(array() as array<long>) end"
     )
-    twins = F.expr(
-        "transform(filter(windows, (x, i) -> coalesce(shiftright(x, place_bits) = shiftright(get(windows, i - 1), place_bits), false) "
-        "or coalesce(shiftright(x, place_bits) = shiftright(get(windows, i + 1), place_bits), false)), x -> x & (shiftleft(1L, place_bits) - 1L))"
-    )
+    place = lambda x: f"cast({x} & (shiftleft(1L, place_bits) - 1L) as int)"
+    # Equal hashes are neighbours; the words themselves are compared, as a long text leaves few bits to the hash.
+    same = lambda x, y: f"coalesce(shiftright({x}, place_bits) = shiftright({y}, place_bits) and " + " and ".join(f"get({words}, {place(x)} + {k}) = get({words}, {place(y)} + {k})" for k in range(3)) + ", false)"
+    twins = F.expr(f"transform(filter(windows, (x, i) -> {same('x', 'get(windows, i - 1)')} or {same('x', 'get(windows, i + 1)')}), x -> x & (shiftleft(1L, place_bits) - 1L))")
     covered = F.expr(
         "aggregate(sort_array(twins), named_struct('n', 0L, 'end', 0L), (a, p) -> named_struct('n', a.n + p + 3L - greatest(a.end, p), 'end', p + 3L), a -> a.n)"
     )
@@ -41,7 +42,7 @@ def _repeat_words(words: str) -> tuple[list[tuple[str, object]], object]:
 
 
 def _key(line):
-    return F.xxhash64(F.lower(F.regexp_replace(F.trim(line), r"[\x20\x09-\x0D]+", " ")))
+    return F.xxhash64(F.lower(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))))
 
 
 def measures(docs: DataFrame, with_text: bool = False) -> DataFrame:

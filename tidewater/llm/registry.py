@@ -6,6 +6,7 @@ from tidewater.llm.decontaminate import op10_winnowing
 from tidewater.llm.html_text import op9_line_blocks
 from tidewater.llm.langid import op3_rank_order
 from tidewater.llm.mixing import op5_entropy_balance
+from tidewater.llm.oracles import ORACLES
 from tidewater.llm.quality import op7_line_frequency
 from tidewater.llm.sharding import op6_hash_tree
 from tidewater.llm.simhash import op1_simhash
@@ -15,4 +16,5 @@ from tidewater.llm.tokens import op4_lengths
 
 _ALL = (op1_simhash, op2_token_store, op3_rank_order, op4_lengths, op5_entropy_balance, op6_hash_tree, op7_line_frequency, op8_suffix_tree, op9_line_blocks, op10_winnowing)
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
