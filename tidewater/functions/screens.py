@@ -32,17 +32,24 @@ GRAPH_WORDS = ("adf::graph", "connect<", "kernel::create")
 DSL_ONLY = ("chess_prepare_for_pipelining", "is not a member of 'aie'", "is not a member of 'adf'", "'input_stream' was not declared", "'output_stream' was not declared", "runtime<ratio>", "readincr_v<", "writeincr_v<", "expected ';' before 'for'", "statement cannot resolve address of overloaded function")
 PROJECT_MUST = {
     "missing_adf_include": r"#include\s*<adf\.h>", "missing_graph_class": r"class\s+\w+\s*:\s*public\s+adf::graph", "missing_kernel_create": r"adf::kernel::create\s*\(", "missing_source_assignment": r"adf::source\s*\(",
-    "missing_connect": r"adf::connect\s*<", "missing_runtime_ratio": r"adf::runtime\s*<\s*adf::ratio\s*>\s*\(", "missing_kernel_function_body": r"\bvoid\s+\w+\s*\([^)]*\)\s*\{",
-    "missing_aie_kernel_ops": r"readincr|writeincr|load_v|store_v|aie::mac|aie::mul|input_buffer|output_buffer",
+    "missing_connect": r"adf::connect\s*<", "missing_runtime_ratio": r"adf::runtime\s*<\s*adf::ratio\s*>\s*\(",
 }
+KERNEL_MUST = {"missing_kernel_function_body": r"\bvoid\s+\w+\s*\([^)]*\)\s*\{", "missing_aie_kernel_ops": r"readincr|writeincr|load_v|store_v|aie::mac|aie::mul|input_buffer|output_buffer"}
 PROJECT_MUST_NOT = {
     "templated_kernel_create": r"adf::kernel::create\s*<", "invalid_vector_zeros_api": r"aie::zeros\s*<\s*(?:int|uint|cint|float|bfloat)\w*\s*,", "missing_to_vector_shift": r"\.to_vector\s*<[^>]+>\s*\(\s*\)",
     "unsupported_sliding_mac_signature": r"aie::mac\s*\([^\n,]+,[^\n,]+,\s*\d+\s*,", "unsupported_shuffle_up_usage": r"aie::shuffle_up\s*\(",
 }
-GRAPH_MUST_NOT = {
-    "kernel_stream_declared_in_graph_h": r"\b(?:input_stream|output_stream)\s*<[^>]+>\s+[A-Za-z_]\w*\s*(?:,|;)",
-    "unqualified_adf_graph_symbols": r"(?<!adf::)(?:\bkernel::create\s*\(|\binput_plio::create\s*\(|\boutput_plio::create\s*\(|\bconnect\s*<|\bruntime\s*<\s*ratio\s*>|\bplio_(?:32|64|128)_bits\b|\bstream\b|\bwindow\s*<)",
-}
+GRAPH_STREAM = r"\b(?:input_stream|output_stream)\s*<[^>]+>\s+[A-Za-z_]\w*\s*(?:,|;)"
+UNQUALIFIED = (
+    r"(?<!adf::)\bkernel::create\s*\(",
+    r"(?<!adf::)\binput_plio::create\s*\(",
+    r"(?<!adf::)\boutput_plio::create\s*\(",
+    r"(?<!adf::)\bconnect\s*<",
+    r"(?<!adf::)\bruntime\s*<\s*ratio\s*>",
+    r"(?<!adf::)\bplio_(?:32|64|128)_bits\b",
+    r"(?<!adf::)\bstream\b",
+    r"(?<!adf::)\bwindow\s*<",
+)
 
 
 def labels(text: Column, table: dict[str, tuple[str, ...]], default: str | None = None) -> Column:
@@ -134,7 +141,7 @@ def mutation_gate(reply: Column, correct: Column, bad_apis: tuple[str, ...] = ()
 
 
 def project_gate(code: Column) -> Column:
-    """Reasons against a generated project of a graph and its kernels (structure only)."""
+    """Reasons against a generated project of a graph and its kernels (structure only), in the order of the checks; a graph file without a class is told twice."""
     names = F.transform(F.regexp_extract_all(code, F.lit(r"(?m)^\s*//\s*FILE:[ \t]*(\S[^\n]*)"), F.lit(1)), lambda x: F.lower(strip(x)))
     graph = F.coalesce(F.try_element_at(project_files(code), F.lit("graph.h")), F.lit(""))
     class_name = F.regexp_extract(graph, r"class\s+(\w+)\s*:\s*public\s+adf::graph", 1)
@@ -143,15 +150,17 @@ def project_gate(code: Column) -> Column:
     instances = F.regexp_extract_all(graph, F.lit(r"\b(\w+)\s+\w+\s*;"), F.lit(1))
     window = graph.rlike(r"adf::connect\s*<\s*adf::window<") & code.rlike(r"\bvoid\s+\w+\s*\([^)]*\b(?:input_stream|output_stream)\s*<")
     stream = graph.rlike(r"adf::connect\s*<\s*adf::stream\s*>") & code.rlike(r"\bvoid\s+\w+\s*\([^)]*\b(?:input_window|output_window)\s*<")
+    has_graph = graph != ""
     out = [
         F.when(F.size(names) < 2, "needs_at_least_two_files"), F.when(~F.exists(names, lambda n: F.endswith(n, F.lit("graph.h"))), "missing_graph_h"),
         F.when(~F.exists(names, lambda n: n.rlike(r"kernels/.*\.(?:cc|cpp)\z")), "missing_kernel_source_file"),
-        *[F.when(~code.rlike(p), r) for r, p in PROJECT_MUST.items()], *[F.when(code.rlike(p), r) for r, p in PROJECT_MUST_NOT.items()], *[F.when(graph.rlike(p), r) for r, p in GRAPH_MUST_NOT.items()],
-        F.when((graph != "") & (class_name == ""), "missing_graph_class"), F.when((class_name != "") & ~F.array_contains(instances, class_name), "missing_graph_instance"),
-        F.when(F.size(F.array_except(created, declared)) > 0, "missing_kernel_forward_declaration"),
-        F.when(window, "window_connect_stream_signature_mismatch"), F.when(stream, "stream_connect_window_signature_mismatch"),
+        *[F.when(~code.rlike(p), r) for r, p in PROJECT_MUST.items()],
+        F.when(has_graph & (class_name == ""), "missing_graph_class").when((class_name != "") & ~F.array_contains(instances, class_name), "missing_graph_instance"),
+        F.when(F.size(F.array_except(created, declared)) > 0, "missing_kernel_forward_declaration"), F.when(graph.rlike(GRAPH_STREAM), "kernel_stream_declared_in_graph_h"),
+        F.when(graph.rlike("|".join(f"(?:{p})" for p in UNQUALIFIED)), "unqualified_adf_graph_symbols"), *[F.when(code.rlike(p), r) for r, p in PROJECT_MUST_NOT.items()],
+        F.when(window, "window_connect_stream_signature_mismatch"), F.when(stream, "stream_connect_window_signature_mismatch"), *[F.when(~code.rlike(p), r) for r, p in KERNEL_MUST.items()],
     ]
-    return F.array_distinct(F.array_compact(F.array(*out)))
+    return F.array_compact(F.array(*out))
 
 
 def fix_candidate(error_class: Column, code: Column, log: Column, file_type: Column, classes: tuple[str, ...], include: tuple[str, ...], exclude: tuple[str, ...], most_lines: int = 80) -> Column:

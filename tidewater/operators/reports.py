@@ -80,3 +80,31 @@ def cost_totals(ledger: DataFrame, prices: DataFrame, model: str, tokens_in: str
 def quality_audit(df: DataFrame, reasons: str) -> DataFrame:
     """(reason, n) over a column of lists of reasons."""
     return label_coverage(df, reasons).select(F.col("label").alias("reason"), "n")
+
+
+def n_rows(df: DataFrame, *tests: Column | str) -> DataFrame:
+    """One row: n, and n_1, n_2, ... that pass each test (what is null does not)."""
+    counted = [F.count_if(F.coalesce(F.expr(t) if isinstance(t, str) else t, F.lit(False))).alias(f"n_{i}") for i, t in enumerate(tests, 1)]
+    return df.agg(F.count("*").alias("n"), *counted)
+
+
+def labelled_counts(df: DataFrame, column: str, labels: dict[str, str], missing: str = "unknown") -> DataFrame:
+    """(label, n, share) for a chart: values under their labels (several may have one), others under themselves, the largest first."""
+    table = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), F.lit(v))]) if labels else None
+    value = F.coalesce(F.col(column), F.lit(missing))
+    label = F.coalesce(F.try_element_at(table, value), value) if labels else value
+    d = df.groupBy(label.alias("label")).agg(F.count("*").alias("n"))
+    total = d.agg(F.sum("n").alias("__all"))
+    return d.join(F.broadcast(total)).select("label", "n", (F.col("n") / F.col("__all")).alias("share")).orderBy(F.desc("n"), "label")  # the side is one row
+
+
+def bars(counts: list[tuple[str, int]], title: str, width: int = 640) -> str:
+    """An SVG of horizontal bars, for a report's few rows."""
+    from html import escape
+
+    most, high = max((n for _, n in counts), default=1) or 1, 24
+    lines = [f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{high * (len(counts) + 2)}" font-family="sans-serif" font-size="12">', f'<text x="8" y="{high - 6}" font-size="15">{escape(title)}</text>']
+    for i, (label, n) in enumerate(counts, 1):
+        y, long = high * i + 8, max(1, round((width - 300) * n / most))
+        lines.append(f'<text x="8" y="{y + 13}">{escape(label)}</text><rect x="220" y="{y}" width="{long}" height="{high - 8}" fill="#4878a8"/><text x="{228 + long}" y="{y + 13}">{n}</text>')
+    return "\n".join([*lines, "</svg>"])
