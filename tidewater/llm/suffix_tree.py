@@ -1,297 +1,474 @@
-"""Language-model scores from a probabilistic suffix tree over bytes.
-
-A text's words, lower-cased and joined by one space, and an end symbol are a byte sequence;
-the tree's contexts are the last up to `depth` bytes. The tree is built from the runs (a
-context and its next symbol) that are frequent enough: the least frequency is the smallest
-that at most `most_runs` runs pass, found from a histogram of their counts, so the tree is
-bounded for any corpus while the counts themselves cover all of it. A context is a state if it
-has twice that frequency and its next-symbol distribution diverges from that of its parent
-(the context without its oldest byte) by more than chance gives: twice the log-likelihood
-gain exceeds the number of its symbols by `tests` standard deviations. Distributions are smoothed
-with their parent's, which counts as `smoothing` symbols for each distinct one seen (Witten
-and Bell's way for 1), the root's with the uniform one. Each symbol is
-scored in the longest suffix of its past that is a state.
-
-All training rows are counted (tasks sum before the shuffle). The base score needs each word's count: counts of the most frequent
-words (at most `hot_words`) go to every task, the other occurrences join the counts.
-
-Edge cases: a null or blank text is the end symbol alone; without training rows N = V = 0,
-the base probability is 1 and the model is uniform over bytes; repeated rows count and are
-scored each; very long texts are scored in pieces that overlap by the depth; an empty table
-gives no rows; only doc_id and text are read.
+"""Language-model scores from a probabilistic suffix tree over words.
+
+A text is a start, its words in lower case and an end; each symbol (a word or the end) is
+predicted from the longest suffix of its past, of up to two symbols, that is a state of the
+tree. The root gives (c + 1) / (N + V + 1). A context seen N times gives a symbol that it was
+followed by n >= 2 times (n + (smoothing + N - M) p) / (N + smoothing), p being the
+probability in the longest shorter state and M the occurrences of all such symbols; a symbol
+that followed once counts as unseen there, and its mass goes to p. A context is a state if its
+distribution diverges from that of its parent by more than chance gives: twice the
+log-likelihood gain exceeds the number u of its symbols by `tests` times sqrt(2 u). The gain is
+that of n + smoothing * p for symbols seen twice, and of their mass for the others. Nothing
+is bounded by the size of the corpus: every context of it is counted and tested.
+
+How: texts are packed into chunks of some MB. In three rounds (words, contexts
+of one symbol, contexts of two) each chunk asks for what it needs, sorted and packed, a row
+for each chunk and bucket of keys; a bucket's task sums the counts of all chunks, tests its
+contexts and answers each chunk. A context with more than a 1024th of all symbols is spread
+over all buckets and its sums are added up by the chunks; there are fewer than 256 of those.
+Context totals need no round: a context occurs as often as the run that it is. No row is ever
+made for each symbol, and nothing is broadcast or collected.
+
+Edge cases: a null or blank text is the end alone; without training rows N = V = 0 and every
+probability is 1; repeated rows count and are scored each; a very long text lies in several
+chunks, each with the two symbols before it; an empty table gives no rows; only doc_id and
+text (and what says which rows to learn from) are read.
 """
 
 from __future__ import annotations
 
+import re
+import struct
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import durable, pieces, split_bucket, table
+from tidewater.llm.common import split_bucket, table, tidy
+from tidewater.llm.tokens import spans
 
-_END = b"\n"  # white space, so never part of a word
+#: The marks at the start and end of a text, as the hashes that words have; white space is part of no word.
+_START, _END = (xxhash.xxh64_intdigest(x, 11) for x in (b" ", b"\n"))
+_GAP = re.compile(r"[ \t\n\x0b\x0c\r]")
+#: What a probability is rounded to in the tests of contexts: so many steps for each halving.
+_STEPS = 8
+#: A context is hot if it has more than this part of all symbols; there are fewer such contexts than that.
+_HOT = 256
 
 
-def joined(text: bytes | None) -> tuple[bytes, list[bytes]]:
-    words = (text or b"").lower().split()
-    return b" ".join(words) + _END, words
+# ---- packed arrays
 
 
-def windows(sequence: bytes, depth: int) -> np.ndarray:
-    """For each symbol of a sequence, it and the depth bytes before it: the symbol in the highest byte, the oldest in the lowest."""
-    padded = np.frombuffer(_END * depth + sequence + bytes(8), np.uint8)
-    n = len(padded) - 8 - depth
-    return np.ndarray((n,), "<u8", padded, strides=(1,)) & np.uint64((1 << (8 * (depth + 1))) - 1)
+def packed(values: np.ndarray, ascending: bool = False) -> bytes:
+    """Whole numbers from 0 in few bytes: differences if they ascend, byte by byte, compressed."""
+    v = np.ascontiguousarray(values).astype(np.uint64)
+    if ascending and len(v):
+        v = np.concatenate([v[:1], np.diff(v)])
+    width = (int(v.max()).bit_length() + 7) // 8 if len(v) else 0
+    planes = np.ascontiguousarray(v.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return struct.pack("<IB", len(v), width) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(keys, return_counts=True)
+def unpacked(data: bytes, ascending: bool = False) -> np.ndarray:
+    n, width = struct.unpack_from("<IB", data)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[5:]), np.uint8).reshape(width, n)
+    v = np.zeros((n, 8), np.uint8)
+    v[:, :width] = planes.T
+    v = v.reshape(-1).view(np.uint64)
+    return np.cumsum(v, dtype=np.uint64) if ascending else v
 
 
-def count_rows(docs: DataFrame, depth: int, piece: int = 4 << 20) -> DataFrame:
-    """(kind, key, n) summed: kind 0 words by hash, 1 windows, 2 texts."""
+def mixed(*parts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of numbers side by side."""
+    out = np.uint64(0)
+    with np.errstate(over="ignore"):
+        for x in parts:
+            out = (out ^ x) * np.uint64(0x9E3779B97F4A7C15)
+            out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            out = out ^ (out >> np.uint64(32))
+    return out
 
-    def run(batches):
-        import collections
 
-        words: collections.Counter = collections.Counter()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        texts = 0
+# ---- chunks of texts
+
+
+def _segments(texts: pa.Array, most: int) -> Iterator[tuple[pa.Array, np.ndarray, bool, bool]]:
+    """(texts, their rows, begins, ends): runs of about `most` bytes; a longer text comes in segments cut at white space."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    at = 0
+    while at < len(texts):
+        run = int(np.searchsorted(np.cumsum(sizes[at:]), most, "right"))
+        if run:
+            yield texts.slice(at, run), np.arange(at, at + run), True, True
+            at += run
+            continue
+        text, start = texts[at].as_py(), 0
+        while start < len(text):
+            gap = _GAP.search(text, start + most // 4)
+            stop = gap.start() + 1 if gap else len(text)
+            yield pa.array([text[start:stop]], pa.string()), np.array([at]), start == 0, stop == len(text)
+            start = stop
+        at += 1
+
+
+def _hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct hashes of the words, place of each word among them, words of each text)."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = lists.flatten().dictionary_encode()
+    words, at = coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy()
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, 11) for w in words), np.uint64, len(words))
+    there = np.array([len(w) > 0 for w in words], bool)[at] if len(words) else np.zeros(0, bool)
+    of = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    return hashes, at[there], np.bincount(of[there], minlength=len(texts))
+
 
-        def rows(kind, keys, counts):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["kind", "key", "n"])
+_CHUNK = "chunk long, uids array<long>, learned array<boolean>, leads array<int>, sizes array<int>, vocabulary binary, met binary, codes binary"
 
-        def out_words():
-            keys = np.fromiter((xxhash.xxh64_intdigest(w, 11) for w in words), np.uint64, len(words))
-            counts = np.fromiter(words.values(), np.int64, len(words))
-            words.clear()
-            return rows(0, keys, counts)
 
-        def merge():
-            keys = np.concatenate([h[0] for h in held])
-            order = np.argsort(keys, kind="stable")
-            keys, counts = keys[order], np.concatenate([h[1] for h in held])[order]
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-            held[:] = [(keys[first], np.add.reduceat(counts, first) if len(first) else counts)]
+def _by_count(met: np.ndarray) -> np.ndarray:
+    return np.argsort(-met.astype(np.int64), kind="stable")
 
+
+def chunks(docs: DataFrame, learn: Column, piece: int) -> DataFrame:
+    """Texts in chunks: vocabulary (ascending hashes), met (how often each occurs), codes of each segment's leading symbols and its own, sizes (own symbols).
+
+    Codes are places in the vocabulary by how often its words occur, so that most are small.
+    """
+    own = [f.name for f in docs.schema.fields if f.name == "doc_id"]
+
+    def run(batches):
+        part, n_chunks, row = TaskContext.get().partitionId(), 0, 0
+        tail = np.zeros(0, np.uint64)
+        for batch in batches:
+            for texts, rows, begins, ends in _segments(batch.column(2).fill_null(""), piece):
+                hashes, at, counts = _hashed(texts)
+                n_lead = 1 if begins else len(tail)
+                wide = counts + n_lead + ends
+                first = np.cumsum(wide) - wide
+                out = np.empty(int(wide.sum()), np.uint64)
+                out[spans(first + n_lead, counts)] = hashes[at]
+                out[spans(first, np.full(len(first), n_lead))] = np.tile(np.array([_START], np.uint64) if begins else tail, len(first))
+                if ends:
+                    out[first + wide - 1] = np.uint64(_END)
+                tail = out[-2:]
+                vocabulary, codes, met = np.unique(out, return_inverse=True, return_counts=True)
+                rank = np.empty(len(met), np.int64)
+                rank[_by_count(met)] = np.arange(len(met))
+                learned = batch.column(1).take(pa.array(rows))
+                ids = batch.column(0).take(pa.array(rows))
+                one = lambda x, kind: pa.array([x], pa.list_(kind))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), ids), pa.array([(part << 33) + n_chunks]), one((part << 33) + row + rows, pa.int64()),
+                        pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), learned), one(np.full(len(rows), n_lead), pa.int32()), one(wide - n_lead, pa.int32()),
+                        pa.array([packed(vocabulary, True)], pa.binary()), pa.array([packed(met)], pa.binary()), pa.array([packed(rank[codes])], pa.binary()),
+                    ],
+                    ["doc_ids", "chunk", "uids", "learned", "leads", "sizes", "vocabulary", "met", "codes"],
+                )
+                n_chunks += 1
+            row += batch.num_rows
+            tidy()
+
+    kind = T.StructType([T.StructField("doc_ids", T.ArrayType(docs.schema["doc_id"].dataType)), *T._parse_datatype_string(_CHUNK).fields])
+    return docs.select(*own, F.coalesce(learn, F.lit(False)).alias("__learn"), F.col("text").alias("__text")).mapInArrow(run, kind)
+
+
+class Chunk:
+    """A chunk and, round by round, what it has asked and been told."""
+
+    def __init__(self, row: dict, buckets: int, smoothing: float):
+        self.buckets, self.smoothing = buckets, smoothing
+        self.hashes = unpacked(row["vocabulary"], True)
+        codes = _by_count(unpacked(row["met"])).astype(np.int32)[unpacked(row["codes"]).astype(np.int32)]
+        leads, sizes = np.array(row["leads"], np.int64), np.array(row["sizes"], np.int64)
+        first = np.cumsum(leads + sizes) - leads - sizes
+        after = np.ones(len(codes), bool)
+        after[first[sizes + leads > 0]] = False
+        lead = np.zeros(len(codes), bool)
+        lead[spans(first, leads)] = True
+        at = np.flatnonzero(after)  # places with a symbol before them, the leading ones included
+        self.word, self.before = codes[at], codes[at - 1]
+        self.own = ~lead[at]
+        self.learned = np.repeat(np.array(row["learned"], bool), leads + sizes)[at] & self.own
+        self.has_two = after[at - 1]  # the symbol before has one before it
+        self.sizes = sizes
+
+    # words
+
+    def ask_words(self) -> Iterator[tuple]:
+        asked = np.bincount(self.word, self.learned, len(self.hashes))
+        bits = self.buckets.bit_length() - 1
+        edges = np.searchsorted(self.hashes, np.arange(1, self.buckets, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(0, np.int64)
+        edges = np.concatenate([[0], edges, [len(self.hashes)]])
+        for b, (i, j) in enumerate(zip(edges, edges[1:])):
+            yield b, packed(self.hashes[i:j], True), packed(asked[i:j])
+
+    def told_words(self, replies: list[dict]) -> None:
+        """Ids and counts of the words, and the totals; a word's id tells its bucket and its rank there."""
+        ids = np.concatenate([unpacked(r["ids"]) for r in replies]).astype(np.int64)
+        self.seen = np.concatenate([unpacked(r["seen"]) for r in replies]).astype(np.float64)
+        self.tokens, self.types = sum(r["tokens"] for r in replies), sum(r["types"] for r in replies)
+        self.limit = max(1, self.tokens // _HOT)
+        self.root = (self.seen + 1.0) / (self.tokens + self.types + 1.0)
+        self.total = self.seen.copy()  # occurrences as a context
+        self.total[self.hashes == np.uint64(_START)] = max(r["texts"] for r in replies)
+        self.ids = ids
+        self.p = self.root[self.word]
+
+    # contexts
+
+    def _ask(self, places: np.ndarray, context: np.ndarray, whole: np.ndarray, spread: Callable, names: Callable) -> Iterator[tuple]:
+        """Rows for the buckets about the symbols at `places` after contexts (numbers of this chunk), which occur `whole` times.
+
+        spread: buckets of contexts; names: the columns that name contexts to the other chunks.
+        """
+        key, some, gram, times = np.unique(context.astype(np.int64) * len(self.ids) + self.word[places], return_index=True, return_inverse=True, return_counts=True)
+        if not self.learned.all():
+            times = np.bincount(gram, self.learned[places], len(key)).astype(np.int64)
+        context, word, whole = context[some], self.ids[self.word[places[some]]], whole[some]
+        bucket = spread(context)
+        hot = whole > self.limit
+        bucket[hot] = (mixed(bucket[hot].astype(np.uint64), word[hot].astype(np.uint64)) % np.uint64(self.buckets)).astype(np.int64)
+        order = np.argsort(bucket.astype(np.uint16 if self.buckets <= 1 << 16 else np.uint32), kind="stable")
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        self.places, self.gram = places, back[gram].astype(np.int32)
+        context, word, whole, times, bucket = context[order], word[order], whole[order], times[order], bucket[order]
+        cost = np.rint(-np.log2(self.p[places[some]]) * _STEPS)[order]
+        new = np.ones(len(context), bool)
+        new[1:] = (context[1:] != context[:-1]) | (bucket[1:] != bucket[:-1])
+        begin = np.flatnonzero(new)
+        self.of = (np.cumsum(new) - 1).astype(np.int32)
+        self.whole = whole[begin]
+        reps = np.diff(np.append(begin, len(context)))
+        columns = names(context[begin])
+        edges = np.searchsorted(bucket, np.arange(self.buckets + 1))
+        own = np.searchsorted(begin, edges)
+        for b in range(self.buckets):
+            i, j, k, m = edges[b], edges[b + 1], own[b], own[b + 1]
+            yield b, *(packed(c[k:m]) for c in columns), packed(reps[k:m]), packed(self.whole[k:m]), packed(word[i:j]), packed(times[i:j]), packed(cost[i:j]), self.limit
+
+    def _told(self, replies: list[dict], tests: float) -> np.ndarray:
+        """Counts of the symbols at all places; moves the probabilities there to the states that were told of."""
+        held = np.concatenate([unpacked(r["held"]) for r in replies]).astype(np.float64)
+        state = np.concatenate([unpacked(r["states"]) for r in replies]) > 0
+        times = np.concatenate([unpacked(r["times"]) for r in replies]).astype(np.float64)
+        if (spread := self.whole > self.limit).any():
+            # Of a hot context each bucket told its own sums, under the context's names.
+            told = [np.concatenate([np.frombuffer(r[c], np.float64) for r in replies]) for c in ("hot_held", "hot_gain", "hot_symbols")]
+            keys, at = np.unique(np.concatenate([np.frombuffer(r["hot"], np.uint64) for r in replies]), return_inverse=True)
+            sums = [np.bincount(at, x, len(keys)) for x in told]
+            mine = np.searchsorted(keys, self.names[spread])
+            there = np.append(keys, np.uint64(0))[mine] == self.names[spread]  # none told of contexts without a repeated symbol
+            of_hot = [np.where(there, np.append(x, 0.0)[mine], 0.0) for x in sums]
+            held[spread] = of_hot[0]
+            state[spread] = diverges(self.whole[spread], *of_hot, self.smoothing, tests)
+        n, times = np.zeros(len(self.word)), times[self.gram]
+        n[self.places] = times
+        of = self.of[self.gram]
+        held, state, whole, p = held[of], state[of], self.whole[of], self.p[self.places]
+        some = np.where(times > 1, times, 0.0)
+        self.p[self.places] = np.where(state, (some + (self.smoothing + whole - held) * p) / (whole + self.smoothing), p)
+        return n
+
+    def ask_one(self) -> Iterator[tuple]:
+        whole = self.total[self.before]
+        places = np.flatnonzero(whole >= 2)
+
+        def names(context):
+            first = self.ids[context]
+            self.names = mixed(first.astype(np.uint64), np.zeros(len(first), np.uint64))
+            return first, np.zeros(len(first), np.uint64)
+
+        return self._ask(places, self.before[places], whole[places], lambda c: (self.ids[c] - 1) % self.buckets, names)
+
+    def told_one(self, replies: list[dict], tests: float) -> None:
+        self.runs = self._told(replies, tests)  # occurrences of each symbol with the one before it
+
+    def ask_two(self) -> Iterator[tuple]:
+        whole = np.zeros(len(self.word))
+        whole[1:] = self.runs[:-1]
+        places = np.flatnonzero(self.has_two & (whole >= 2))
+        pair = self.before[places - 1].astype(np.int64) * len(self.ids) + self.before[places]
+        pairs, context = np.unique(pair, return_inverse=True)
+        first, second = self.ids[pairs // max(1, len(self.ids))], self.ids[pairs % max(1, len(self.ids))]
+        hashed = mixed(first.astype(np.uint64), second.astype(np.uint64))
+
+        def names(context):
+            self.names = hashed[context]
+            return first[context], second[context]
+
+        return self._ask(places, context, whole[places], lambda c: (hashed[c] % np.uint64(self.buckets)).astype(np.int64), names)
+
+    def told_two(self, replies: list[dict], tests: float) -> None:
+        self._told(replies, tests)
+
+
+def diverges(whole: np.ndarray, held: np.ndarray, gain: np.ndarray, symbols: np.ndarray, smoothing: float, tests: float) -> np.ndarray:
+    """Whether contexts that occur `whole` times are states; gain: over their parents, of the `held` occurrences of their `symbols` repeated symbols."""
+    once = whole - held
+    gain = gain + np.where(once > 0, once * np.log((smoothing + once) / (whole + smoothing)), 0.0)
+    return (symbols > 0) & (2 * gain > symbols + tests * np.sqrt(2 * symbols))
+
+
+# ---- rounds
+
+
+def _answers(asked: DataFrame, buckets: int, answer: Callable, shape: str) -> DataFrame:
+    """What `answer` gives for the rows of each bucket, one bucket after another."""
+
+    def run(batches):
+        bucket, rows = None, []
         for batch in batches:
-            for _, run_of in pieces(batch, "text", piece):
-                found = []
-                for text in run_of:
-                    sequence, own = joined(text)
-                    words.update(own)
-                    for at in range(0, len(sequence), piece):
-                        found.append(windows(sequence[max(0, at - depth) : at + piece], depth)[min(at, depth) :])
-                        if at:
-                            held.append(_counted(found.pop()))
-                texts += len(run_of)
-                held.append(_counted(np.concatenate(found)))
-                if len(words) > 400_000:
-                    yield out_words()
-                if len(held) > 8:
-                    merge()
-                    if len(held[0][0]) > 2_000_000:
-                        yield rows(1, *held.pop())
-        if held:
-            merge()
-            yield rows(1, *held[0])
-        yield out_words()
-        yield rows(2, np.zeros(1, np.uint64), np.array([texts]))
-
-    counts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "kind tinyint, key long, n long")
-    return counts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
-
-
-class Tree:
-    """States and their smoothed next-symbol distributions, as sorted arrays by length."""
-
-    def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]], total: int, texts: int, least: int, depth: int, tests: float, smoothing: float):
-        """grams: for each length from 1, sorted runs (symbol in the highest byte) and their counts."""
-        self.depth = depth
-        base = np.zeros(256)
-        base[grams[0][0].astype(np.int64)] = grams[0][1]
-        self.root = (base + 1.0) / (total + 256.0)
-        self.states: list[tuple[np.ndarray, np.ndarray]] = []
-        self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
-        for n in range(2, depth + 2):
-            keys, counts = grams[n - 1]
-            mask = np.uint64((1 << (8 * (n - 1))) - 1)
-            order = np.argsort(keys & mask, kind="stable")
-            keys, counts = keys[order], counts[order].astype(np.float64)
-            contexts, first = np.unique(keys & mask, return_index=True)
-            shorter, their = grams[n - 2]
-            at = np.minimum(np.searchsorted(shorter, contexts), max(len(shorter) - 1, 0))
-            whole = np.where(shorter[at] == contexts, their[at], 0) if len(shorter) else np.zeros(len(contexts))
-            only_starts = np.uint64(int.from_bytes(_END * (n - 1), "big"))
-            whole = np.where(contexts == only_starts, texts, whole).astype(np.float64)
-            kept = np.add.reduceat(counts, first) if len(first) else np.zeros(0)
-            whole = np.maximum(whole, kept)
-            symbols = np.diff(np.append(first, len(keys))).astype(np.float64)
-            of = np.repeat(np.arange(len(contexts)), symbols.astype(np.int64))
-            below = self._probability(keys, n, n - 1)
-            extra = smoothing * symbols
-            share, back = counts / (whole + extra)[of], (whole - kept + extra) / (whole + extra)
-            own = share + back[of] * below
-            gain = np.bincount(of, counts * np.log(own / below), len(contexts)) if len(of) else np.zeros(0)
-            state = (whole >= least) & (2 * gain > symbols + tests * np.sqrt(2 * symbols))
-            self.states.append((contexts[state], back[state]))
-            ok = state[of]
-            keys, share = keys[ok], share[ok]
-            order = np.argsort(keys)
-            self.pairs.append((keys[order], share[order]))
-
-    def _probability(self, keys: np.ndarray, n: int, most: int) -> np.ndarray:
-        """Of the symbol of each run of length n, looking back most - 1 bytes at most."""
-        p = self.root[(keys >> np.uint64(8 * (n - 1))).astype(np.int64)]
-        for m in range(2, most + 1):
-            run = keys >> np.uint64(8 * (n - m))
-            contexts, back = self.states[m - 2]
-            if not len(contexts):
-                continue
-            context = run & np.uint64((1 << (8 * (m - 1))) - 1)
-            at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-            there = contexts[at] == context
-            runs_, share = self.pairs[m - 2]
-            k = np.minimum(np.searchsorted(runs_, run), len(runs_) - 1)
-            p = np.where(there, back[at] * p + np.where(runs_[k] == run, share[k], 0.0), p)
-        return p
-
-    def log10(self, keys: np.ndarray) -> np.ndarray:
-        return np.log10(self._probability(keys, self.depth + 1, self.depth + 1))
-
-
-class Scorer:
-    """Scores of windows by a tree, remembering those of up to `most` windows."""
-
-    def __init__(self, tree: Tree, most: int = 3_000_000):
-        self.tree, self.most = tree, most
-        self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0)
-
-    def __call__(self, found: np.ndarray) -> np.ndarray:
-        import pandas as pd
-
-        codes, distinct = pd.factorize(found)
-        order = np.argsort(distinct)
-        asked = distinct[order]
-        at = np.searchsorted(self.keys, asked)
-        known = (self.keys[np.minimum(at, len(self.keys) - 1)] == asked) if len(self.keys) else np.zeros(len(asked), bool)
-        values = np.empty(len(asked))
-        values[known] = self.values[at[known]]
-        new = asked[~known]
-        values[~known] = fresh = self.tree.log10(new)
-        if len(self.keys) + len(new) > self.most:
-            self.keys, self.values = asked, values
-        elif len(new):
-            self.keys, self.values = np.insert(self.keys, at[~known], new), np.insert(self.values, at[~known], fresh)
-        out = np.empty(len(asked))
-        out[order] = values
-        return out[codes]
-
-
-def _limit(counted: DataFrame, most: int) -> int | None:
-    """The smallest n that at most `most` rows reach, to an eighth of a power of two; None if none does."""
-    level = F.floor(F.log2("n") * 8)
-    sizes = counted.groupBy(level.alias("level")).agg(F.count("*").alias("rows"), F.min("n").alias("n")).orderBy(F.desc("level")).collect()  # a few hundred rows
-    limit, so_far = None, 0
-    for r in sizes:
-        so_far += r["rows"]
-        if so_far > most:
-            break
-        limit = r["n"]
-    return limit
-
-
-def learn(counts: DataFrame, depth: int, most_runs: int, tests: float, smoothing: float) -> tuple[Tree, int]:
-    """The tree of counted rows, and the number of texts."""
-    totals = {r["kind"]: r["n"] for r in counts.where("kind > 0").groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    total, texts = totals.get(1, 0), totals.get(2, 0)
-    spread = counts.where("kind = 1").select("n", "key", F.explode(F.sequence(F.lit(1), F.lit(depth + 1))).alias("length"))
-    runs = spread.select("length", F.expr(f"shiftright(key, 8 * ({depth + 1} - length))").alias("run"), "n").groupBy("length", "run").agg(F.sum("n").alias("n"))
-    runs = durable(runs, "lm-runs")
-    least = _limit(runs, most_runs)
-    grams = []
-    for length in range(1, depth + 2):  # at most most_runs rows together
-        own = runs.where((F.col("length") == length) & (F.col("n") >= least) if least else F.lit(False)).select("run", "n").toArrow()
-        keys, n = own["run"].to_numpy().view(np.uint64), own["n"].to_numpy()
-        order = np.argsort(keys)
-        grams.append((keys[order], n[order]))
-    return Tree(grams, total, texts, 2 * (least or 1), depth, tests, smoothing), texts
-
-
-def _hot(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and counts of the most frequent words, at most `most`."""
-    limit = _limit(words, most)
-    if limit is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    found = words.where(F.col("n") >= limit).select("key", "n").toArrow()
-    return found["key"].to_numpy().view(np.uint64), found["n"].to_numpy()
-
-
-def score(docs: DataFrame, train: DataFrame, depth: int = 6, most_runs: int = 2_000_000, tests: float = 2.0, smoothing: float = 6.0, hot_words: int = 1 << 18, piece: int = 4 << 20) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score of each row of docs under a model of train."""
+            for row in _rows(batch):
+                if rows and row["bucket"] != bucket:
+                    yield answer(bucket, rows)
+                    rows = []
+                bucket = row["bucket"]
+                rows.append(row)
+        if rows:
+            yield answer(bucket, rows)
+
+    return asked.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, f"chunk long, bucket int, {shape}")
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows as dictionaries, one at a time: their packed arrays are large."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
+def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, sum of each, place of each key among them)."""
+    distinct, at = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(at, values, len(distinct)), at
+
+
+_WORDS = "ids binary, seen binary, tokens long, types long, texts long"
+
+
+def _answer_words(buckets: int) -> Callable:
+    def answer(bucket, rows):
+        keys = [unpacked(r["keys"], True) for r in rows]
+        distinct, seen, at = _summed(np.concatenate(keys), np.concatenate([unpacked(r["times"]) for r in rows]).astype(np.float64))
+        ids = np.empty(len(distinct), np.uint64)
+        ids[np.argsort(-seen, kind="stable")] = np.arange(len(distinct), dtype=np.uint64) * np.uint64(buckets) + np.uint64(bucket + 1)
+        stops = np.cumsum([len(k) for k in keys])
+        texts = int(seen[distinct == np.uint64(_END)].sum())
+        totals = [int(seen.sum()), int((seen > 0).sum()), texts]
+        out = [[r["chunk"] for r in rows], [bucket] * len(rows), [packed(ids[at[j - len(k) : j]]) for k, j in zip(keys, stops)], [packed(seen[at[j - len(k) : j]].astype(np.uint64)) for k, j in zip(keys, stops)]]
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([*(pa.array(x, k) for x, k in zip(out, kinds)), *(pa.array([t] * len(rows), pa.int64()) for t in totals)], ["chunk", "bucket", "ids", "seen", "tokens", "types", "texts"])
+
+    return answer
+
+
+_GRAMS = "times binary, held binary, states binary, hot binary, hot_held binary, hot_gain binary, hot_symbols binary"
+
+
+def _answer_grams(smoothing: float, tests: float) -> Callable:
+    def answer(bucket, rows):
+        firsts = [unpacked(r["firsts"]) for r in rows]
+        own = np.concatenate(firsts)
+        names = mixed(own, np.concatenate([unpacked(r["seconds"]) for r in rows]))
+        reps = [unpacked(r["reps"]).astype(np.int64) for r in rows]
+        contexts, whole_at, at = np.unique(names, return_index=True, return_inverse=True)
+        whole = np.concatenate([unpacked(r["whole"]) for r in rows]).astype(np.float64)[whole_at]
+        gram = mixed(np.repeat(names, np.concatenate(reps)), np.concatenate([unpacked(r["words"]) for r in rows]))
+        distinct, index, gram_at = np.unique(gram, return_index=True, return_inverse=True)
+        times = np.bincount(gram_at, np.concatenate([unpacked(r["times"]) for r in rows]).astype(np.float64), len(distinct))
+        twice = np.flatnonzero(times > 1)
+        of = np.repeat(at, np.concatenate(reps))[index[twice]]
+        p = np.exp2(np.concatenate([unpacked(r["costs"]) for r in rows])[index[twice]].astype(np.float64) / -_STEPS)
+        n, total = times[twice], whole[of]
+        held = np.bincount(of, n, len(contexts))
+        symbols = np.bincount(of, minlength=len(contexts)).astype(np.float64)
+        # Without what singles leave to the parent, so that a hot context's gain is the sum of its buckets'.
+        gain = np.bincount(of, n * np.log((n + smoothing * p) / ((total + smoothing) * p)), len(contexts))
+        state = diverges(whole, held, gain, symbols, smoothing, tests)
+        hot = (whole > rows[0]["limit"]) & (symbols > 0)
+        told = times.astype(np.uint64)[gram_at]
+        grams, ends = np.cumsum([int(x.sum()) for x in reps]), np.cumsum([len(x) for x in firsts])
+        arrays = [
+            [r["chunk"] for r in rows], [bucket] * len(rows), [packed(told[j - int(x.sum()) : j]) for x, j in zip(reps, grams)],
+            [packed(held[at[j - len(x) : j]]) for x, j in zip(firsts, ends)], [packed(state[at[j - len(x) : j]]) for x, j in zip(firsts, ends)],
+            *([x[hot].tobytes()] * len(rows) for x in (contexts, held, gain, symbols)),
+        ]
+        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 7]
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(arrays, kinds)], ["chunk", "bucket", "times", "held", "states", "hot", "hot_held", "hot_gain", "hot_symbols"])
+
+    return answer
+
+
+def _with(held: DataFrame, answers: DataFrame, name: str, parts: int) -> DataFrame:
+    """held with the answers that each chunk got, in the order of the buckets."""
+    values = [c for c in answers.columns if c != "chunk"]
+    listed = answers.repartition(parts, "chunk").groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct(*values))).alias(name))
+    return held.join(listed.withColumnRenamed("chunk", f"chunk_{name}"), F.col("chunk") == F.col(f"chunk_{name}"), "left").drop(f"chunk_{name}")  # all have answers; a left join adds no filter below the shuffle
+
+
+def score(docs: DataFrame, learn: Column | None = None, smoothing: float = 32.0, tests: float = 2.0, piece: int = 6 << 20) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score of each row of docs, by a model of those rows for which `learn` holds (all, if not given)."""
     spark = docs.sparkSession
-    counts = durable(count_rows(train, depth, piece), "lm-counts")
-    tree, texts = learn(counts, depth, most_runs, tests, smoothing)
-    words = counts.where("kind = 0").select("key", "n")
-    seen = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    tokens, types = (seen["n"] or 0) + texts, seen["v"] + (texts > 0)
-    shared = spark.sparkContext.broadcast((tree, *_hot(words, hot_words), texts))
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_chunks = 1 + n_bytes // piece  # more if partitions are smaller
+    buckets = 1 << (n_chunks - 1).bit_length()
+    parts = max(min(n_chunks, int(spark.conf.get("spark.sql.shuffle.partitions"))), n_chunks // 8)
+    held = chunks(docs, F.lit(True) if learn is None else learn, piece).repartition(parts, "chunk")
+    keyed = "bucket int, chunk long, "
+
+    def known(row: dict, rounds: int) -> Chunk:
+        c = Chunk(row, buckets, smoothing)
+        steps = ((c.ask_words, lambda r: c.told_words(r)), (c.ask_one, lambda r: c.told_one(r, tests)), (c.ask_two, lambda r: c.told_two(r, tests)))
+        for i, (ask, told) in enumerate(steps[:rounds]):
+            if i:
+                for _ in ask():
+                    pass
+            told(row[f"told_{i}"])
+        return c
+
+    def asking(frame: DataFrame, rounds: int, names: list[str], shape: str) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                for row in _rows(batch):
+                    c = known(row, rounds)
+                    columns = list(zip(*((c.ask_words, c.ask_one, c.ask_two)[rounds]())))
+                    arrays = [pa.array(columns[0], pa.int32()), pa.array([row["chunk"]] * len(columns[0]), pa.int64())]
+                    arrays += [pa.array(x, pa.int64() if name == "limit" else pa.binary()) for x, name in zip(columns[1:], names)]
+                    yield pa.RecordBatch.from_arrays(arrays, ["bucket", "chunk", *names])
+                    del c, columns, arrays
+                    tidy()
+
+        return frame.mapInArrow(run, keyed + shape)  # of all columns, so that all rounds read one shuffle of the chunks
+
+    grams = ["firsts", "seconds", "reps", "whole", "words", "times", "costs", "limit"]
+    gram_shape = "firsts binary, seconds binary, reps binary, whole binary, words binary, times binary, costs binary, limit long"
+    now = held
+    now = _with(now, _answers(asking(now, 0, ["keys", "times"], "keys binary, times binary"), buckets, _answer_words(buckets), _WORDS), "told_0", parts)
+    for i in (1, 2):
+        now = _with(now, _answers(asking(now, i, grams, gram_shape), buckets, _answer_grams(smoothing, tests), _GRAMS), f"told_{i}", parts)
 
     def run(batches):
-        tree, keys, ns, texts = shared.value
-        scorer = Scorer(tree)
-        hot = dict(zip(keys.tolist(), np.log10(ns + 1.0).tolist()))
-        known: dict[bytes, float | None] = {}
-        digest = xxhash.xxh64_intdigest
         for batch in batches:
-            for at, run_of in pieces(batch, "text", piece):
-                n_tokens, n_known, base, cold, ends, found, sums = [], [], [], [], [0], [], []
-                for text in run_of:
-                    sequence, own = joined(text)
-                    if len(known) > 400_000:
-                        known.clear()
-                    for w in set(own).difference(known):
-                        known[w] = hot.get(digest(w, 11))
-                    gains = [known[w] for w in own]
-                    missing = [digest(w, 11) for w, g in zip(own, gains) if g is None]
-                    base.append(sum(g for g in gains if g is not None) + (np.log10(texts + 1.0) if texts else 0.0))
-                    n_tokens.append(len(own) + 1)
-                    n_known.append(len(own) - len(missing) + (texts > 0))
-                    cold.extend(missing)
-                    ends.append(len(cold))
-                    if len(sequence) <= piece:
-                        found.append(windows(sequence, depth))
-                        sums.append(0.0)
-                    else:
-                        sums.append(sum(float(scorer(windows(sequence[max(0, i - depth) : i + piece], depth)[min(i, depth) :]).sum()) for i in range(0, len(sequence), piece)))
-                        found.append(np.zeros(0, np.uint64))
-                sizes = np.array([len(f) for f in found])
-                if sizes.sum():
-                    values = scorer(np.concatenate(found))
-                    running = np.concatenate([[0.0], np.cumsum(values)])
-                    stops = np.cumsum(sizes)
-                    sums = np.array(sums) + running[stops] - running[stops - sizes]
-                rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(cold, np.uint64).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(run_of)), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(np.array(sums, np.float64)), rest], ["doc_id", "n_tokens", "hot_known", "hot_gain", "score", "cold"])
-
-    kind = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("n_tokens long, hot_known long, hot_gain double, score double, cold array<long>").fields])
-    scored = docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, kind)
-    scored = durable(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scores")  # the ids stay as written
-    rare = scored.where(F.size("cold") > 0).select("row", F.explode("cold").alias("key")).join(words, "key")
-    rare = rare.groupBy("row").agg(F.count("*").alias("rare_known"), F.sum(F.log10(F.col("n") + 1.0)).alias("rare_gain"))
-    each = float(np.log10(tokens + types + 1))
-    out = scored.drop("cold").join(rare, "row", "left")
-    return out.select(
-        "doc_id", "n_tokens", (F.col("hot_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("hot_gain") + F.coalesce("rare_gain", F.lit(0.0)) - F.col("n_tokens") * each).alias("base_score"), "score",
-    )
+            for k, row in enumerate(_rows(batch)):
+                c = known(row, 3)
+                of = np.repeat(np.arange(len(c.sizes)), c.sizes)
+                word, p = c.word[c.own], c.p[c.own]
+                total = lambda x: pa.array(np.bincount(of, x, len(c.sizes)))
+                n_known = total((c.seen[word] > 0).astype(np.float64)).cast(pa.int64())
+                ids = batch.column(0).slice(k, 1).flatten()
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(row["uids"], pa.int64()), pa.array(c.sizes), n_known, pa.array([c.tokens] * len(c.sizes), pa.int64()), total(np.log10(c.root[word])), total(np.log10(p))],
+                    ["doc_id", "uid", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                )
+                del c, of, word, p
+                tidy()
+
+    kind = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("uid long, n_tokens long, n_known long, train_tokens long, base_score double, score double").fields])
+    each = now.select("doc_ids", *[c for c in now.columns if c != "doc_ids"]).mapInArrow(run, kind)
+    sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
+    out = each.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.first("train_tokens").alias("train_tokens"), *sums)
+    return out.select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
     held_out = split_bucket("doc_id", 7) == 2
-    out = score(docs, docs.where(~held_out))
+    out = score(table(spark, sf_dir, "documents"), ~held_out)
     return out.withColumn("held_out", held_out).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
