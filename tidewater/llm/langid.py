@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import pieces, split_bucket, table
+from tidewater.llm.common import pieces, split_bucket, table, tidy
 
 _MARK = ord("_")
 _LETTERS: list[np.ndarray] = []
@@ -32,27 +32,33 @@ def _letters() -> np.ndarray:
     return _LETTERS[0]
 
 
-def marked(text: str | None) -> np.ndarray:
-    """The letters of a text in lower case, between single marks; empty if it has none."""
+def marked(text: str | None, most: int = 1 << 20) -> np.ndarray:
+    """The letters of a text in lower case, between single marks; empty if it has none. Worked out over `most` characters at a time."""
     if not text:
         return np.zeros(0, np.uint32)
-    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = _letters()[points]
-    keep = letter.copy()
-    keep[0] = True
-    keep[1:] |= letter[:-1]
-    out = np.where(letter, points, np.uint32(_MARK))[keep]
+    text, parts, before = text.lower(), [np.array([_MARK], np.uint32)], False
+    for at in range(0, len(text), most):
+        points = np.frombuffer(text[at : at + most].encode("utf-32-le", "surrogatepass"), np.uint32)
+        letter = _letters()[points]
+        keep = letter.copy()
+        keep[0] |= before
+        keep[1:] |= letter[:-1]  # of a run of others only the first, which follows a letter
+        parts.append(np.where(letter, points, np.uint32(_MARK))[keep])
+        before = bool(letter[-1])
+    out = np.concatenate([*parts, np.array([_MARK] * before, np.uint32)])
     return out if len(out) > 1 else out[:0]
 
 
 def runs(m: np.ndarray, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct runs of 1 to 3 characters, 21 bits each, ascending, and their counts; a lone mark is none."""
+    """Distinct runs of 1 to 3 characters, 21 bits each, ascending, and their counts; a lone mark is none, and none reaches across two marks."""
     parts = []
     for at in range(0, len(m), most):
         x = m[at : at + most + 2].astype(np.int64)
         n = min(most, len(x))
         one = x[:n]
-        found = [one[one != _MARK], ((x[:-1] << 21) | x[1:])[:n], ((x[:-2] << 42) | (x[1:-1] << 21) | x[2:])[:n]]
+        split = (x[:-1] == _MARK) & (x[1:] == _MARK)  # two marks side by side: one text's end and the next one's start
+        pair, three = ~split[:n], ~(split[:-1] | split[1:])[:n]
+        found = [one[one != _MARK], ((x[:-1] << 21) | x[1:])[:n][pair], ((x[:-2] << 42) | (x[1:-1] << 21) | x[2:])[:n][three]]
         parts.append(np.unique(np.concatenate(found), return_counts=True))
     return merged(parts)
 
@@ -135,19 +141,21 @@ def learn(docs: DataFrame, size: int = 400, most_langs: int = 1000) -> Model:
     return Model([(r["lang"], r["run"], r["rank"]) for r in rows], size)
 
 
-def identify(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
-    """The columns named in carry, lang_pred and score of each row; nothing but the text is looked at."""
+def identify(docs: DataFrame, model: Model, carry: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns named in carry, then language and score of each row under the given names; nothing but the text is looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by size * most_langs
+    place = carry.index("text") if "text" in carry else len(carry)
 
     def run(batches):
         predict = shared.value.predict
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(place)
             found = [predict(texts[i].as_py()) for i in range(len(texts))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], [*batch.schema.names[:-1], "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], [*batch.schema.names[: len(carry)], *names])
+            tidy()
 
-    kind = T.StructType([*(docs.schema[c] for c in carry), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.select(*carry, F.col("text").alias("__text")).mapInArrow(run, kind)
+    kind = T.StructType([*(docs.schema[c] for c in carry), T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    return docs.select(*carry, *([] if "text" in carry else [F.col("text").alias("__text")])).mapInArrow(run, kind)
 
 
 def train_rows(docs: DataFrame, modulus: int = 3, held_out: int = 1) -> DataFrame:
