@@ -382,7 +382,7 @@ def plain_tree(train, smoothing=32.0, tests=2.0):
         for k, times in runs[n + 1].items():
             c, w = k[:-1], k[-1]
             if times > 1:
-                q = 2 ** (-round(-math.log2(p(c[1:], w, n - 1)) * 1024) / 1024)
+                q = 2 ** (-round(-math.log2(p(c[1:], w, n - 1)) * 8) / 8)
                 held[c] += times
                 symbols[c] += 1
                 gain[c] += times * math.log((times + smoothing * q) / ((runs[n][c] + smoothing) * q))
@@ -580,3 +580,94 @@ def test_articles_are_found_without_names():
         assert set(body) <= set(html_text.main_text(plain).split("\n"))
     assert html_text.main_text("<p><a href=x>nothing but a link</a></p>") == "nothing but a link"
     assert html_text.main_text("<article><p>so <math><mi>x</mi></math> is</p></article>") == "so x is"
+
+
+def runs_of(text):
+    """Runs of one to three characters of a text's letters between marks."""
+    marked, last = "_", "_"
+    for c in (text or "").lower():
+        now = c if c.isalpha() else "_"
+        if now != "_" or last != "_":
+            marked += now
+        last = now
+    marked += "" if last == "_" else "_"
+    out = collections.Counter()
+    for n in (1, 2, 3):
+        out.update(x for i in range(len(marked) - n + 1) if (x := marked[i : i + n]) != "_")
+    return out if any(c != "_" for c in marked) else collections.Counter()
+
+
+def profile_of(counts, size=400):
+    return [k for k, _ in sorted(counts.items(), key=lambda x: (-x[1], [ord(c) for c in x[0].rjust(3, "\0")]))][:size]
+
+
+def test_language_query(spark, tmp_path):
+    r = random.Random(15)
+    tongues = {"en": "the of and to in is that it was for", "de": "der die und in den von zu das mit sich", "fr": "le de la et les des en un du une", None: "lorem ipsum dolor sit amet"}
+    rows = [(i, None if i == 7 else " ".join(r.choice(tongues[lang].split()) + r.choice(["", "s", ",", ".\n"]) for _ in range(r.randint(1, 60))), lang, "s", 0, 0, "", "") for i, lang in ((i, r.choice(list(tongues))) for i in range(120))]
+    rows += [(200, "", "en", "s", 0, 0, "", ""), (201, "123 -- !", "en", "s", 0, 0, "", ""), (202, "Ünïcode ñandú Ça", "fr", "s", 0, 0, "", ""), (203, "x" * 70, None, "s", 0, 0, "", "")]
+    spark.createDataFrame(rows, SHAPE).write.parquet(f"{tmp_path}/documents.parquet")
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    learned = collections.defaultdict(collections.Counter)
+    for i, text, lang, *_ in rows:
+        if lang is not None and not held(i):
+            learned[lang].update(runs_of(text))
+    ranks = {lang: {k: n for n, k in enumerate(profile_of(c))} for lang, c in learned.items()}
+    found = by_id(langid.op3_rank_order(spark, f"file://{tmp_path}"))
+    assert len(found) == len(rows)
+    for i, text, *_ in rows:
+        own = profile_of(runs_of(text))
+        away = {lang: sum(abs(table[k] - n) if k in table else 400 for n, k in enumerate(own)) for lang, table in ranks.items()}
+        best = min(sorted(away), key=away.get) if own else "und"
+        assert (found[i]["held_out"], found[i]["lang_pred"]) == (held(i), best), text
+        assert found[i]["score"] == pytest.approx(1 - away[best] / (400 * len(own)) if own else 0.0)
+
+
+def test_shards_descend_as_said(spark, docs):
+    tree = sharding.balanced()
+    grown = sharding.grown(tree)
+
+    def descend(key, node, path=""):
+        if not node.children:
+            return node.shard
+        best = None
+        for child in node.children:
+            own = f"{path}/{child.name}"
+            h = xxhash.xxh64_intdigest(own.encode(), xxhash.xxh64_intdigest(key.encode(), 42))
+            draw = -math.log(((h >> 11) + 0.5) / (1 << 53)) / child.weight
+            if best is None or draw < best[0]:
+                best = (draw, child, own)
+        return descend(key, best[1], best[2])
+
+    found = sharding.assign(docs, tree).collect()
+    assert {r["shard"] for r in found} <= set(range(16))
+    for r in found:
+        assert (r["shard"], r["grown_shard"]) == (descend(str(r["doc_id"]), tree), descend(str(r["doc_id"]), grown))
+
+
+def test_boilerplate_with_other_line_ends(spark):
+    body = lambda i: f"\tMenu  home\r\n{' '.join(f'w{i}x{k}' for k in range(60))}\n"
+    rows = [(i, body(i) if i % 2 else body(i).replace("\tMenu  home\r", "menu home"), "en", "s1", 0, 0, "", "") for i in range(40)]
+    found = quality.judge(spark.createDataFrame(rows, SHAPE), with_text=True).collect()
+    assert all(r["n_left"] == 60 and r["kept"] and "enu" not in r["cleaned"] for r in found)
+
+
+def test_rare_members_find_all_similar_sets(spark):
+    from tidewater.llm import minhash
+
+    r = random.Random(21)
+    sets, common = {}, [r.getrandbits(60) for _ in range(60)]
+    for i in range(60):
+        if i % 3 == 0 or not sets:
+            sets[i] = {r.getrandbits(60) for _ in range(r.randint(1, 80))}
+        else:
+            old = sorted(sets[r.choice(list(sets))])
+            sets[i] = set(r.sample(old, max(1, int(len(old) * r.uniform(0.7, 1))))) | {r.getrandbits(60) for _ in range(r.randint(0, 8))}
+    passage = range(100, 140)
+    for i in passage:
+        sets[i] = {*common, *(r.getrandbits(60) for _ in range(30))}
+    frame = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "copy long, hashes array<long>").repartition(4)
+    found = {frozenset(p) for p in minhash.candidates(frame, 0.8).collect()}
+    near = {frozenset((i, j)) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8}
+    assert near and near <= found and not any(p <= set(passage) for p in found)
+    assert minhash.candidates(frame.where("false"), 0.8).count() == 0
