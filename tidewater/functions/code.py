@@ -202,11 +202,17 @@ def first_error_line(log: Column) -> Column:
     return F.coalesce(F.get(F.filter(kept, lambda x: F.contains(x, F.lit("error:"))), F.lit(0)), F.get(kept, F.lit(0)), F.lit(""))
 
 
+def told_lines(log: Column) -> Column:
+    """The lines that are not blank."""
+    return F.filter(lines(log), lambda x: x.rlike(r"(?U)[^\s\x1c-\x1f]"))
+
+
 def error_lines(log: Column, most: int = 8) -> Column:
-    """Lines with error words, `most` of them; else the first lines."""
-    kept = F.filter(F.transform(lines(log), strip_right), lambda x: strip(x) != "")
+    """Lines with error words, `most` of them; else the first lines. Only those that stay are trimmed."""
+    kept = told_lines(log)
+    joined = lambda x: F.array_join(F.transform(F.slice(x, 1, most), strip_right), "\n")
     hits = F.filter(kept, lambda x: x.rlike(r"(?i)\b(?:error|fatal|undefined|undeclared)\b"))
-    return F.array_join(F.slice(F.when(F.size(hits) > 0, hits).otherwise(kept), 1, most), "\n")
+    return F.coalesce(F.nullif(joined(hits), F.lit("")), joined(kept))
 
 
 def error_excerpt(log: Column, most_lines: int = 12, most_chars: int = 1500) -> Column:

@@ -476,8 +476,7 @@ def identity_hashes(spark, d):
     select doc_id, len(ls)::bigint as n_lines, array_to_string(case when len(list_filter(ls, lambda x: regexp_matches(x, '(?i)\\b(error|fatal|undefined|undeclared)\\b'))) > 0 then list_filter(ls, lambda x: regexp_matches(x, '(?i)\\b(error|fatal|undefined|undeclared)\\b'))[1:3] else ls[1:3] end, chr(10)) as excerpt from l"""
 )
 def log_excerpts(spark, d):
-    kept = F.filter(F.transform(X.lines(F.col("text")), X.strip_right), lambda x: X.strip(x) != "")
-    return _docs(spark, d).select("doc_id", F.size(kept).cast("long").alias("n_lines"), C.error_lines(F.col("text"), 3).alias("excerpt"))
+    return _docs(spark, d).select("doc_id", F.size(C.told_lines(F.col("text"))).cast("long").alias("n_lines"), C.error_lines(F.col("text"), 3).alias("excerpt"))
 
 
 @query(
@@ -494,14 +493,23 @@ def error_classes(spark, d):
     return c.select("doc_id", "error_class", C.coarse_cause(F.col("error_class") == "ok", F.col("error_class"), F.col("log"), F.lit(0)).alias("cause"))
 
 
+def _duck_balanced(column: str) -> str:
+    """Whether brackets nest, for depths of up to eight."""
+    left = f"regexp_replace({column}, '[^\\[\\](){{}}]+', '', 'g')"
+    for _ in range(8):
+        left = f"regexp_replace({left}, '(\\(\\)|\\[\\]|\\{{\\}})+', '', 'g')"
+    return f"({left} = '')"
+
+
 @query(
-    """with c as (select page_id, html as a, regexp_replace(html, '[()]', '', 'g') as b from pages), s as (select page_id, a, b, length(regexp_replace(a, '[^\\[\\](){}]', '', 'g')) as n from c)
-    select page_id, list_filter(['buggy_too_short', 'correct_too_short'], lambda x: case x when 'buggy_too_short' then length(a) < 2000 else length(b) < 2000 end) as reasons from s"""
+    f"""with c as (select page_id, html as a, case page_id % 3 when 0 then html when 1 then regexp_replace(html, '[)]', '') else html || '...existing code...' end as b from pages)
+    select page_id, list_filter([case when length(a) < 2000 then 'buggy_too_short' end, case when length(b) < 2000 then 'correct_too_short' end, case when not {_duck_balanced('a')} then 'buggy_unbalanced_delimiters' end, case when not {_duck_balanced('b')} then 'correct_unbalanced_delimiters' end,
+    case when contains(a, '...existing code...') then 'buggy_placeholder_text' end, case when contains(b, '...existing code...') then 'correct_placeholder_text' end], lambda x: x is not null) as reasons from c"""
 )
-def whole_code_lengths(spark, d):
-    p = _t(spark, d, "pages").select("page_id", F.col("html").alias("a"), F.regexp_replace("html", "[()]", "").alias("b"))
-    reasons = C.whole_code_reasons(F.col("a"), F.col("b"), 2000)
-    return p.select("page_id", F.filter(reasons, lambda r: F.endswith(r, F.lit("too_short"))).alias("reasons"))
+def whole_code_reasons(spark, d):
+    k = F.col("page_id") % 3
+    b = F.when(k == 0, F.col("html")).when(k == 1, X.replace_first(F.col("html"), r"[)]", "")).otherwise(F.concat("html", F.lit("...existing code...")))
+    return _t(spark, d, "pages").select("page_id", C.whole_code_reasons(F.col("html"), b, 2000).alias("reasons"))
 
 
 @query("select doc_id, list_sort(list_distinct(list_filter(string_split(lower(lang || ',' || source), ','), lambda w: contains(lower(text), w)))) as hits, contains(text, 'the') and contains(text, 'of') as both from documents")
@@ -555,10 +563,25 @@ def pair_screen(spark, d):
     return rows.screened(_turn_pairs(spark, d)).select("conv_id", "turn", "similarity", "band")
 
 
+def _specs(spark, d) -> DataFrame:
+    """A specification of a source for each part, from its type, size and key."""
+    of = lambda *v: F.element_at(F.array(*[F.lit(x) for x in v]), (F.col("p_size") % len(v) + 1).cast("int"))
+    p = _t(spark, d, "part")
+    return p.select("p_partkey", F.col("p_type").alias("pattern"), of("int16", "int32", "cfloat", "int8", "cint16").alias("type"), F.element_at(F.array(F.lit("stream"), F.lit("window"), F.lit("cascade")), (F.col("p_partkey") % 3 + 1).cast("int")).alias("interface"), of("simple", "moderate", "complex").alias("complexity"), "p_name")
+
+
+def _rendered(spark, d) -> DataFrame:
+    """(p_partkey, kind, interfaces, code): a kernel and a graph of each part, its name and number in them."""
+    tail = F.concat(F.lit("// "), "p_name", F.lit(" "), "p_partkey", F.lit("\n"))
+    specs = _specs(spark, d)
+    kernels = rows.render_kernel(specs).select("p_partkey", F.lit("kernel_type").alias("kind"), F.when(F.col("interface") == "stream", F.array(F.lit("Stream"))).otherwise(F.array(F.lit("Window"))).alias("interfaces"), F.concat("code", tail).alias("code"))
+    return kernels.unionByName(rows.render_graph(specs).select("p_partkey", F.lit("graph_type").alias("kind"), F.array(F.lit("PLIO")).alias("interfaces"), F.concat("code", tail).alias("code")))
+
+
 @query()
-def page_mutations(spark, d):
-    p = _t(spark, d, "pages").select("page_id", F.concat(F.lit(recipes.KERNEL), F.lit("// "), "url", F.lit("\n")).alias("code"), F.lit("kernel_type").alias("kind"), F.array(F.lit("Stream")).alias("interfaces"))
-    return mutators.mutations(p, "code", "kind", "interfaces").select("page_id", "bug_type", "buggy")
+def source_mutations(spark, d):
+    """Every edit that fits, on a kernel and a graph of each part."""
+    return mutators.mutations(_rendered(spark, d), "code", "kind", "interfaces").select("p_partkey", "kind", "bug_type", "buggy")
 
 
 @query()
@@ -569,10 +592,11 @@ def taxonomy_pairs(spark, d):
 
 @query()
 def synthetic_kernels(spark, d):
-    value = lambda name, *v: spark.createDataFrame([(x,) for x in v], f"{name} string")
-    axes = [value("pattern", "add", "mul", "mac", "max"), value("type", "int16", "int32", "cfloat"), value("interface", "stream", "window"), value("complexity", "simple", "moderate", "complex")]
-    none = lambda name: spark.createDataFrame([], f"{name} string, n long")
-    specs = rows.spec_grid(*axes, {a.columns[0]: none(a.columns[0]) for a in axes}, 72)
+    """Kernels and graphs for the least covered of all combinations of the parts' types and sizes."""
+    p = _specs(spark, d)
+    axes = {c: p.select(c).distinct() for c in ("pattern", "type", "interface", "complexity")}
+    counts = {c: p.groupBy(c).agg(F.count("*").alias("n")) for c in axes}
+    specs = settle(rows.spec_grid(*axes.values(), counts, 400))
     return rows.render_kernel(specs).select("filename", "code").unionByName(rows.render_graph(specs).select("filename", "code").distinct())
 
 
@@ -591,7 +615,13 @@ def balanced_build(spark, d):
     return rows.balanced_rows(rows.keyed(_instruction_rows(spark, d)))
 
 
-@query()
+@query(
+    f"""with r as (select d.doc_id, d.source, d.lang, d.text, case when coalesce(toxic, 0) = 1 then d.lang end as bug, 'c:/data/' || d.source || '.jsonl' as path, quality = 1 as ok from documents d left join labels using (doc_id)),
+    p as (select *, 'compile_proven' as b, 0 as k from r where ok), seen as (select distinct source, text from p),
+    n as (select r.*, 'real_negative' as b, 2 as k from r where not coalesce(ok, false) and not exists (select 1 from seen where seen.source = r.source and seen.text = r.text) and bug is not null qualify row_number() over (partition by bug order by path, doc_id) <= 80),
+    u as (select * from p union all select * from n)
+    select doc_id as row_index, b as v4_bucket, case when {_SHA1('source', 100)} < 20 then 'validation' else 'train' end as split from u qualify row_number() over (partition by text, lang order by k, path, doc_id) = 1"""
+)
 def verified_build(spark, d):
     r = _instruction_rows(spark, d).select("path", "row_index", "group_id", "instruction", "context", "response", "bug_type")
     results = _t(spark, d, "labels").select(F.lit("unused").alias("input_path"), F.col("doc_id").alias("row_index"), (F.col("quality") == 1).alias("compile_ok"))
@@ -651,23 +681,46 @@ def prompt_axes(spark, d):
     return _t(spark, d, "orders").select("o_orderkey", S.axes(F.col("o_orderkey"), {"a": 4, "b": 3, "c": 5}).alias("x")).select("o_orderkey", "x.a", "x.b", "x.c")
 
 
-@query("select doc_id, len(string_split(text, chr(10)))::bigint as n_lines, nullif(regexp_extract(text, '\\b(?:in_iter|buf|acc|window|stream)[A-Za-z0-9_]*', 0), '') as identifier from documents")
+_ANCHORED = "regexp_replace(text, '(?m)^\\s*#\\s*include\\b.*$', '', 'g')"
+
+
+@query(
+    f"""with c as (select doc_id, {_ANCHORED} as c, text from (select doc_id, case doc_id % 3 when 0 then '#include <acc_unit.h>' || chr(10) || 'class ' || source || '_x : y' when 1 then 'void ' || source || '(int a) acc_' || lang else '' end || chr(10) || text as text from documents))
+    select doc_id, nullif(regexp_extract(c, '\\bclass\\s+([A-Za-z_][A-Za-z0-9_]*)', 1), '') as class, nullif(regexp_extract(c, '\\b(?:void|int|float|cint32|cint16|int16|int32|uint16|uint32|bfloat16|bool)\\s+([A-Za-z_][A-Za-z0-9_]*)\\s*\\(', 1), '') as function,
+    nullif(regexp_extract(c, '\\b(?:in_iter|out_iter|in_stream|out_stream|buf|coeff|delay_line|acc|window|stream)[A-Za-z0-9_]*', 0), '') as identifier, len(string_split(text, chr(10)))::bigint as n_lines from c"""
+)
 def text_anchors(spark, d):
-    a = S.code_anchors(F.col("text"))
-    return _docs(spark, d).select("doc_id", a["n_lines"].cast("long").alias("n_lines"), F.nullif(F.regexp_extract("text", r"\b(?:in_iter|buf|acc|window|stream)[A-Za-z0-9_]*", 0), F.lit("")).alias("identifier"))
+    k, nl = F.col("doc_id") % 3, F.lit("\n")
+    head = F.when(k == 0, F.concat(F.lit("#include <acc_unit.h>\nclass "), "source", F.lit("_x : y"))).when(k == 1, F.concat(F.lit("void "), "source", F.lit("(int a) acc_"), "lang")).otherwise("")
+    a = S.code_anchors(F.concat(head, nl, "text"))
+    return _docs(spark, d).select("doc_id", a["class"].alias("class"), a["function"].alias("function"), a["identifier"].alias("identifier"), a["n_lines"].cast("long").alias("n_lines"))
 
 
-@query()
+_GATED = [[], ["missing_graph_instance"], ["missing_kernel_forward_declaration"], ["stream_connect_window_signature_mismatch"], ["missing_adf_include"], ["needs_at_least_two_files", "missing_graph_h", "missing_kernel_source_file", "missing_adf_include", "missing_graph_class", "missing_kernel_create", "missing_source_assignment", "missing_connect", "missing_runtime_ratio", "missing_kernel_function_body", "missing_aie_kernel_ops"]]
+
+
+@query(f"select p_partkey, ({[r or ['-'] for r in _GATED]})[p_size % {len(_GATED)} + 1] as reasons from part")
 def project_gates(spark, d):
-    """Every part's name as a project of two files, through the structure gate."""
-    code = F.concat(F.lit("// FILE: graph.h\n" + recipes.GRAPH + "// FILE: kernels/k.cc\n" + recipes.KERNEL + "// "), "p_name")
-    return _t(spark, d, "part").select("p_partkey", S.project_gate(code).alias("reasons"))
+    """A project of each part, whole or with one of five faults, through the structure gate; a project without reasons has ['-']."""
+    graph = recipes.GRAPH.replace("using namespace adf;\n", "void run(int* x);\n").replace("public graph", "public adf::graph").replace("first_kernel", "run").replace("second_kernel", "run")
+    for word in ("kernel::create", "input_plio::create", "output_plio::create", "connect<", "plio_32_bits", "stream>", "window<"):
+        graph = graph.replace(word, f"adf::{word}")
+    graph = graph.replace(" source(", " adf::source(").replace("runtime<ratio>", "adf::runtime<adf::ratio>").replace("adf::window<256, 64>", "adf::stream") + "demo_graph g;\n"
+    name = F.concat(F.lit("demo_"), "p_partkey")
+    whole = F.replace(F.concat(F.lit(f"// FILE: graph.h\n{graph}// FILE: kernels/k.cc\nvoid run(input_stream<int16>* in) {{\n readincr(in);\n}}\n// "), "p_name", F.lit("\n")), F.lit("demo_graph"), name)
+    without = lambda old, new="": F.replace(whole, F.lit(old) if isinstance(old, str) else old, F.lit(new))
+    faults = [whole, without(F.concat(name, F.lit(" g;"))), without("void run(int* x);\n"), without("input_stream", "input_window"), without("#include <adf.h>\n"), F.concat(F.lit("int x; // "), "p_name")]
+    code = F.element_at(F.array(*faults), (F.col("p_size") % len(faults) + 1).cast("int"))
+    reasons = S.project_gate(code)
+    return _t(spark, d, "part").select("p_partkey", F.when(F.size(reasons) > 0, reasons).otherwise(F.array(F.lit("-"))).alias("reasons"))
 
 
 @query()
 def graph_descriptions(spark, d):
-    code = F.concat(F.lit(recipes.GRAPH), F.lit("// "), F.col("p_name"))
-    return _t(spark, d, "part").select("p_partkey", S.graph_ports(code).alias("ports"), S.buffers(code).alias("buffers"), S.constraint_flags(code, F.lit("graph_type"), F.array(F.lit("PLIO")), F.array().cast("array<string>")).alias("constraints"))
+    """Ports, buffers and limits of a kernel and a graph of each part."""
+    r = _rendered(spark, d)
+    code = F.col("code")
+    return r.select("p_partkey", "kind", S.graph_ports(code).alias("ports"), S.kernel_ports(code).alias("parameters"), S.buffers(code).alias("buffers"), S.constraint_flags(code, F.col("kind"), F.col("interfaces"), C.intrinsics(code, F.lit(None).cast("string"))).alias("constraints"))
 
 
 @query("select case when k = 1 then base else base || '_' || k end as slug, p_name as label from (select *, row_number() over (partition by base order by p_partkey) as k from (select p_partkey, p_name, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '_') as base from part) where base <> '')")

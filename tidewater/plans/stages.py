@@ -84,7 +84,7 @@ def _pairs(mutations: DataFrame, variant: str) -> DataFrame:
 def _off_topic(b: Build) -> DataFrame:
     """Sources whose code has no word of their bug's slug."""
     d = b.read("compile").where("compile_ok").select("source_id", C.topic_hits(F.col("correct"), F.col("slug")).alias("hits"))
-    return d.where(F.size("hits") == 0).select("source_id")
+    return d.where("hits = 0").select("source_id")
 
 
 def _absent(b: Build) -> DataFrame:
