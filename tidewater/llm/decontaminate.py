@@ -2,11 +2,10 @@
 
 Documents and items are word sequences. Each sliding window of `window - k + 1` k-grams keeps
 its smallest hash, so any shared span of `window` words shares a kept k-gram at the same place
-on both sides. Kept k-grams of documents that pass a filter of fixed size (built from the
-items' kept k-grams) are extended to the full windows around them; those windows' hashes join
+on both sides. Kept k-grams of documents that pass a filter (built from the items' kept k-grams) are extended to the full windows around them; those windows' hashes join
 the items' windows. Items shorter than `window` words are one window; their lengths are few
 (below `window`), so documents hash every span of such a length that occurs and pass it
-through the same kind of filter. The filters only save traffic: joins decide.
+through the same kind of filter. Filters grow with the items up to a bound and only save traffic: joins decide.
 
 Edge cases: null texts have no words; items without words have no window; repeated rows each
 get their row; repeated item_ids count once; an empty benchmark hits nothing; a null item_id
@@ -73,7 +72,7 @@ def winnow(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 class Filter:
-    """A Bloom filter of fixed size: 2 ** bits bits, three probes."""
+    """A Bloom filter of 2 ** bits bits, three probes."""
 
     def __init__(self, bits: int = 24):
         self.bits, self.cells = bits, np.zeros(1 << (bits - 3), np.uint8)
@@ -156,12 +155,13 @@ def candidate_windows(h: np.ndarray, window: int, k: int, short: list[int], kept
     return np.concatenate(starts), np.concatenate(sizes), np.concatenate(keys)
 
 
-def hits(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 7, filter_bits: int = 24, carry: tuple[str, ...] = ()) -> DataFrame:
+def hits(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 7, filter_bits: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_words, spans (hit windows as start and end, in words), items (ids as text, sorted) of each row, and the columns named in carry."""
     spark = docs.sparkSession
     windows = durable(_item_windows(items, window, k), "item-windows")
     short = sorted(r["n"] for r in windows.where(f"n > 0 and n < {window}").select("n").distinct().collect())  # below `window`, so a few at most
-    shared = spark.sparkContext.broadcast(_filters(windows, filter_bits))  # of fixed size
+    bits = filter_bits or min(27, max(16, (16 * windows.count()).bit_length()))  # some 16 bits a window; beyond 2^27 (16 MB) more windows pass, and the join decides
+    shared = spark.sparkContext.broadcast(_filters(windows, bits))
 
     def run(batches):
         hasher = Hasher()
@@ -191,7 +191,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 7, filter
     return out.select(*own, "n_words", F.coalesce("spans", none("array<struct<start:bigint,end:bigint>>")).alias("spans"), F.coalesce("items", none("array<string>")).alias("items"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 7, filter_bits: int = 24, carry: tuple[str, ...] = ()) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 7, filter_bits: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of each row, and the columns named in carry."""
     step = lambda acc, x: F.struct(
         (acc["hit"] + F.greatest(F.lit(0), x["end"] - F.greatest(acc["end"], x["start"]))).alias("hit"), F.greatest(acc["end"], x["end"]).alias("end")
