@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.lineage import shared_dir
+
 #: Words of the contracts that say `[^\x20\x09-\x0D]+`, as a Java pattern.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -28,12 +30,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); one of our own only where none is named, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else "file:///tmp/checkpoints/tidewater"
-
-
 def fresh_path(spark: SparkSession, what: str) -> str:
     """A new path in the shared folder; it is deleted when this driver ends."""
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
@@ -83,3 +79,8 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         size += n
     if run:
         yield first, run
+
+
+def tidy() -> None:
+    """Gives memory that Arrow keeps for later back to the system: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import fresh_path, remove, table
+from tidewater.llm.common import fresh_path, remove, table, tidy
 from tidewater.llm.tokens import Encoder, default_tokenizer, parts
 
 #: Fixed values of the format: ids the rolling hash sees, least and most ids of a chunk, bits that are zero at a cut.
@@ -146,6 +146,7 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                     [batch.column(0).slice(rows.start, len(rows)), pa.array(n_tokens, pa.int64()), pa.array(sizes, pa.list_(pa.int32())), pa.array(digests, pa.list_(pa.binary())), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), fresh).cast(fresh_kind)],
                     ["doc_id", "n_tokens", "sizes", "digests", "fresh"],
                 )
+            tidy()
 
     kind = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("n_tokens long, sizes array<int>, digests array<binary>, fresh array<struct<digest:binary,n:int,ids:binary>>").fields])
     return docs.select("doc_id", "text").mapInArrow(run, kind)

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import cut, table
+from tidewater.llm.common import cut, table, tidy
 
 #: The character that byte-level vocabularies write for a space.
 _SPACE = "\u0120"
@@ -195,7 +195,7 @@ def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - before, size) + np.arange(int(size.sum()))
 
 
-def parts(texts: pa.Array, most: int = 8 << 20) -> Iterator[tuple[pa.Array, np.ndarray]]:
+def parts(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """(segments, row of each): runs of rows of about `most` bytes. A longer text comes in several segments, cut where a space starts a new pre-token."""
     sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     at = 0
@@ -225,6 +225,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
             lengths = np.zeros(batch.num_rows, np.int64)
             for texts, rows in parts(batch.column(0)):
                 np.add.at(lengths, rows, encoder.lengths(texts))
+            tidy()
             for length, n in zip(*(x.tolist() for x in np.unique(lengths, return_counts=True))):
                 counts[length] = counts.get(length, 0) + n
         yield pa.RecordBatch.from_arrays([pa.array(np.array(list(counts), np.int64)), pa.array(np.array(list(counts.values()), np.int64))], ["length", "n_docs"])
@@ -232,7 +233,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     return docs.select("text").mapInArrow(run, "length long, n_docs long").groupBy("length").agg(F.sum("n_docs").alias("n_docs"))
 
 
-def length_histogram(counts: DataFrame, block: int = 1024) -> DataFrame:
+def length_histogram(counts: DataFrame, block: int = 128) -> DataFrame:
     """What every context limit L among the lengths gives, from (length, n_docs).
 
     docs_at_least, tokens_at_least: rows of length >= L and their tokens (suffix sums);
