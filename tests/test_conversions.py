@@ -198,3 +198,14 @@ def test_counts_and_charts(spark):
     assert [tuple(r) for r in reports.labelled_counts(d, "v", {"a": "A"}).collect()] == [("A", 2, 0.5), ("b", 1, 0.25), ("unknown", 1, 0.25)]
     assert reports.n_rows(d, "v = 'a'").first() == (4, 2)
     assert reports.bars([("<x>", 3)], "t").count("<rect") == 1 and "&lt;x&gt;" in reports.bars([("<x>", 3)], "t")
+
+
+def test_arrays_and_entries(spark, tmp_path):
+    from tidewater.sources import files
+
+    (tmp_path / "a.json").write_text('[{"id": "x", "n": 1},\n {"id": "y"}, {"n": 3}]')
+    assert [(r["row_index"], r["id"], r["n"]) for r in files.json_array(spark, f"{tmp_path}/a.json", "id string, n int").orderBy("row_index").collect()] == [(0, "x", 1), (1, "y", None), (2, None, 3)]
+    (tmp_path / "c.jsonl").write_text('{"code": "int x;", "metadata": {"data_types": ["int16"], "compute_pattern": "fir"}}\nbroken\n{"filename": "no code"}\n{"code": "y", "filename": "f", "bug_type": "b"}\n')
+    found = files.corpus_entries(spark, f"{tmp_path}/c.jsonl").orderBy("row_index").collect()
+    assert [(r["row_index"], r["filename"], r["bug_type"]) for r in found] == [(0, "", None), (3, "f", "b")] and len({r["content"] for r in found}) == 2
+    assert found[0]["data_types"] == ["int16"] and found[0]["compute_pattern"] == ["fir"]

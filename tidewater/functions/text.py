@@ -112,6 +112,13 @@ def json_text(column: Column, ascii_only: bool = False) -> Column:
     return F.concat(F.lit('"'), F.when(c.rlike(bad), escaped).otherwise(c), F.lit('"'))
 
 
+def iso_utc(time: Column) -> Column:
+    """A time in UTC as 2024-01-31T08:00:00.000001+00:00, without the fraction where it is zero (the session's zone is UTC)."""
+    whole = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss")
+    part = F.date_format(time, "SSSSSS")
+    return F.concat(whole, F.when(part == "000000", "").otherwise(F.concat(F.lit("."), part)), F.lit("+00:00"))
+
+
 def canonical_json(ascii_only: bool = False, **columns: Column) -> Column:
     """A JSON object with sorted keys and `", "` and `": "` between; nulls stay as null."""
     parts: list[Column] = []

@@ -349,3 +349,44 @@ def artifact_kinds(spark, d):
     s = F.concat(F.lit("x"), F.when(F.col("p_size") % 2 == 0, "_graph.h").otherwise(".cc"))
     return _t(spark, d, "part").select("p_partkey", (C.artifact_type(F.col("p_name"), s) == "graph_type").alias("known"))
 
+
+
+# ---- times and streams
+
+
+@query("select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || case when microsecond(ts) % 1000000 = 0 then '' else strftime(ts, '.%f') end || '+00:00' as stamp from events")
+def event_stamps(spark, d):
+    return _t(spark, d, "events").select("event_id", X.iso_utc(F.col("ts")).alias("stamp"))
+
+
+def _stream(spark, d) -> DataFrame:
+    """The events as a stream over their table."""
+    return spark.readStream.schema(_t(spark, d, "events").schema).parquet(f"{d}/event[s].parquet")
+
+
+def _drained(spark, stream: DataFrame) -> DataFrame:
+    """What a stream over all there is now gives, written below the shared folder."""
+    import uuid
+
+    from tidewater.operators.lineage import shared_dir
+    from tidewater.streaming import logs
+
+    at = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    logs.drain(stream, f"{at}/out", f"{at}/state").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{at}/out")
+
+
+@query("with w as (select date_trunc('day', ts)::timestamp as start, event_type, count(*)::bigint as n from events group by 1, 2) select * from w where start + interval 1 day <= (select max(ts) - interval 2 hours from events)")
+def event_rates(spark, d):
+    """Events of a kind by day, as a stream; days are final once the watermark has passed them."""
+    from tidewater.streaming import logs
+
+    return _drained(spark, logs.rates(_stream(spark, d).select("ts", "event_type"), "ts", "event_type", "1 day", "2 hours"))
+
+
+@query("with w as (select date_trunc('day', ts)::timestamp as start, user_id, min(event_id) as first, count(*)::bigint as n from events group by 1, 2) select * from w where start + interval 1 day <= (select max(ts) - interval 1 day from events)")
+def first_events(spark, d):
+    """Each user's first event of a day, as a stream."""
+    from tidewater.streaming import logs
+
+    return _drained(spark, logs.first_so_far(_stream(spark, d).select("ts", "user_id", "event_id"), ["user_id"], "event_id", "ts"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions.text import strip
+from tidewater.functions.text import content_hash, strip
 from tidewater.operators.selection import first_of, numbered, ranked
 
 #: A row of the instruction data set; keys outside it are kept in `extras`.
@@ -80,6 +80,24 @@ def json_documents(spark: SparkSession, path: str, schema: T.StructType | str) -
     return spark.read.schema(schema).option("multiLine", True).json(path).withColumn("file", F.col("_metadata.file_path"))
 
 
+def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(file, row_index, row's columns) of files that hold one array each, in the arrays' order; what is no array fails the read. A file is read by one task."""
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("raw"))
+    rows = F.from_json("raw", f"array<struct<{', '.join(c.strip().replace(' ', ':', 1) for c in schema.split(','))}>>", {"mode": "FAILFAST"})
+    return whole.select("file", F.posexplode(rows).alias("row_index", "r")).select("file", "row_index", "r.*")
+
+
+#: An entry of the source corpus.
+ENTRY = "filename string, code string, source string, category string, source_url string, repo string, branch string, bug_type string, bug_explanation string, metadata struct<path:string,compute_pattern:variant,data_types:variant,interfaces:variant,complexity:string,origin:string>"
+
+
+def corpus_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of a corpus file: those with code, missing texts empty but for the bug's, lists that were written as text or as arrays as arrays, and `content`, the code's hash."""
+    d = json_lines(spark, path, ENTRY, "tolerant").where(F.coalesce("code", F.lit("")) != "")
+    text = [F.coalesce(c, F.lit("")).alias(c) for c in ("filename", "code", "source", "category")]
+    return d.select("row_index", *text, "source_url", "repo", "branch", "bug_type", "bug_explanation", *[as_list(F.col(f"metadata.{c}")).alias(c) for c in ("compute_pattern", "data_types", "interfaces")], F.col("metadata.complexity").alias("complexity"), content_hash(F.col("code")).alias("content"))
+
+
 def predictions(found: DataFrame, order: str) -> DataFrame:
     """(id, answer): id from id or case_id, answer from prediction or response; the last of an id counts."""
     d = found.select(F.coalesce("id", "case_id").alias("id"), F.coalesce("prediction", "response").alias("answer"), order).where("id is not null")
