@@ -360,8 +360,8 @@ def event_stamps(spark, d):
 
 
 def _stream(spark, d) -> DataFrame:
-    """The events as a stream over their table."""
-    return spark.readStream.schema(_t(spark, d, "events").schema).parquet(f"{d}/event[s].parquet")
+    """The events as a stream over their table; streams want times with a zone."""
+    return spark.readStream.schema(_t(spark, d, "events").schema).parquet(f"{d}/event[s].parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _drained(spark, stream: DataFrame) -> DataFrame:
@@ -373,7 +373,7 @@ def _drained(spark, stream: DataFrame) -> DataFrame:
 
     at = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
     logs.drain(stream, f"{at}/out", f"{at}/state").awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{at}/out")
+    return spark.read.schema(stream.schema).parquet(f"{at}/out").withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 @query("with w as (select date_trunc('day', ts)::timestamp as start, event_type, count(*)::bigint as n from events group by 1, 2) select * from w where start + interval 1 day <= (select max(ts) - interval 2 hours from events)")
