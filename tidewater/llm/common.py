@@ -45,11 +45,24 @@ def remove(spark: SparkSession, path: str) -> None:
         target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of so many rows to Python in what is written meanwhile: texts are long, and executors hold a batch on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def durable(df: DataFrame, what: str) -> DataFrame:
     """df written once to the shared folder and read again: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, what)
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

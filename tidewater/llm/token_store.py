@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import fresh_path, remove, table, tidy
+from tidewater.llm.common import fresh_path, remove, small_batches, table, tidy
 from tidewater.llm.tokens import Encoder, default_tokenizer, parts
 
 #: Fixed values of the format: ids the rolling hash sees, least and most ids of a chunk, bits that are zero at a cut.
@@ -156,7 +156,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     """Writes the store of docs below path and returns the head's root in hex."""
     spark = docs.sparkSession
     staged_at = fresh_path(spark, "encoded")
-    _encoded(docs, tokenizer or default_tokenizer(), end_id).write.option("compression", "zstd").parquet(staged_at)
+    with small_batches(spark):
+        _encoded(docs, tokenizer or default_tokenizer(), end_id).write.option("compression", "zstd").parquet(staged_at)
     staged = spark.read.parquet(staged_at)
     chunks = staged.where(F.size("fresh") > 0).select(F.explode("fresh").alias("c")).select("c.digest", "c.n", "c.ids")
     chunks.repartition("digest").dropDuplicates(["digest"]).write.option("compression", "zstd").parquet(f"{path}/chunks")
