@@ -39,6 +39,13 @@ PROJECT_MUST_NOT = {
     "templated_kernel_create": r"adf::kernel::create\s*<", "invalid_vector_zeros_api": r"aie::zeros\s*<\s*(?:int|uint|cint|float|bfloat)\w*\s*,", "missing_to_vector_shift": r"\.to_vector\s*<[^>]+>\s*\(\s*\)",
     "unsupported_sliding_mac_signature": r"aie::mac\s*\([^\n,]+,[^\n,]+,\s*\d+\s*,", "unsupported_shuffle_up_usage": r"aie::shuffle_up\s*\(",
 }
+KERNEL_PARAMETERS = r"(?s)(?:\b\w+(?:::\w+)?\s*<[^>]+>::\w+|\bvoid\s+\w+)\s*\((.*?)\)\s*\{"
+PORT_KEYWORDS, KERNEL_MADE = ("input_port", "output_port", "input_plio", "output_plio"), r"kernel::create(?:_object)?"
+DIMENSIONS, WINDOWS, LANES = r"dimensions\([^\)]+\)\s*=\s*\{([^}]+)\}", r"connect<window<\s*([^>]+?)\s*>>", r"begin_vector<\s*(\d+)\s*>"
+ANCHOR_CLASS = r"\bclass\s+([A-Za-z_][A-Za-z0-9_]*)"
+ANCHOR_FUNCTION = r"\b(?:void|int|float|cint32|cint16|int16|int32|uint16|uint32|bfloat16|bool)\s+([A-Za-z_][A-Za-z0-9_]*)\s*\("
+ANCHOR_NAME = r"\b(?:in_iter|out_iter|in_stream|out_stream|buf|coeff|delay_line|acc|window|stream)[A-Za-z0-9_]*"
+STREAM_USE, NUMBER = r"readincr|writeincr|input_stream|output_stream|connect<", r"\b\d+\b"
 GRAPH_STREAM = r"\b(?:input_stream|output_stream)\s*<[^>]+>\s+[A-Za-z_]\w*\s*(?:,|;)"
 UNQUALIFIED = (
     r"(?<!adf::)\bkernel::create\s*\(",
@@ -177,8 +184,8 @@ def fix_cues(bug_type: Column, buggy: Column, correct: Column) -> Column:
     """Cues that a fix touches what its bug type is about."""
     bt, b, c = F.lower(F.coalesce(bug_type, F.lit(""))), F.coalesce(buggy, F.lit("")), F.coalesce(correct, F.lit(""))
     steps = lambda x: any_of(x, ("++", "+="))
-    numbers = lambda x: F.regexp_extract_all(x, F.lit(r"\b\d+\b"), F.lit(0))
-    streams = lambda x: F.regexp_count(x, F.lit("readincr|writeincr|input_stream|output_stream|connect<"))
+    numbers = lambda x: F.regexp_extract_all(x, F.lit(NUMBER), F.lit(0))
+    streams = lambda x: F.regexp_count(x, F.lit(STREAM_USE))
     return F.array_compact(F.array(
         F.when(any_of(bt, ("missing_iterator_increment",)) & steps(c) & ~steps(b), "iterator_increment_added"),
         F.when(any_of(bt, ("subtraction_instead_of_addition",)) & any_of(c, ("+",)) & any_of(b, ("-",)), "operator_sub_to_add"),
@@ -199,20 +206,20 @@ def quality_score(logical_ok: Column, verdict: Column, changed: Column) -> Colum
 
 def kernel_ports(code: Column) -> Column:
     """Parameters of the first function, without comments; null without a function."""
-    params = F.regexp_extract(code, r"(?s)(?:\b\w+(?:::\w+)?\s*<[^>]+>::\w+|\bvoid\s+\w+)\s*\((.*?)\)\s*\{", 1)
-    return F.when(code.rlike(r"(?s)(?:\b\w+(?:::\w+)?\s*<[^>]+>::\w+|\bvoid\s+\w+)\s*\(.*?\)\s*\{"), F.transform(listed(F.regexp_replace(params, r"(?d)//.*", "")), one_space))
+    params = F.regexp_extract(code, KERNEL_PARAMETERS, 1)
+    return F.when(code.rlike(KERNEL_PARAMETERS), F.transform(listed(F.regexp_replace(params, r"(?d)//.*", "")), one_space))
 
 
 def graph_ports(code: Column) -> Column:
     """struct of port declarations (by keyword, then place) and the number of kernels that are made."""
-    found = [F.regexp_extract_all(code, F.lit(rf"(?m)^[ \t]*({k}\b[^;]*;)"), F.lit(1)) for k in ("input_port", "output_port", "input_plio", "output_plio")]
-    return F.struct(F.transform(F.concat(*found), lambda x: strip(one_space(x))).alias("declarations"), F.regexp_count(code, F.lit(r"kernel::create(?:_object)?")).alias("n_kernels"))
+    found = [F.regexp_extract_all(code, F.lit(rf"(?m)^[ \t]*({k}\b[^;]*;)"), F.lit(1)) for k in PORT_KEYWORDS]
+    return F.struct(F.transform(F.concat(*found), lambda x: strip(one_space(x))).alias("declarations"), F.regexp_count(code, F.lit(KERNEL_MADE)).alias("n_kernels"))
 
 
 def buffers(code: Column) -> Column:
     """struct of graph dimensions (distinct), window sizes and vector lanes (distinct)."""
     of = lambda p: F.transform(F.regexp_extract_all(code, F.lit(p), F.lit(1)), strip)
-    return F.struct(F.array_distinct(of(r"dimensions\([^\)]+\)\s*=\s*\{([^}]+)\}")).alias("dimensions"), of(r"connect<window<\s*([^>]+?)\s*>>").alias("windows"), F.array_distinct(of(r"begin_vector<\s*(\d+)\s*>")).alias("lanes"))
+    return F.struct(F.array_distinct(of(DIMENSIONS)).alias("dimensions"), of(WINDOWS).alias("windows"), F.array_distinct(of(LANES)).alias("lanes"))
 
 
 def constraint_flags(code: Column, artifact_type: Column, interfaces: Column, intrinsics: Column) -> Column:
@@ -235,10 +242,8 @@ def code_anchors(context: Column) -> Column:
     """struct of the first class, function and known identifier (null if none), and the number of lines; includes are skipped."""
     c = F.regexp_replace(context, r"(?m)^\s*#\s*include\b.*$", "")
     some = lambda p, g: F.nullif(F.regexp_extract(c, p, g), F.lit(""))
-    return F.struct(
-        some(r"\bclass\s+([A-Za-z_][A-Za-z0-9_]*)", 1).alias("class"), some(r"\b(?:void|int|float|cint32|cint16|int16|int32|uint16|uint32|bfloat16|bool)\s+([A-Za-z_][A-Za-z0-9_]*)\s*\(", 1).alias("function"),
-        some(r"\b(?:in_iter|out_iter|in_stream|out_stream|buf|coeff|delay_line|acc|window|stream)[A-Za-z0-9_]*", 0).alias("identifier"), F.when(F.coalesce(context, F.lit("")) == "", 0).otherwise(F.regexp_count(context, F.lit("\n")) + 1).alias("n_lines"),
-    )
+    n_lines = F.when(F.coalesce(context, F.lit("")) == "", 0).otherwise(F.regexp_count(context, F.lit("\n")) + 1)
+    return F.struct(some(ANCHOR_CLASS, 1).alias("class"), some(ANCHOR_FUNCTION, 1).alias("function"), some(ANCHOR_NAME, 0).alias("identifier"), n_lines.alias("n_lines"))
 
 
 def anchor_phrase(anchors: Column) -> Column:
