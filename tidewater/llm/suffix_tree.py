@@ -409,7 +409,7 @@ def score(docs: DataFrame, learn: Column | None = None, smoothing: float = 32.0,
     spark = docs.sparkSession
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_chunks = 1 + n_bytes // piece  # more if partitions are smaller
-    buckets = 1 << (n_chunks - 1).bit_length()
+    buckets = 1 << ((n_chunks + 3) // 4 - 1).bit_length()
     parts = max(min(n_chunks, int(spark.conf.get("spark.sql.shuffle.partitions"))), n_chunks // 8)
     held = chunks(docs, F.lit(True) if learn is None else learn, piece).repartition(parts, "chunk")
     keyed = "bucket int, chunk long, "
