@@ -8,6 +8,7 @@ from tidewater.llm import registry
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, size string, draw string, chunk string, score string, copy string, bucket string, words string, body string"
 PAGES = "page_id long, url string, html string, text string, n_chars string, at string"
+TURNS = "conv_id long, turn long, role string, text string, ids string, loss string, block string"
 ITEMS = "item_id long, text string, n string, key string"
 
 
@@ -25,7 +26,9 @@ def folder(spark, tmp_path_factory):
     page = f"<article><h1>{body}</h1><p>{body}</p></article>"
     spark.createDataFrame([(1, "u", page, "t", "n", "a"), (1, "u", page, "t", "n", "a"), (None, None, None, None, None, None), (2, "v", "", "", "", ""), (3, "w", f"<p>{long}</p>", "", "", "")], PAGES).write.parquet(f"{at}/some/pages.parquet")
     spark.createDataFrame([(1, body, "n", "k"), (1, body, "n", "k"), (None, "a a", "n", "k"), (2, None, None, None), (3, "", "", "")], ITEMS).write.parquet(f"{at}/some/benchmark.parquet")
-    for name in ("documents", "pages", "benchmark"):
+    said = [(1, 0, "user", body), (1, 0, "user", body), (None, None, None, None), (2, 1, "assistant", long), (2, 0, "user", "</turn>"), (None, 1, "assistant", "")]
+    spark.createDataFrame([(*t, "i", "l", "b") for t in said], TURNS).write.parquet(f"{at}/some/conversations.parquet")
+    for name in ("documents", "pages", "benchmark", "conversations"):
         spark.read.parquet(f"{at}/some/{name}.parquet").where("false").write.parquet(f"{at}/none/{name}.parquet")
     return f"file://{at}", len(rows)
 
@@ -35,6 +38,6 @@ def test_query(spark, folder, name):
     at, n = folder
     found = registry.QUERIES[name](spark, f"{at}/some")
     n_rows = found.count()
-    assert n_rows == {"op4_lengths": n_rows, "op9_line_blocks": 5}.get(name, n) and n_rows > 0
+    assert n_rows == {"op4_lengths": n_rows, "op9_line_blocks": 5, "op12_token_assembly": 4}.get(name, n) and n_rows > 0
     empty = registry.QUERIES[name](spark, f"{at}/none")
-    assert empty.columns == found.columns and empty.count() == 0
+    assert empty.columns == found.columns and empty.count() == (name == "op12_token_assembly")  # a conversation of its own is always there
