@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators import merge, reports, selection
+from tidewater.operators import merge, patterns, reports, selection
 
 
 def rows_of(n=120, seed=3):
@@ -92,6 +92,46 @@ def test_greedy_caps_keep_more_than_windows_would(df):
     assert ids(selection.greedy_caps(df, "id", "fp", "tier", "kind", ["id"], 999, 999)) == sorted(unbound.values())
 
 
+def greedy_loop(rows, most_kind, most_group):
+    """Keys of (key, fingerprint, kind, group, place) that one pass in the order of place and key keeps."""
+    kept, seen, kinds, groups = [], set(), {}, {}
+    for k, f, a, b, _ in sorted(rows, key=lambda r: (r[4] is not None, r[4] or 0, r[0])):
+        if f not in seen and kinds.get(a, 0) < most_kind and groups.get(b, 0) < most_group:
+            seen.add(f)
+            kinds[a], groups[b] = kinds.get(a, 0) + 1, groups.get(b, 0) + 1
+            kept.append(k)
+    return sorted(kept)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_greedy_caps_equal_the_loop_where_caps_bind(spark, seed):
+    r = random.Random(seed)
+    n, prints, kinds, groups = r.choice([(300, 40, 3, 9), (300, 250, 4, 6), (200, 900, 2, 30), (250, 12, 12, 12)])
+    some = lambda k, name: r.choice([None, *(f"{name}{i}" for i in range(k))])
+    rows = [(i, some(prints, "f"), some(kinds, "k") if r.random() < 0.5 else "k0", some(groups, "g"), r.choice([None, r.randint(0, 50)])) for i in range(n)]
+    frame = spark.createDataFrame(rows, "id long, f string, k string, g string, at long").repartition(5)
+    for caps in ((2, 3), (20, 4), (9, 30)):
+        assert ids(selection.greedy_caps(frame, "id", "f", "k", "g", ["at"], *caps)) == greedy_loop(rows, *caps), caps
+
+
+def test_greedy_caps_on_a_chain_and_on_nothing(spark):
+    rows = [(i, f"f{i}", f"k{(i + 1) // 2}", f"g{i // 2}", i) for i in range(12)]  # each row's room hangs on the row before it
+    frame = spark.createDataFrame(rows, "id long, f string, k string, g string, at long")
+    assert ids(selection.greedy_caps(frame, "id", "f", "k", "g", ["at"], 1, 1)) == greedy_loop(rows, 1, 1) == list(range(0, 12, 2))
+    assert ids(selection.greedy_caps(frame.where("false"), "id", "f", "k", "g", ["at"], 1, 1)) == []
+    assert ids(selection.greedy_caps(frame, "id", "f", "k", "g", ["at"], 0, 1)) == []
+
+
+def test_greedy_caps_put_no_rows_into_one_task(spark, monkeypatch):
+    plans = []
+    settle = selection.settle
+    monkeypatch.setattr(selection, "settle", lambda d: plans.append(d._jdf.queryExecution().executedPlan().toString()) or settle(d))
+    rows = [(i, f"f{i % 90}", f"k{i % 3}", f"g{i % 7}", i) for i in range(200)]
+    selection.greedy_caps(spark.createDataFrame(rows, "id long, f string, k string, g string, at long"), "id", "f", "k", "g", ["at"], 9, 5)
+    assert len(plans) > 3 and not any("SinglePartition" in p or "Python" in p or "Pandas" in p for p in plans)
+    assert any("WindowGroupLimit" in p for p in plans)
+
+
 def turns_of(rows, n, group, key):
     """A plain loop: one row of each group in the groups' order, then the rest by key, a key once."""
     by_group = {}
@@ -198,7 +238,7 @@ def test_places_in_a_hot_group(spark):
 def test_contained_keys_on_repeated_rows(spark):
     frame = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "c"), (3, None), (4, "b")], "id long, slug string")
     table = spark.createDataFrame([(2, "b", "B"), (1, "a", "A"), (3, None, "none")], "at int, word string, message string")
-    found = sorted((x["id"], x["message"], x["place"]) for x in merge.theta_contains(frame, "slug", table, "word", "at").collect())
+    found = sorted((x["id"], x["message"], x["place"]) for x in patterns.theta_contains(frame, "slug", table, "word", "at").collect())
     assert found == [(1, "A", 1), (1, "A", 1), (1, "B", 2), (1, "B", 2), (4, "B", 1)]
     from tidewater.operators import rows
 

@@ -292,10 +292,25 @@ def stock_log(log: Column) -> Column:
     return F.when(F.coalesce(said, F.lit("")) != "", F.concat(F.lit("Compile error: "), said)).otherwise("Compile error: AIE compilation failed for this source.")
 
 
-def topic_hits(code: Column, slug: Column, stop: tuple[str, ...] = ("the", "of", "in", "a", "and", "or", "vs", "wrong", "missing", "bug")) -> Column:
-    """How many of a slug's words the code has."""
-    words = F.filter(F.array_distinct(F.split(F.lower(slug), "_")), lambda w: (F.length(w) > 2) & ~w.isin(*stop))
-    return F.size(F.filter(words, lambda w: F.contains(F.lower(code), w)))
+#: Words of a slug that say nothing about its topic.
+TOPIC_STOP = tuple(
+    dict.fromkeys(
+        """a an the of in on at to for from is are has have be by as or and with not no do does vs via per its it where when that this which than after before
+        between due used using can would but only each all one two both same wrong incorrect missing wrong bad causes cause caused into out too instead because already never then
+        does did should also over under up down so more less if even just gets gets""".split()
+    )
+)
+
+
+def topic_tokens(slug: Column) -> Column:
+    """The words of a slug that say what it is about, each once, in their order."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower(slug), F.lit("[a-z][a-z0-9]*"), F.lit(0)))
+    return F.filter(words, lambda w: (F.length(w) >= 3) & ~w.isin(*TOPIC_STOP))
+
+
+def topic_hits(code: Column, slug: Column) -> Column:
+    """How many of a slug's words the code has; a row without any is off topic."""
+    return F.size(F.filter(topic_tokens(slug), lambda w: F.contains(F.lower(code), w)))
 
 
 def has_diff_format(context: Column, response: Column) -> Column:

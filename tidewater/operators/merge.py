@@ -6,11 +6,8 @@ by accident. Null keys match nothing unless said otherwise.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewater.operators.selection import first_of, last_of, ranked
 
@@ -123,18 +120,3 @@ def coverage_grid(axes: dict[str, DataFrame], counts: dict[str, DataFrame], limi
         axis = axis.join(n, name, "left").fillna({f"n_{name}": 0})
         grid = axis if grid is None else grid.crossJoin(axis)
     return grid.orderBy(*[f"n_{a}" for a in axes], *axes).limit(limit)
-
-
-def contained(column: Column, table: DataFrame, key: str, order: str) -> Column:
-    """The rows of a lookup table, in table order, whose key is part of the column, as an array of structs; the table has at most 10,000 rows (checked) and goes into the plan."""
-    found = table.orderBy(order, key).limit(10_001).collect()
-    if len(found) > 10_000:
-        raise ValueError("the lookup table has more than 10,000 rows")
-    listed = F.from_json(F.lit(json.dumps([r.asDict() for r in found])), T.ArrayType(table.schema))
-    return F.coalesce(F.filter(listed, lambda e: F.contains(column, e[key])), F.array().cast(T.ArrayType(table.schema)))
-
-
-def theta_contains(df: DataFrame, column: str, table: DataFrame, key: str, order: str) -> DataFrame:
-    """Rows with each table row whose key is part of the column, and its place from 1 among them. Neither join nor shuffle; repeated rows each get their own, a null column none."""
-    met = df.withColumn("__hits", contained(F.col(column), table, key, order))
-    return met.select(*df.columns, F.posexplode("__hits").alias("place", "__hit")).select(*df.columns, "__hit.*", (F.col("place") + 1).alias("place"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import code as C
 from tidewater.functions import diffs
 from tidewater.functions.text import choose, content_hash, fingerprint, hex_mod, or_text, row_key, slug
-from tidewater.operators import merge, selection
+from tidewater.operators import merge, patterns, selection
 from tidewater.operators.lineage import settle
 
 # Shares and caps that results depend on.
@@ -236,11 +236,11 @@ def holdout_fill(taxonomy: DataFrame, covered: DataFrame) -> DataFrame:
 
 def error_rows(df: DataFrame, slug_: str, table: DataFrame, key: str, message: str, place: str, id_: str) -> DataFrame:
     """Rows with one of the messages whose key is part of their slug, chosen by the hash of the id; rows without a match are left out, repeated rows stay."""
-    met = df.withColumn("__m", merge.contained(F.col(slug_), table, key, place)).where(F.size("__m") > 0)
+    found = patterns.theta_contains(df, slug_, table.select(F.col(key).alias("__key"), F.col(place).alias("__order"), F.col(message).alias("error_message")), "__key", "__order", place="__place", count="__count")
     digits, at = F.md5(F.col(id_).cast("string")), F.lit(0).cast("long")
     for start in range(1, 33, 8):
-        at = (at * (1 << 32) + F.conv(F.substring(digits, start, 8), 16, 10).cast("long")) % F.size("__m")
-    return met.withColumn("error_message", F.element_at("__m", (at + 1).cast("int"))[message]).drop("__m")
+        at = (at * (1 << 32) + F.conv(F.substring(digits, start, 8), 16, 10).cast("long")) % F.col("__count")
+    return found.where(F.col("__place") == at + 1).select(*df.columns, "error_message")
 
 
 def clean_rows(files_: DataFrame, path: str, code: str, most: int = 500, most_chars: int = 12_000) -> DataFrame:

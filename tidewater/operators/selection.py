@@ -7,8 +7,6 @@ may hold most of the rows, ranks come from ranges of the whole order (see placed
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -150,28 +148,47 @@ def pick_contexts(df: DataFrame, turn: str, repo: str, parent: str, group: str,
 def greedy_caps(df: DataFrame, key: str, fingerprint: str, kind: str, group: str, order: list[str], most_kind: int, most_group: int) -> DataFrame:
     """Keys kept by one pass in order: the fingerprint is new, and the kind's and the group's counts are below their caps; what is rejected uses nothing.
 
-    The rule is sequential. A later row of one fingerprint, kind and group can never be taken,
-    so only the first of each goes on. Where no cap can bind, the first row of each fingerprint
-    is the answer; else slim keys stream through one task that holds the counts and the
-    fingerprints kept, never the rows.
+    The rule is sequential, but most rows need not wait for those before them. Each round takes
+    a row if it is the first undecided one of its fingerprint and, even if all undecided rows
+    before it were taken, its kind and group would have room; then it rejects the rows of taken
+    fingerprints and of full kinds and groups. (Rows of a kind are only taken while there is
+    room for all undecided rows before them, so a kind that is full has none before its last.)
+    The first undecided row is settled in every round, so rounds end; a few do in practice, one
+    for each row of a chain in which every row's room depends on the row before it.
+
+    Of one fingerprint, kind and group only the first row goes on, and of the fingerprints that
+    one row has, the first rows of a kind and group up to the smaller cap. Undecided and taken
+    rows are slim tables; ranks end at a cap, so Spark cuts them in each task before the shuffle.
+    Nulls are values; rows that are equal in the order go by key.
     """
-    slim = settle(first_of(df.select(key, fingerprint, kind, group, *[c for c in order if c not in (key, fingerprint, kind, group)]), [fingerprint, kind, group], order))
+    slim = df.select(F.col(key).alias("__key"), F.col(fingerprint).alias("__f"), F.col(kind).alias("__k"), F.col(group).alias("__g"), F.struct(*order, key).alias("__o"))
+    slim = settle(first_of(slim, ["__f", "__k", "__g"], ["__o"]))
     most = lambda by: slim.groupBy(by).count().agg(F.max("count")).first()[0] or 0
-    if most(kind) <= most_kind and most(group) <= most_group:
-        return first_of(slim, [fingerprint], order).select(key)
-
-    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen, kinds, groups = set(), {}, {}
-        for frame in frames:
-            kept = []
-            for k, f, a, b in zip(frame[key], frame[fingerprint], frame[kind], frame[group]):
-                if f not in seen and kinds.get(a, 0) < most_kind and groups.get(b, 0) < most_group:
-                    seen.add(f)
-                    kinds[a], groups[b] = kinds.get(a, 0) + 1, groups.get(b, 0) + 1
-                    kept.append(k)
-            yield pd.DataFrame({key: kept})
-
-    return slim.repartition(1).sortWithinPartitions(*order).mapInPandas(fold, f"{key} {df.schema[key].dataType.simpleString()}")
+    if most("__k") <= most_kind and most("__g") <= most_group:
+        return first_of(slim, ["__f"], ["__o"]).select(F.col("__key").alias(key))
+
+    same = lambda c: F.col(c).eqNullSafe(F.col(f"{c}_"))
+    shared = slim.groupBy(F.col("__f").alias("__f_")).count().where("count > 1")
+    alone = first_n(slim.join(shared, same("__f"), "left_anti"), ["__k", "__g"], ["__o"], min(most_kind, most_group))
+    waiting = slim.join(shared, same("__f"), "left_semi").unionByName(alone)
+    none = F.lit(0).cast("long")
+    waiting = settle(waiting.select("*", none.alias("__nk"), none.alias("__ng"), F.monotonically_increasing_id().alias("__id")))
+    taken: list[DataFrame] = []
+    while not waiting.isEmpty():
+        room = lambda by, n, cap: ranked(waiting, [by], ["__o"], "__r").where(F.col("__r") <= cap).where(F.col("__r") <= cap - F.col(n))  # noqa: B023, E731
+        heads = waiting.groupBy("__f").agg(F.min(F.struct("__o", "__id")).alias("h")).select("h.__id")
+        new = room("__k", "__nk", most_kind).join(room("__g", "__ng", most_group).select("__id"), "__id", "left_semi").join(heads, "__id", "left_semi")
+        new = settle(new.select("__key", "__f", "__k", "__g"))
+        taken.append(new)
+        for by, n in (("__k", "__nk"), ("__g", "__ng")):
+            more = new.groupBy(F.col(by).alias(f"{by}_")).agg(F.count("*").alias("__more"))
+            waiting = waiting.join(more, same(by), "left").withColumn(n, F.col(n) + F.coalesce("__more", none)).drop(f"{by}_", "__more")
+        waiting = waiting.where((F.col("__nk") < most_kind) & (F.col("__ng") < most_group))
+        waiting = settle(waiting.join(new.select(F.col("__f").alias("__f_")), same("__f"), "left_anti"))
+    found = taken[0] if taken else slim.where("false")
+    for new in taken[1:]:
+        found = found.unionByName(new)
+    return found.select(F.col("__key").alias(key))
 
 
 def stratified(df: DataFrame, kind: str, tier: str, group: str, order: list[str], per_kind: int, tiers: list[str], most: int) -> DataFrame:

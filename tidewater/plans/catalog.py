@@ -15,7 +15,7 @@ from tidewater.functions import code as C
 from tidewater.functions import diffs, mutators, recipes
 from tidewater.functions import screens as S
 from tidewater.functions import text as X
-from tidewater.operators import merge, reports, rows, selection
+from tidewater.operators import merge, patterns, reports, rows, selection
 from tidewater.operators.lineage import settle
 from tidewater.sources import clients, files
 
@@ -192,7 +192,13 @@ def split_leak_check(spark, d):
     return selection.split_leaks(docs, "source", "split")
 
 
-@query()
+@query(
+    f"""with recursive d as (select doc_id, {X.duck_fingerprint('text')} as fp, lang, source, row_number() over (order by doc_id) as r from documents),
+    g as (select 0::bigint as r, null::bigint as took, []::varchar[] as fps, []::varchar[] as langs, []::varchar[] as sources union all
+    select d.r, case when ok then doc_id end, case when ok then list_append(fps, fp) else fps end, case when ok then list_append(langs, lang) else langs end, case when ok then list_append(sources, source) else sources end
+    from (select d.*, g.fps, g.langs, g.sources, not list_contains(fps, fp) and len(list_filter(langs, lambda x: x is not distinct from lang)) < 150 and len(list_filter(sources, lambda x: x is not distinct from source)) < 40 as ok from g join d on d.r = g.r + 1) as d)
+    select took as doc_id from g where took is not null"""
+)
 def greedy_diversify(spark, d):
     docs = _docs(spark, d).select("doc_id", X.fingerprint(F.col("text")).alias("fp"), "lang", "source")
     return selection.greedy_caps(docs, "doc_id", "fp", "lang", "source", ["doc_id"], 150, 40)
@@ -315,7 +321,29 @@ _ERRORS = [(1, "the", "no member named"), (2, "der", "undeclared identifier"), (
 )
 def error_templates(spark, d):
     table = spark.createDataFrame(_ERRORS, "place int, word string, message string").withColumnRenamed("place", "nr")
-    return merge.theta_contains(_docs(spark, d).select("doc_id", "text"), "text", table, "word", "nr").select("doc_id", "message", "place")
+    return patterns.theta_contains(_docs(spark, d).select("doc_id", "text"), "text", table, "word", "nr").select("doc_id", "message", "place")
+
+
+@query(
+    """with k as (select distinct unnest(string_split(text, ' ')) as word from conversations), m as (select doc_id, word, strpos(text, word) - 1 as first from documents join k on length(word) >= 6 and contains(text, word))
+    select doc_id, count(*)::bigint as n_words, sum(first)::bigint as firsts, md5(string_agg(word, ' ' order by word)) as words_md5 from m group by 1"""
+)
+def words_in_texts(spark, d):
+    """Which words of the conversations each document has as a part of its text, all of both tables."""
+    words = _t(spark, d, "conversations").select(F.explode(F.split("text", " ")).alias("word")).where(F.length("word") >= 6)
+    met = patterns.hits(_docs(spark, d).select("doc_id", "text"), ["doc_id"], "text", words, "word")
+    return met.groupBy("doc_id").agg(F.count("*").alias("n_words"), F.sum("first").alias("firsts"), F.md5(F.array_join(F.sort_array(F.collect_list("word")), " ")).alias("words_md5"))
+
+
+@query(
+    f"""with s as (select doc_id, text, lower(lang || '_' || source || '_' || array_to_string(string_split(text, ' ')[:4], '_')) as slug from documents),
+    t as (select doc_id, lower(text) as text, list_distinct(list_filter(regexp_extract_all(slug, '[a-z][a-z0-9]*'), lambda w: length(w) >= 3 and w not in ({', '.join(f"'{w}'" for w in C.TOPIC_STOP)}))) as tokens from s)
+    select doc_id, len(tokens)::integer as n_tokens, len(list_filter(tokens, lambda w: contains(text, w)))::integer as n_hits from t"""
+)
+def topic_screen(spark, d):
+    """How many words of a slug of each document its text has; off topic without any."""
+    slug = F.concat_ws("_", "lang", "source", F.array_join(F.slice(F.split("text", " "), 1, 4), "_"))
+    return _docs(spark, d).select("doc_id", F.size(C.topic_tokens(slug)).alias("n_tokens"), C.topic_hits(F.col("text"), slug).alias("n_hits"))
 
 
 # ---- aggregates
