@@ -68,15 +68,14 @@ def _key(text):
 
 
 def totals(found: DataFrame, buckets: int) -> np.ndarray:
-    """How often the rows hold each bucket, copies included; each task sums its texts."""
+    """How often the rows hold each bucket, copies included; each task sums its texts and gives a row for each bucket."""
 
     def run(batches):
         sums = np.zeros(buckets, np.int64)
         for batch in batches:
             for copies, own, times in zip(*(c.to_pylist() for c in batch.columns)):
                 sums[np.frombuffer(own, "<u4")] += copies * np.frombuffer(times, "<u4").astype(np.int64)
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), pa.array(sums)], ["bucket", "n"])
 
     out = np.zeros(buckets, np.int64)
     for row in found.select("copies", "buckets", "counts").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # `buckets` rows at most
