@@ -305,6 +305,20 @@ def feedback_rounds(spark, d):
     return log.groupBy("p_partkey").agg(F.max("attempt").cast("int").alias("attempts"), F.max("accepted").alias("accepted"))
 
 
+@query(
+    """with a as (select p_partkey, p_size, unnest(range(1, 6)) as attempt from part), f as (select p_partkey, min(attempt) as won from a where (p_partkey + attempt) % 3 <> 0 and p_size <= 15 * attempt group by 1),
+    s as (select a.p_partkey, a.attempt, won from a left join f using (p_partkey) where (a.p_partkey + attempt) % 3 <> 0 and attempt <= coalesce(won, 5))
+    select p_partkey, count(*)::bigint as answers, max(won)::integer as accepted_at from s group by 1"""
+)
+def unanswered_rounds(spark, d):
+    """A loop against a generator that leaves a third of the requests unanswered; those are asked again."""
+    jobs = _t(spark, d, "part").select("p_partkey", "p_size")
+    ask = lambda asked: asked.where((F.col("p_partkey") + F.col("attempt")) % 3 != 0)
+    judge = lambda a: (a["p_size"] <= 15 * a["attempt"], F.concat(F.lit("too large: "), a["p_size"].cast("string")))
+    _, log = services.rounds(jobs, ["p_partkey"], ask, judge, 5)
+    return log.groupBy("p_partkey").agg(F.count("*").alias("answers"), F.max(F.when(F.col("accepted"), F.col("attempt"))).cast("int").alias("accepted_at"))
+
+
 @query("select count(*)::bigint as n, count(*) filter (lang = 'en')::bigint as n_1, count(*) filter (n_chars > 1000)::bigint as n_2 from documents")
 def row_counts(spark, d):
     return reports.n_rows(_docs(spark, d), F.col("lang") == "en", "n_chars > 1000")
@@ -364,14 +378,28 @@ def _stream(spark, d) -> DataFrame:
     return spark.readStream.schema(_t(spark, d, "events").schema).parquet(f"{d}/event[s].parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _drained(spark, stream: DataFrame) -> DataFrame:
-    """What a stream over all there is now gives, written below the shared folder."""
+def _stream_rows(spark, d) -> DataFrame:
+    """The events as they are in a stream."""
+    return _t(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _stream_folder(spark) -> str:
+    """A folder for a stream's output and state below the shared one; it goes when the driver ends."""
+    import atexit
     import uuid
 
-    from tidewater.operators.lineage import shared_dir
-    from tidewater.streaming import logs
+    from tidewater.operators.lineage import _remove, shared_dir
 
     at = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, at)
+    return at
+
+
+def _drained(spark, stream: DataFrame) -> DataFrame:
+    """What a stream over all there is now gives."""
+    from tidewater.streaming import logs
+
+    at = _stream_folder(spark)
     logs.drain(stream, f"{at}/out", f"{at}/state").awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{at}/out").withColumn("start", F.col("start").cast("timestamp_ntz"))
 
@@ -390,3 +418,44 @@ def first_events(spark, d):
     from tidewater.streaming import logs
 
     return _drained(spark, logs.first_so_far(_stream(spark, d).select("ts", "user_id", "event_id"), ["user_id"], "event_id", "ts"))
+
+
+@query(
+    """with recursive w as (select epoch_ms(max(ts)) - 3600000 as until from events),
+    e as (select user_id, event_id % 3 as variant, epoch_ms(ts) as ms, event_id, event_type, value from events, w where epoch_ms(ts) <= until),
+    o as (select *, row_number() over (partition by user_id, variant order by ms, event_id) as r from e union all select user_id, variant, until, null, null, null, count(*) + 1 from e, w group by user_id, variant, until),
+    j as (select user_id, variant, r, 1 as attempt, ms as asked, 0::double as spent, '' as feedback, 'asked' as state, 1 as asks from o where r = 1 union all
+    select user_id, variant, r, case state when 'lapsed' then 4 when 'asked' then now + 1 else now end, ms, case when state in ('lapsed', 'open') then spent else paid end, case when state in ('lapsed', 'open', 'accepted') then feedback else 'not ' || event_type end,
+    case state when 'lapsed' then 'failed' else state end, asks + case state when 'lapsed' then 4 - attempt when 'asked' then now - attempt + 1 else now - attempt end
+    from (select *, case when now > 4 then 'lapsed' when event_type is null then 'open' when event_type = 'purchase' then 'accepted' when paid >= 150 then 'budget' when now = 4 then 'failed' else 'asked' end as state
+    from (select j.user_id, j.variant, o.r, o.ms, o.event_type, j.attempt, j.spent, j.feedback, j.asks, j.spent + o.value as paid, (j.attempt + (o.ms - j.asked) // 129600000)::integer as now from j join o on j.user_id = o.user_id and j.variant = o.variant and o.r = j.r + 1 where j.state = 'asked') as x) as y)
+    select user_id, variant, max(asks)::bigint as asks, arg_max(state, r) as state, arg_max(attempt, r)::integer as attempts, round(max(spent), 2) as spent, arg_max(feedback, r) as feedback from j group by 1, 2"""
+)
+def answer_loops(spark, d):
+    """Loops of four attempts over the events as answers: a purchase is accepted, a day and a half without an answer is asked again, 150 is all that answers may cost."""
+    from tidewater.streaming import loops
+
+    records = _stream(spark, d).select("user_id", (F.col("event_id") % 3).alias("variant"), F.col("ts").alias("at"), F.col("event_id").alias("id"), (F.col("event_type") == "purchase").alias("ok"), F.concat(F.lit("not "), "event_type").alias("told"), F.col("value").alias("cost"))
+    stream, at = loops.loop(records, ["user_id", "variant"], loops.Limits(4, 129_600_000, 150.0), "1 hour"), _stream_folder(spark)
+    loops.run(stream, f"{at}/out", f"{at}/state").awaitTermination()
+    found = spark.read.schema(stream.schema).parquet(f"{at}/out")
+    last = F.max_by(F.struct("attempt", "spent", "feedback"), F.struct("attempt", F.col("what") != "asked"))
+    found = found.groupBy("user_id", "variant").agg(F.count_if(F.col("what") == "asked").alias("asks"), F.coalesce(F.max(F.when(F.col("what") != "asked", F.col("what"))), F.lit("open")).alias("state"), last.alias("x"))
+    return found.select("user_id", "variant", "asks", "state", F.col("x.attempt").alias("attempts"), F.round("x.spent", 2).alias("spent"), F.col("x.feedback").alias("feedback"))
+
+
+@query("select event_type, case when event_type in ('view', 'click') then 'stream' else 'batch' end as writer, count(*)::bigint as n, sum(event_id)::bigint as ids from events where event_type is not null group by 1, 2")
+def appended_once(spark, d):
+    """Events appended by a stream and by batches of which each comes twice, as committed."""
+    from tidewater.streaming import appends
+
+    at = _stream_folder(spark)
+    one = F.col("event_type").isin("view", "click")
+    for _ in range(2):  # the second finds nothing new
+        appends.append_stream(_stream(spark, d).where(one), f"{at}/table", "stream", f"{at}/state").awaitTermination()
+    rest = _stream_rows(spark, d).where(~one)
+    for batch in (0, 1, 1, 0):
+        appends.append(rest.where(F.col("event_id") % 2 == batch), f"{at}/table", "batch", batch)
+    found = appends.committed(spark, f"{at}/table", rest.schema)
+    writers = spark.createDataFrame([(c.number, c.writer) for c in appends.commits(spark, f"{at}/table")], "commit long, writer string")
+    return found.join(F.broadcast(writers), "commit").groupBy("event_type", "writer").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))

@@ -129,10 +129,12 @@ def compile_with(command: Callable[[dict, str], list[str]], timeout: float = 60.
 def rounds(jobs: DataFrame, keys: list[str], ask: Callable[[DataFrame], DataFrame], judge: Callable[[DataFrame], tuple[Column, Column]], most_rounds: int, budget: float | None = None, cost: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted, attempts) of a loop with feedback.
 
-    ask: answers for the open jobs, which have `feedback` (empty at first) and `attempt`, one
-    for each key; judge: whether an answer is accepted, and what to tell the next round.
-    budget: no further round once the attempts so far cost as much. Jobs without an answer stay
-    open; attempts are never lost, as each round is written before the next one asks.
+    ask: answers for the open jobs, which have `feedback` (empty at first) and `attempt`; judge:
+    whether an answer is accepted, and what to tell the next round. A job is open until one of
+    its answers is accepted: one that got none is asked again with the feedback it had, one that
+    got several is told that of any. budget: no further round once the attempts so far cost as
+    much. Keys may be null. Attempts are never lost, as each round is written before the next one
+    asks. (For answers that come as a stream, see streaming.loops.)
     """
     open_ = jobs.withColumn("feedback", F.lit(""))
     log, spent = None, 0.0
@@ -144,8 +146,11 @@ def rounds(jobs: DataFrame, keys: list[str], ask: Callable[[DataFrame], DataFram
         log = done if log is None else log.unionByName(done)
         if cost is not None:
             spent += done.agg(F.sum(cost)).first()[0] or 0.0
-        again = done.where("not accepted").select(*keys, F.col("told").alias("feedback"))
-        open_ = jobs.join(again, keys)
-        if (budget is not None and spent >= budget) or again.isEmpty():
+        if budget is not None and spent >= budget:
+            break
+        heard = done.groupBy(*[F.col(k).alias(f"__of_{k}") for k in keys]).agg(F.max("accepted").alias("__ok"), F.max("told").alias("__told"))
+        met = open_.join(heard, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys], "left").where(~F.coalesce("__ok", F.lit(False)))
+        open_ = written(met.withColumn("feedback", F.coalesce("__told", "feedback")).select(*jobs.columns, "feedback"))
+        if open_.isEmpty():
             break
     return log.where("accepted"), log
