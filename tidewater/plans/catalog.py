@@ -193,7 +193,7 @@ def split_leak_check(spark, d):
 
 
 @query(
-    f"""with recursive d as (select doc_id, {X.duck_fingerprint('text')} as fp, lang, source, row_number() over (order by doc_id) as r from documents),
+    f"""with recursive d as materialized (select doc_id, {X.duck_fingerprint('text')} as fp, lang, source, row_number() over (order by doc_id) as r from documents),
     g as (select 0::bigint as r, null::bigint as took, []::varchar[] as fps, []::varchar[] as langs, []::varchar[] as sources union all
     select d.r, case when ok then doc_id end, case when ok then list_append(fps, fp) else fps end, case when ok then list_append(langs, lang) else langs end, case when ok then list_append(sources, source) else sources end
     from (select d.*, g.fps, g.langs, g.sources, not list_contains(fps, fp) and len(list_filter(langs, lambda x: x is not distinct from lang)) < 150 and len(list_filter(sources, lambda x: x is not distinct from source)) < 40 as ok from g join d on d.r = g.r + 1) as d)
