@@ -57,10 +57,10 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def durable(df: DataFrame, what: str) -> DataFrame:
-    """df written once to the shared folder and read again: cuts the lineage and survives lost executors."""
+def durable(df: DataFrame, what: str, path: str | None = None) -> DataFrame:
+    """df written once to the shared folder and read again: cuts the lineage and survives lost executors. path: where, if it is to be removed before the driver ends."""
     spark = df.sparkSession
-    path = fresh_path(spark, what)
+    path = path or fresh_path(spark, what)
     with small_batches(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
