@@ -11,7 +11,7 @@ lines beyond it must surge themselves. Unwanted lines keep text from beginning,
 skipped within running text, so they do not end it.
 
 Edge cases: null, empty and text-less pages give ''; unclosed and crossing elements end with
-what encloses them; very long pages are read in one forward pass; repeated rows each get a
+what encloses them; very long pages are read in one forward pass, whatever they leave open; repeated rows each get a
 row; an empty table gives no rows; only page_id, url and html are read.
 """
 
@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 
 from tidewater.llm.common import table
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
+_OPEN = re.compile(r"<(?:!|\?|(/?)([a-zA-Z][^\s/>]*))")
+_STOP = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|\Z)""", re.I)
 
 # Elements and names of HTML.
@@ -36,18 +37,32 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul option".split())
 _NEVER = frozenset("nav footer aside form head select button dialog menu object applet canvas audio video datalist search".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|adbox|banner|sponsor(?:ed)?|promo(?:tion)?|nav|navbar|navigation|menu|topbar|breadcrumbs?"
-    r"|sidebar|rail|footer|masthead|cookies?|cookiebar|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|paywall"
-    r"|share|sharing|social|related|recommended|widget|comments?|commentlist|comment-list|disqus|repl(?:y|ies)|respond|discussion|search|toolbar|pagination|pager|skip)(?:$|[\s_-])"
+_NAMES = frozenset(
+    """ad ads advert adverts advertisement advertising adsense adbox banner sponsor sponsored promo promotion nav navbar navigation menu topbar breadcrumb breadcrumbs
+    sidebar rail footer masthead cookie cookies cookiebar consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login paywall
+    share sharing social related recommended widget comment comments commentlist disqus reply replies respond discussion search toolbar pagination pager skip""".split()
 )
-_HEADERS = re.compile(r"(?:^|[\s_-])(?:header|topbar|site-title)(?:$|[\s_-])")
+_HEADERS = frozenset(["header", "topbar", "site-title"])
+#: Words that say nothing of their own in a name: in an article, a name is unwanted only if all its parts are of these or the above.
+_PLAIN = frozenset("area article articles bar block body box button buttons center container content form group holder icons inline inner item items left link links list main message page panel post posts right row section site slot small stories story text thread unit wrap wrapper".split())
 _UNLESS = re.compile(r"(?:no|has|with|without)[_-]\w+")
 _IMPLIED = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 _ENDS_P = _BLOCK - {"body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "legend"}
 
 
+def _named(value: str, in_article: bool) -> bool:
+    """Whether a class or id names a part that is no article: by any part of a name, or inside an article by whole names."""
+    for token in _UNLESS.sub("", value).split():
+        parts = [x for x in re.split(r"[_-]+", token) if x]
+        if in_article:
+            if token in _NAMES or any(x in _NAMES for x in parts) and all(x in _NAMES or x in _PLAIN or x.isdigit() for x in parts):
+                return True
+        elif token in _HEADERS or any(x in _NAMES or x in _HEADERS for x in parts):
+            return True
+    return False
+
+
 def _unwanted(name: str, attributes: str, in_article: bool) -> bool:
     if name in _NEVER or name == "header" and not in_article:
         return True
@@ -58,21 +73,64 @@ def _unwanted(name: str, attributes: str, in_article: bool) -> bool:
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", ""):
             return True
         if name in ("html", "body", "main", "article") and key != "role":
-            comment = name == "article" and re.search(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies))(?:$|[\s_-])", value)
-            if comment:
+            if name == "article" and re.search(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies))(?:$|[\s_-])", value):
                 return True
             continue
         if key == "role" and value in _ROLES:
             return True
-        if key in ("class", "id") and (_NAMES.search(said := _UNLESS.sub("", value)) or not in_article and _HEADERS.search(said)):
+        if key in ("class", "id") and _named(value, in_article):
             return True
     return False
 
 
+class _Page:
+    """A page whose tags are found in one pass: what was looked for in vain is not looked for again."""
+
+    def __init__(self, page: str):
+        self.page, self.gone = page, set()
+
+    def find(self, what: str, at: int) -> int:
+        """Where `what` comes next from a place on, or -1; where it is -1, it stays so, as places only grow."""
+        if what in self.gone:
+            return -1
+        if (found := self.page.find(what, at)) < 0:
+            self.gone.add(what)
+        return found
+
+    def end_of(self, at: int) -> int:
+        """Where a tag ends whose attributes begin at a place, if a `>` follows: after the next one outside quotes; a quote that is not closed is none."""
+        while m := _STOP.search(self.page, at):
+            at = m.end()
+            if m[0] == ">":
+                return at
+            at = max(at, self.find(m[0], at) + 1)
+        return self.page.rfind(">") + 1  # all are in quotes
+
+    def tag(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, slash, name, attributes) of the next tag from a place on; a comment or a declaration has no name, a marked section the name `[` and its text as attributes."""
+        page = self.page
+        if not (m := _OPEN.search(page, at)):
+            return None
+        start = m.start()
+        if page.startswith("<!--", start) or self.find(">", start) < 0:
+            if (start := self.find("<!--", start)) < 0:
+                return None
+            end = self.find("-->", start + 4)
+            return start, end + 3 if end >= 0 else len(page), "", "", ""
+        if m[2]:
+            end = self.end_of(m.end())
+            return start, end, m[1], m[2].lower(), page[m.end() : end - 1]
+        if page.startswith("<![CDATA[", start) and (end := self.find("]]>", start)) >= 0:
+            return start, end + 3, "", "[", page[start + 9 : end]
+        return start, self.find(">", start) + 1, "", "", ""
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, characters outside links, inside an article) of each line; unwanted lines are ('', 0, False)."""
     out: list[tuple[str, int, bool]] = []
     stack: list[tuple[str, bool, bool, bool]] = []  # element, unwanted, inside an article, inside a link
+    where: dict[str, list[int]] = {}  # the places of each element in the stack
+    menus: set[int] = set()  # those of unwanted menus and headers
     text: list[str] = []
     linked: list[str] = []
     state = (False, False, False)
@@ -97,36 +155,37 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         nonlocal state
         if any(x[0] in _BLOCK for x in stack[at:]):
             end_line()
+        for i in range(len(stack) - 1, at - 1, -1):
+            where[stack[i][0]].pop()
+            menus.discard(i)
         del stack[at:]
         state = stack[-1][1:] if stack else (False, False, False)
 
     def close(names: set[str], scope: set[str]) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                return pop(i)
-            if stack[i][0] in scope:
-                return None
-        return None
-
-    at = 0
-    while m := _TAG.search(page, at):
-        if m.start() > at:
-            say(page[at : m.start()])
-        at = m.end()
-        if not m[2]:
-            if m[0].startswith("<![CDATA["):
-                say(html.escape(m[0][9:-3], False))
+        last = lambda of: max((where[x][-1] for x in of if where.get(x)), default=-1)
+        if (i := last(names)) > last(scope):
+            pop(i)
+
+    at, tags = 0, _Page(page)
+    while found := tags.tag(at):
+        start, end, slash, name, attributes = found
+        if start > at:
+            say(page[at:start])
+        at = end
+        if not name:
+            continue
+        if name == "[":
+            say(html.escape(attributes, False))
             continue
-        name = m[2].lower()
-        if m[1]:
-            if name in ("br", "p") and not any(x[0] == name for x in stack):
+        if slash:
+            if name in ("br", "p") and not where.get(name):
                 say(" ")
             else:
                 close({name}, {"table"} if name not in ("table", "body", "html", "article", "main", "div", "section") else set())
             continue
         if name in _RAW:
-            shut = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = shut.end() if shut else len(page)
+            shut = re.compile(rf"</{name}\b", re.I).search(page, at)
+            at = (tags.find(">", shut.end()) + 1 if shut else 0) or len(page)
             say(" ")
             continue
         if name in _VOID:
@@ -139,9 +198,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if name in _BLOCK:
             end_line()
         unwanted, article, link = state
-        if name in ("article", "main") and unwanted and any(x[1] and x[0] in ("nav", "header") for x in stack):
+        if name in ("article", "main") and unwanted and menus:
             unwanted = False  # an unclosed menu or header before it
-        unwanted = unwanted or _unwanted(name, m[3], article)
+        unwanted = unwanted or _unwanted(name, attributes, article)
+        if unwanted and name in ("nav", "header"):
+            menus.add(len(stack))
+        where.setdefault(name, []).append(len(stack))
         state = (unwanted, article or (name in ("article", "main") and not unwanted), link or name == "a")
         stack.append((name, *state))
     if at < len(page):
