@@ -3,17 +3,18 @@
 A rolling hash over the last `_SPAN` ids cuts each document's id stream into chunks, so equal
 passages give equal chunks wherever they stand. A chunk is stored once, under the digest of
 its ids. A document's recipe lists its chunks' digests; documents lie in ascending doc_id
-order in range-partitioned parts. A part's manifest holds the Merkle root of its documents,
-whose leaves are the Merkle roots of their chunks; the head holds the root over the parts.
+order in range-partitioned parts. A document's root is that over its fields (doc_id, start,
+n_tokens, sizes) and its chunks, a part's root that over its documents and its totals, the
+head's that over the parts: so nothing that is returned can change without a root's.
 
 Files below one path: chunks/ (digest, n, ids), recipes/kind=doc (part, place, doc_id, start,
 n_tokens, digests, root) and kind=part (part, n_docs, n_tokens, root), head/. Ids are
 little-endian, 2 bytes wide if the vocabulary has at most 65,536 entries, else 4.
 
 Edge cases: a null or empty text is the end id alone; null doc_ids come first and equal
-doc_ids in the order of their roots, so repeated rows each get their place; an empty table
+doc_ids by their n_tokens and digests, so repeated rows each get their place; an empty table
 gives a store of no documents; only doc_id and text are read. A chunk or root that does not
-match its digest raises ValueError when it is read.
+match what it stands for raises an error when it is read.
 """
 
 from __future__ import annotations
@@ -77,6 +78,14 @@ def merkle(leaves: list[bytes]) -> bytes:
     return digest_of(b"\x02" + level[0])
 
 
+def recipe_root(doc_id: object, start: int, n_tokens: int, sizes: list[int], digests: list[bytes]) -> bytes:
+    return merkle([digest_of(f"{doc_id} {start} {n_tokens} {sizes}".encode()), *digests])
+
+
+def part_root(docs: bytes, n_docs: int, n_tokens: int) -> bytes:
+    return digest_of(b"\x03" + docs + f"{n_docs} {n_tokens}".encode())
+
+
 class RunningMerkle:
     """The root of leaves that come one by one, in memory of the tree's height."""
 
@@ -169,15 +178,15 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
         for batch in batches:
             n, ids = batch.num_rows, batch.column(0)
             counts = batch.column(1).to_numpy()
-            roots = [merkle(x) for x in batch.column(3).to_pylist()]
+            starts = start + np.cumsum(counts) - counts
+            roots = list(map(recipe_root, ids.to_pylist(), starts.tolist(), counts.tolist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()))
             for r in roots:
                 tree.add(r)
-            starts = start + np.cumsum(counts) - counts
             yield pa.RecordBatch.from_arrays([pa.array(["doc"] * n), pa.array(np.full(n, part, np.int32)), pa.array(np.arange(place, place + n)), ids, pa.array(starts), batch.column(1), batch.column(2), batch.column(3), pa.array(roots, pa.binary())], names)
             place, start = place + n, start + int(counts.sum())
         if ids is not None:
             none = lambda kind: pa.nulls(1, kind)
-            yield pa.RecordBatch.from_arrays([pa.array(["part"]), pa.array([part], pa.int32()), pa.array([place]), none(ids.type), none(pa.int64()), pa.array([start]), none(pa.list_(pa.int32())), none(pa.list_(pa.binary())), pa.array([tree.root()], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.array(["part"]), pa.array([part], pa.int32()), pa.array([place]), none(ids.type), none(pa.int64()), pa.array([start]), none(pa.list_(pa.int32())), none(pa.list_(pa.binary())), pa.array([part_root(tree.root(), place, start)], pa.binary())], names)
 
     kind = T.StructType([*T._parse_datatype_string("kind string, part int, place long").fields, docs.schema["doc_id"], *T._parse_datatype_string("start long, n_tokens long, sizes array<int>, digests array<binary>, root binary").fields])
     slim = staged.select("doc_id", "n_tokens", "sizes", "digests")
@@ -225,14 +234,23 @@ def _checked_chunks(spark: SparkSession, path: str, with_ids: bool = False) -> D
     return chunks.select("digest", "n", "ids").mapInArrow(run, "digest binary, n int, crc long" + (", ids binary" if with_ids else ""))
 
 
+#: What a recipe's root is made of.
+_FIELDS = ("doc_id", "start", "n_tokens", "sizes", "digests")
+
+
+def _refuse_changed(batch: pa.RecordBatch) -> None:
+    """ValueError if the root of a recipe is not that of its fields and digests."""
+    for part, place, root, *fields in zip(*(batch.column(c).to_pylist() for c in ("part", "place", "root", *_FIELDS))):
+        if recipe_root(*fields) != root or sum(fields[3]) != fields[2]:
+            raise ValueError(f"recipe {place} of part {part} does not match its root")
+
+
 def _checked_recipes(recipes: DataFrame) -> DataFrame:
-    """recipes, after the root of each was computed anew from its digests."""
+    """recipes, after the root of each was computed anew."""
 
     def run(batches):
         for batch in batches:
-            for part, place, digests, root in zip(*(batch.column(c).to_pylist() for c in ("part", "place", "digests", "root"))):
-                if merkle(digests) != root:
-                    raise ValueError(f"recipe {place} of part {part} does not match its root")
+            _refuse_changed(batch)
             yield batch
 
     return recipes.mapInArrow(run, recipes.schema)
@@ -275,15 +293,13 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     def spread(batches):
         names = ["part", "place", "digest", "n", "after"]
         for batch in batches:
-            part, place, digests, sizes = (batch.column(i).to_pylist() for i in range(4))
+            _refuse_changed(batch)
             rows = [[], [], [], [], []]
-            for i, root in enumerate(batch.column(4).to_pylist()):
-                if merkle(digests[i]) != root:
-                    raise ValueError(f"recipe {place[i]} of part {part[i]} does not match its root")
-                after = sum(sizes[i])
-                for d, n in zip(digests[i], sizes[i]):
+            for part, place, sizes, digests in zip(*(batch.column(c).to_pylist() for c in ("part", "place", "sizes", "digests"))):
+                after = sum(sizes)
+                for d, n in zip(digests, sizes):
                     after -= n
-                    for column, value in zip(rows, (part[i], place[i], d, n, after)):
+                    for column, value in zip(rows, (part, place, d, n, after)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, (pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64()))], names)
 
@@ -294,7 +310,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         return pd.Series(crc_shift(crc.to_numpy(), 4 * after.to_numpy()).astype(np.int64))
 
     recipes = _recipes(spark, path, "doc").select("part", "place", "doc_id", "start", "n_tokens", "sizes", "digests", "root")
-    uses = recipes.select("part", "place", "digests", "sizes", "root").mapInArrow(spread, "part int, place long, digest binary, n int, after long")
+    uses = recipes.mapInArrow(spread, "part int, place long, digest binary, n int, after long")
     found = uses.join(_checked_chunks(spark, path).withColumnRenamed("n", "stored"), "digest", "left")
     whole = F.when((F.col("stored") != F.col("n")) | F.col("crc").isNull(), F.raise_error(F.lit("a chunk is missing or has another length"))).otherwise(shifted(F.coalesce("crc", F.lit(0)), "after"))
     sums = found.select("part", "place", "n", whole.cast("long").alias("x")).groupBy("part", "place").agg(F.bit_xor("x").alias("ids_crc32"), F.sum("n").alias("stored"))
@@ -303,19 +319,22 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def verify(spark: SparkSession, path: str) -> bool:
-    """Whether each part's root, and the head's, follow from the documents' roots."""
+    """Whether each part's root and totals, and the head's root, follow from the documents' roots."""
 
     def run(batches):
-        tree, part = {}, None
+        tree = {}
         for batch in batches:
-            for part, root in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tree.setdefault(part, RunningMerkle()).add(root)
-        yield pa.RecordBatch.from_arrays([pa.array(list(tree), pa.int32()), pa.array([t.root() for t in tree.values()], pa.binary())], ["part", "again"])
-
-    docs = _recipes(spark, path, "doc").select("part", "root", "place").repartition("part").sortWithinPartitions("part", "place")
-    again = docs.select("part", "root").mapInArrow(run, "part int, again binary")
+            for part, root, n in zip(*(c.to_pylist() for c in batch.columns)):
+                own = tree.setdefault(part, [RunningMerkle(), 0, 0])
+                own[0].add(root)
+                own[1], own[2] = own[1] + 1, own[2] + n
+        columns = [list(tree), [part_root(t.root(), n, total) for t, n, total in tree.values()], [n for _, n, _ in tree.values()], [total for _, _, total in tree.values()]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.binary(), pa.int64(), pa.int64()))], ["part", "again", "docs", "tokens"])
+
+    docs = _recipes(spark, path, "doc").select("part", "root", "n_tokens", "place").repartition("part").sortWithinPartitions("part", "place")
+    again = docs.select("part", "root", "n_tokens").mapInArrow(run, "part int, again binary, docs long, tokens long")
     parts = _parts(spark, path)
-    bad = parts.join(again, "part", "left").where("not root <=> again").count()
+    bad = parts.join(again, "part", "left").where("not (root <=> again and n_docs <=> docs and n_tokens <=> tokens)").count()
     head = merkle([bytes(r["root"]) for r in parts.orderBy("part").select("root").collect()]).hex()
     return bad == 0 and spark.read.parquet(f"{path}/head").first()["root"] == head
 
@@ -324,7 +343,7 @@ def reconstruct(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, ids (array of int) of each document, its chunks joined in order; all roots and digests are checked."""
     _check_roots(spark, path)
     recipes = _recipes(spark, path, "doc")
-    uses = _checked_recipes(recipes.select("part", "place", "digests", "root")).select("part", "place", F.posexplode("digests").alias("at", "digest"))
+    uses = _checked_recipes(recipes.select("part", "place", "root", *_FIELDS)).select("part", "place", F.posexplode("digests").alias("at", "digest"))
     chunks = _checked_chunks(spark, path, with_ids=True).select("digest", "n", "ids")
     found = F.when(F.col("ids").isNull(), F.raise_error(F.lit("a chunk is missing"))).otherwise(F.col("ids"))
     met = uses.join(chunks, "digest", "left").groupBy("part", "place").agg(F.sort_array(F.collect_list(F.struct("at", "n", found.cast("binary").alias("ids")))).alias("c"))
