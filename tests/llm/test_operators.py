@@ -188,6 +188,26 @@ def test_token_store_refuses_lost_recipes_and_chunks(spark, docs, tmp_path):
             read(spark, path).collect()
 
 
+def test_token_store_refuses_changed_fields(spark, docs, tmp_path):
+    path = f"file://{tmp_path}/store"
+    token_store.write_store(docs, path)
+    recipes = spark.read.parquet(f"{path}/recipes").cache()
+    recipes.count()
+    first = (F.col("kind") == "doc") & (F.col("place") == 1)
+    part = F.col("kind") == "part"
+    longer = F.concat(F.array(F.get("sizes", F.lit(0)) + 1), F.slice("sizes", 2, 9999))
+    changes = [("doc_id", first, F.lit(1234)), ("start", first, F.col("start") + 5), ("n_tokens", first, F.col("n_tokens") + 1), ("sizes", first, longer), ("digests", first, F.reverse(F.concat("digests", "digests"))), ("n_tokens", part, F.col("n_tokens") + 1), ("place", part, F.col("place") + 1)]
+    for k, (name, where, value) in enumerate(changes):
+        bad = f"{path}-{k}"
+        recipes.withColumn(name, F.when(where, value.cast(recipes.schema[name].dataType)).otherwise(F.col(name))).write.partitionBy("kind").parquet(f"{bad}/recipes")
+        for other in ("chunks", "head"):
+            spark.read.parquet(f"{path}/{other}").coalesce(1).write.parquet(f"{bad}/{other}")
+        for read in (token_store.read_documents, token_store.reconstruct):
+            with pytest.raises(Exception, match="does not match its root|do not match the roots|another length"):
+                read(spark, bad).collect()
+    recipes.unpersist()
+
+
 def test_crc_shift_is_what_following_bytes_do():
     for a, b in ((b"abc", b"defgh"), (b"", b"x"), (b"long" * 50, b"tail" * 999)):
         moved = int(token_store.crc_shift(np.array([zlib.crc32(a)]), np.array([len(b)]))[0])
@@ -467,6 +487,24 @@ def test_html(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in found)
 
 
+def test_html_is_read_once_whatever_is_left_open():
+    import time
+
+    pages = ["<a " * 350_000, '<a x="y <b> ' * 90_000, '<a href="' * 110_000 + ">", "<script>" + "</script " * 110_000, "<div>" * 90_000 + "</b>" * 120_000, "<b><table>" + "<i>" * 150_000 + "</b>" * 120_000]
+    pages += ["<nav>" + "<i>" * 100_000 + "<article>" * 60_000, "<!x " * 250_000, "<![CDATA[" * 100_000 + ">", "<!--" * 200_000, "<p><li>" * 100_000, "<a " + "class='" * 100_000 + ">"]
+    for page in pages:
+        began = time.process_time()
+        html_text.main_text(page)
+        assert time.process_time() - began < 8, page[:20]
+    assert html_text.main_text('<article><p title="a>b">one</p><p title="c>two</p></article>').split("\n")[0] == "one"
+
+
+def test_html_keeps_text_in_parts_of_an_article_that_only_sound_like_others():
+    inner = '<p class="social-history">History of social life.</p><div id="alert-level">At level two.</div><p class="search-and-rescue">They searched.</p>'
+    gone = '<div class="ad-banner">Buy</div><div class="related-articles">More</div><div class="share">S</div><ul id="comments-list"><li>I think</ul><div class="notice">Note</div>'
+    assert html_text.main_text(f"<article><h1>T</h1>{inner}{gone}<p>End.</p></article>").split("\n") == ["T", "History of social life.", "At level two.", "They searched.", "End."]
+
+
 def test_html_detects_text_on_pages_with_articles():
     body = [f"paragraph {i} of the body " + "word " * 30 for i in range(6)]
     said = [" ".join(b.split()) for b in body]
