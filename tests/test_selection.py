@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators import merge, patterns, reports, selection
+from tidewater.operators import merge, patterns, quantiles, reports, selection
 
 
 def rows_of(n=120, seed=3):
@@ -307,7 +307,7 @@ def test_open_retries_and_restricted_filter(spark):
 def test_reports(spark):
     frame = spark.createDataFrame([(i, v) for i, v in enumerate([5, 1, 4, 1, 3, 9, 2, 6, 5, 3])], "id long, v long")
     s = sorted([5, 1, 4, 1, 3, 9, 2, 6, 5, 3])
-    found = {r["quantile"]: r["value"] for r in reports.index_percentiles(frame, "v", ["id"], [0.1, 0.25, 0.5, 1.0]).collect()}
+    found = {r["quantile"]: r["value"] for r in quantiles.index_percentiles(frame, "v", [0.1, 0.25, 0.5, 1.0]).collect()}
     assert found == {0.1: s[1], 0.25: s[2], 0.5: s[5], 1.0: 9}
     top = reports.most_common(frame, "v", 2, "id").collect()
     assert [(r["v"], r["n"]) for r in top] == [(5, 2), (1, 2)]

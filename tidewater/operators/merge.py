@@ -101,22 +101,3 @@ def restricted_without(df: DataFrame, flagged: DataFrame, key: str, only: Column
 def last_event_open(events: DataFrame, keys: list[str], order: list[str], closes: Column) -> DataFrame:
     """Keys whose last event does not close them (a retry set folded in order)."""
     return last_of(events.select(*keys, *[c for c in order if c not in keys], closes.alias("__closed")), keys, order).where(~F.coalesce("__closed", F.lit(False))).select(*keys)
-
-
-def coverage_grid(axes: dict[str, DataFrame], counts: dict[str, DataFrame], limit: int) -> DataFrame:
-    """The product of small axes (one column each), the least covered first.
-
-    counts: (value, n) for each axis. Axes are lookup tables whose product is checked to be
-    at most a million rows before it is built.
-    """
-    size = 1
-    for axis in axes.values():
-        size *= max(1, axis.count())
-    if size > 1_000_000:
-        raise ValueError(f"the grid would have {size} rows")
-    grid = None
-    for name, axis in axes.items():
-        n = counts[name].select(F.col(counts[name].columns[0]).alias(name), F.col("n").alias(f"n_{name}"))
-        axis = axis.join(n, name, "left").fillna({f"n_{name}": 0})
-        grid = axis if grid is None else grid.crossJoin(axis)
-    return grid.orderBy(*[f"n_{a}" for a in axes], *axes).limit(limit)

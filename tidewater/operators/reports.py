@@ -1,12 +1,10 @@
-"""Aggregates: counts, shares, coverage, index percentiles, audits, ledgers."""
+"""Aggregates: counts, shares, coverage, audits, ledgers. For percentiles see quantiles."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.selection import numbered
-
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n"))
@@ -27,16 +25,6 @@ def summaries(df: DataFrame, *keys: str) -> DataFrame:
     return view.select(by.alias("by"), value.alias("value"), "n")
 
 
-def index_percentiles(df: DataFrame, column: str, order: list[str], quantiles: list[float]) -> DataFrame:
-    """(quantile, value): the element at int(n * q) of the sorted values; exact."""
-    d = numbered(df.where(F.col(column).isNotNull()), [column, *order], "__rank")
-    size = df.where(F.col(column).isNotNull()).agg(F.count("*").alias("__n"))
-    d = d.join(F.broadcast(size))  # one row
-    q = F.explode(F.array(*[F.lit(float(x)) for x in quantiles])).alias("quantile")
-    wanted = size.select("__n", q).withColumn("at", F.least(F.floor(F.col("__n") * F.col("quantile")) + 1, F.col("__n"))).drop("__n")
-    return d.join(F.broadcast(wanted), d["__rank"] == wanted["at"]).select("quantile", F.col(column).cast("double").alias("value"))
-
-
 def label_coverage(df: DataFrame, column: str) -> DataFrame:
     """(label, n) over a column of lists."""
     return df.select(F.explode(column).alias("label")).groupBy("label").agg(F.count("*").alias("n"))

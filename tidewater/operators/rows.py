@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import code as C
 from tidewater.functions import diffs
 from tidewater.functions.text import choose, content_hash, fingerprint, hex_mod, or_text, row_key, slug
-from tidewater.operators import merge, patterns, selection
+from tidewater.operators import merge, patterns, product, selection
 from tidewater.operators.lineage import settle
 
 # Shares and caps that results depend on.
@@ -182,7 +182,7 @@ def new_sources(files: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def spec_grid(patterns: DataFrame, types: DataFrame, interfaces: DataFrame, levels: DataFrame, counts: dict[str, DataFrame], limit: int) -> DataFrame:
-    return merge.coverage_grid({"pattern": patterns, "type": types, "interface": interfaces, "complexity": levels}, counts, limit)
+    return product.coverage_grid({"pattern": patterns, "type": types, "interface": interfaces, "complexity": levels}, counts, limit)
 
 
 def render_kernel(specs: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from tidewater.functions import code as C
 from tidewater.functions import diffs, mutators, recipes
 from tidewater.functions import screens as S
 from tidewater.functions import text as X
-from tidewater.operators import merge, patterns, reports, rows, selection
+from tidewater.operators import merge, patterns, product, quantiles, reports, rows, selection
 from tidewater.operators.lineage import settle
 from tidewater.sources import clients, files
 
@@ -309,7 +309,18 @@ def coverage_grid(spark, d):
     p = _t(spark, d, "part")
     count = lambda c: p.where("p_size > 25").groupBy(c).agg(F.count("*").alias("n"))
     axes = {"brand": p.select(F.col("p_brand").alias("brand")).distinct(), "type": p.select(F.col("p_type").alias("type")).distinct()}
-    return merge.coverage_grid(axes, {"brand": count("p_brand"), "type": count("p_type")}, 40)
+    return product.coverage_grid(axes, {"brand": count("p_brand"), "type": count("p_type")}, 40)
+
+
+@query(
+    f"""with l as (select l_partkey as part, l_suppkey as supplier, o_custkey as customer, l_orderkey as "order" from lineitem join orders on l_orderkey = o_orderkey),
+    {", ".join(f'{a} as (select "{a}", count(*)::bigint as n_{a} from l group by 1 order by 2, 1 limit 60)' for a in ("part", "supplier", "customer"))}, o as (select "order", count(*)::bigint as n_order from l group by 1 order by 2, 1 limit 60)
+    select * from part cross join supplier cross join customer cross join o order by n_part, n_supplier, n_customer, n_order, part, supplier, customer, "order" limit 60"""
+)
+def wide_grid(spark, d):
+    """The first rows of a product of all parts, suppliers, customers and orders, the rarest in the lines first."""
+    l = _t(spark, d, "lineitem").join(_t(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supplier"), F.col("o_custkey").alias("customer"), F.col("l_orderkey").alias("order"))  # noqa: E741
+    return product.first_of_product({a: l.groupBy(a).agg(F.count("*").alias(f"n_{a}")) for a in l.columns}, 60)
 
 
 _ERRORS = [(1, "the", "no member named"), (2, "der", "undeclared identifier"), (3, "que", "no matching function"), (4, "reserved", "missing header")]
@@ -378,7 +389,16 @@ def distinct_counts(spark, d):
     select quantile, n_chars::double as value from s, q where r = least(cast(floor(n * quantile) as bigint) + 1, n)"""
 )
 def index_percentiles(spark, d):
-    return reports.index_percentiles(_docs(spark, d).select("doc_id", "n_chars"), "n_chars", ["doc_id"], [0.10, 0.25, 0.5])
+    return quantiles.index_percentiles(_docs(spark, d).select("n_chars"), "n_chars", [0.10, 0.25, 0.5])
+
+
+@query(
+    """with s as (select l_extendedprice::double as v, row_number() over (order by l_extendedprice) as r, count(*) over () as n from lineitem), q(quantile) as (values (0.01::double), (0.5::double), (0.9::double), (0.999::double))
+    select quantile, v as value from s, q where r = least(cast(floor(n * quantile) as bigint) + 1, n)"""
+)
+def price_percentiles(spark, d):
+    """Exact percentiles found by selection in rounds."""
+    return quantiles.index_percentiles(_t(spark, d, "lineitem").select(F.col("l_extendedprice").cast("double").alias("v")), "v", [0.01, 0.5, 0.9, 0.999], few=500)
 
 
 _LABELS = ("License", "reserved", "http", "@", "!!")

@@ -459,3 +459,53 @@ def appended_once(spark, d):
     found = appends.committed(spark, f"{at}/table", rest.schema)
     writers = spark.createDataFrame([(c.number, c.writer) for c in appends.commits(spark, f"{at}/table")], "commit long, writer string")
     return found.join(F.broadcast(writers), "commit").groupBy("event_type", "writer").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query(
+    """with r as (select *, case when n_chars < 500 then 1 else 0 end as short, case when contains(text, 'License') then 1 else 0 end as license, case when lang is null then 1 else 0 end as nolang from documents)
+    select unnest(['rows', 'kept', 'dropped', 'reason_short', 'reason_license', 'reason_other', 'cost']) as name, unnest([count(*), count(*) filter (short + license + nolang = 0), count(*) filter (short + license + nolang > 0), sum(short), sum(license), sum(nolang), sum(n_chars)])::double as value from r"""
+)
+def observed_sink(spark, d):
+    """What a sink of kept and dropped documents counted as it wrote them."""
+    from tidewater.sources import observed
+
+    reason = lambda name, test: F.when(test, F.lit(name))
+    reasons = F.array_compact(F.array(reason("short", F.col("n_chars") < 500), reason("license", F.contains("text", F.lit("License"))), reason("no language", F.col("lang").isNull())))
+    docs = _t(spark, d, "documents")
+    told = observed.kept_and_dropped(docs.withColumn("reasons", reasons), f"{_stream_folder(spark)}/kept", "reasons", ["short", "license"], F.col("n_chars"))
+    return observed.summary_rows(docs, told)
+
+
+def _in_sql(spark, sql: str, **tables: DataFrame) -> DataFrame:
+    """SQL with the table functions over named tables."""
+    from tidewater.functions import tables as functions
+
+    functions.register(spark)
+    return spark.sql(sql, **tables)
+
+
+@query(
+    f"""with v(variant, options) as (values ('fix', ['Fix it', 'Mend it', 'Repair the code']), ('explain', ['Explain it', 'What does it do?']))
+    select doc_id, variant, case variant when 'fix' then options[{X.duck_hex_mod("md5(doc_id::varchar || ':' || variant)", 32, 3)} + 1] else options[{X.duck_hex_mod("md5(doc_id::varchar || ':' || variant)", 32, 2)} + 1] end as instruction from documents, v"""
+)
+def sql_variants(spark, d):
+    return _in_sql(spark, "select doc_id, v.* from {docs}, lateral variants(string(doc_id), map('fix', array('Fix it', 'Mend it', 'Repair the code'), 'explain', array('Explain it', 'What does it do?'))) v", docs=_t(spark, d, "documents").select("doc_id"))
+
+
+@query("select base, doc_id as at, case when r = 1 then base else base || '_' || r end as slug, r::bigint as place from (select doc_id, source as base, row_number() over (partition by source order by doc_id) as r from documents)")
+def sql_numbered_names(spark, d):
+    return _in_sql(spark, "select * from numbered_names(table(select source as base, doc_id as at from {docs}))", docs=_t(spark, d, "documents").select("source", "doc_id"))
+
+
+@query()
+def sql_injected_bugs(spark, d):
+    """Every kind's bug in every part's kernel and graph, by a lateral join."""
+    from tidewater.functions.injection import bug_order
+
+    s = _sources(spark, d).select("p_partkey", "category", "code", bug_order(F.col("code"), F.col("category"), F.col("p_partkey")).alias("kinds"))
+    return _in_sql(spark, "select p_partkey, category, b.* from {s}, lateral injected_bugs(code, category, kinds) b", s=s)
+
+
+@query()
+def sql_taxonomy_pairs(spark, d):
+    return _in_sql(spark, "select slug, label, t.* from {taxonomy}, lateral taxonomy_pairs(slug, label) t", taxonomy=_t(spark, d, "part").select(F.concat(F.lit("bug_"), "p_partkey").alias("slug"), F.col("p_name").alias("label")))
