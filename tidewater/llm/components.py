@@ -1,7 +1,7 @@
 """Connected components by alternating large and small stars.
 
 Every round is two aggregations and two equi-joins; nothing is collected but one row of
-counts. Minima are combined before the shuffle, and the joins are plain sort-merge joins, so
+counts, by which the next round's edges are written to no more files than they need. Minima are combined before the shuffle, and the joins are plain sort-merge joins, so
 adaptive execution can split the node of a hot star.
 """
 
@@ -38,5 +38,5 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         if mark["n"] == 0 or said == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(now.select(F.col("v"), F.col("v")).distinct())
         said = mark
-        now = cut(_small_star(_large_star(now)))
+        now = cut(_small_star(_large_star(now)).coalesce(8 + mark["n"] // 250_000))  # edges become no more
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
