@@ -509,3 +509,32 @@ def sql_injected_bugs(spark, d):
 @query()
 def sql_taxonomy_pairs(spark, d):
     return _in_sql(spark, "select slug, label, t.* from {taxonomy}, lateral taxonomy_pairs(slug, label) t", taxonomy=_t(spark, d, "part").select(F.concat(F.lit("bug_"), "p_partkey").alias("slug"), F.col("p_name").alias("label")))
+
+
+@query("select 'org/' || source as repo, count(*)::bigint as n, sum(length(text))::bigint as chars, min(doc_id) as first from documents where source in ('src0', 'src3', 'src5') and doc_id % 3 = 1 and octet_length(encode(text)) <= 20000 group by 1")
+def cached_sources(spark, d):
+    """Documents as files of repositories in a cache, read by repository and suffix."""
+    from tidewater.sources import readers
+
+    readers.register(spark)
+    at = f"{_stream_folder(spark)}/cache"
+    docs = _t(spark, d, "documents").where("source is not null")
+    suffix = F.element_at(F.array(F.lit(".py"), F.lit(".cc"), F.lit(".md")), (F.col("doc_id") % 3 + 1).cast("int"))
+    readers.write_cache(docs.select(F.concat(F.lit("org/"), "source").alias("repo"), F.lit("main").alias("branch"), F.concat(F.lit("src/"), "doc_id", suffix).alias("path"), F.col("text").alias("code")), at)
+    found = spark.read.format("repository_cache").option("most_bytes", 20_000).load(at).where(F.col("repo").isin("org/src0", "org/src3", "org/src5") & F.endswith("path", F.lit(".cc")))
+    return found.groupBy("repo").agg(F.count("*").alias("n"), F.sum(F.length("code")).alias("chars"), F.min(F.regexp_extract("path", r"(\d+)", 1).cast("long")).alias("first"))
+
+
+@query("select event_type, count(*)::bigint as n, sum(event_id)::bigint as ids from events where event_type is not null group by 1")
+def logged_lines(spark, d):
+    """Events as lines of logs that grow between two runs of a stream: every line comes once."""
+    from tidewater.sources import readers
+
+    readers.register(spark)
+    at = _stream_folder(spark)
+    lines = _t(spark, d, "events").where("event_type is not null").select(F.to_json(F.struct("event_id", "event_type")).alias("value"), (F.col("event_id") % 2).alias("turn"))
+    out = spark.readStream.format("line_log").option("range_bytes", 1 << 20).load(f"{at}/log").select(F.from_json("line", "event_id long, event_type string").alias("e")).select("e.*")
+    for turn in (0, 1):
+        lines.where(F.col("turn") == turn).select("value").write.mode("append").text(f"{at}/log")
+        out.writeStream.format("parquet").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start(f"{at}/out").awaitTermination()
+    return spark.read.schema("event_id long, event_type string").parquet(f"{at}/out").groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
