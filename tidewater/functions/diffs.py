@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,3 +102,33 @@ def fix_is_proven(buggy: pd.Series, fixed: pd.Series, answer: pd.Series) -> pd.S
 @F.pandas_udf(T.StringType())
 def cropped(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([crop(x, y) for x, y in zip(a, b)])
+
+
+def patched(old: Column, diff: Column) -> Column:
+    """The lines of a text after a unified diff, joined by \\n; the text's lines where the diff is empty, null where it does not fit the text.
+
+    The counterpart of unified_diff with native functions: whole hunks are put together, so it
+    takes a step for each hunk and not for each line.
+    """
+    lines = lambda c: F.when(c == "", F.array().cast(_TEXTS)).otherwise(F.split(F.regexp_replace(c, r"\n\z", ""), "\n", -1))
+    told = lines(F.coalesce(diff, F.lit("")))
+    body = F.slice(told, 3, F.greatest(F.size(told), F.lit(1)))  # without the two headers
+    marks = F.filter(F.transform(body, lambda x, i: F.when(x.rlike(r"\A@@ -\d+(,\d+)? \+\d+(,\d+)? @@\z"), i)), lambda i: i.isNotNull())
+    number = lambda x, g: F.regexp_extract(x, r"\A@@ -(\d+)(?:,(\d+))?", g)
+
+    def hunk(at: Column, k: Column) -> Column:
+        head = F.get(body, at)
+        own = F.slice(body, at + 2, F.coalesce(F.get(marks, k + 1), F.size(body)) - at - 1)
+        size = F.when(number(head, 2) == "", F.lit(1)).otherwise(number(head, 2).cast("int"))
+        text = lambda kinds: F.transform(F.filter(own, lambda x: F.substring(x, 1, 1).isin(*kinds)), lambda x: F.substring(x, 2, 1 << 30))
+        return F.struct((number(head, 1).cast("int") - F.when(size == 0, 0).otherwise(1)).alias("first"), size.alias("size"), text([" ", "-"]).alias("gone"), text([" ", "+"]).alias("new"))
+
+    source = lines(old)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_TEXTS).alias("out"), F.lit(True).alias("fits"))
+    step = lambda acc, h: F.struct(
+        (h["first"] + h["size"]).alias("at"),
+        F.concat(acc["out"], F.slice(source, acc["at"] + 1, F.greatest(h["first"] - acc["at"], F.lit(0))), h["new"]).alias("out"),
+        (acc["fits"] & (h["first"] >= acc["at"]) & (F.slice(source, h["first"] + 1, h["size"]) == h["gone"])).alias("fits"),
+    )
+    end = lambda acc: F.when(acc["fits"], F.array_join(F.concat(acc["out"], F.slice(source, acc["at"] + 1, F.greatest(F.size(source), F.lit(1)))), "\n"))
+    return F.aggregate(F.transform(marks, hunk), start, step, end)

@@ -600,6 +600,16 @@ def turn_diffs(spark, d):
     return p.select("conv_id", "turn", diffs.unified_diff("buggy", "correct").alias("diff"), diffs.n_changed_lines("buggy", "correct").alias("n_changed"), diffs.anchor_lines("buggy", "correct").alias("anchors"), diffs.cropped("buggy", "correct").alias("cropped"))
 
 
+@query(
+    r"""with t as (select conv_id, turn, text, lead(text) over (partition by conv_id order by turn) as next from conversations)
+    select conv_id, turn, md5(regexp_replace(next, '\n$', '')) as after_md5, text = next as same from t where next is not null"""
+)
+def patched_turns(spark, d):
+    """Each turn's text after the diff to the next one: what the diffs hold, put back by native functions."""
+    p = _turn_pairs(spark, d).withColumn("diff", diffs.unified_diff("buggy", "correct"))
+    return p.select("conv_id", "turn", F.md5(diffs.patched(F.col("buggy"), F.col("diff"))).alias("after_md5"), (F.col("diff") == "").alias("same"))
+
+
 @query()
 def fix_proofs(spark, d):
     p = _turn_pairs(spark, d)

@@ -43,7 +43,7 @@ def _text(*names: str) -> list[T.StructField]:
 
 def _names(system: fs.FileSystem, folder: str, suffix: str = "") -> list[fs.FileInfo]:
     found = system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-    return sorted((f for f in found if f.is_file and f.base_name.endswith(suffix)), key=lambda f: f.path)
+    return sorted((f for f in found if f.is_file and f.base_name.endswith(suffix) and f.base_name[0] not in "._"), key=lambda f: f.path)  # others are writers' own
 
 
 # ---- repositories
