@@ -15,7 +15,7 @@ from tidewater.functions import code as C
 from tidewater.functions import diffs, mutators, recipes
 from tidewater.functions import screens as S
 from tidewater.functions import text as X
-from tidewater.operators import merge, patterns, product, quantiles, reports, rows, selection
+from tidewater.operators import merge, patterns, pools, product, quantiles, reports, rows, selection
 from tidewater.operators.lineage import settle
 from tidewater.sources import clients, files
 
@@ -323,6 +323,48 @@ def wide_grid(spark, d):
     return product.first_of_product({a: l.groupBy(a).agg(F.count("*").alias(f"n_{a}")) for a in l.columns}, 60)
 
 
+_MIX = [
+    ("single", "normal", 1, "none", 4, None, None), ("single", "normal", 2, "symptom", 4, "symptom", "none"), ("single", "normal", 3, "human", 2, None, None),
+    ("single", "hard", 1, "none", 5, None, None), ("single", "hard", 2, "symptom", 5, "symptom", "none"), ("multi", "normal", 1, "none", 1, None, None), ("multi", "normal", 2, "symptom", 3, "symptom", "none"),
+]
+_TEMPLATES = [
+    ("single", "none", "none", 1, "Find what is wrong."), ("single", "none", "none", 2, "Repair this file."), ("single", "none", "none", 3, "What breaks here?"), ("single", "symptom", "sym", 1, "It shows {symptom}; mend it."),
+    ("single", "symptom", "sym", 2, "Why {symptom} in {place}?"), ("single", "human", "hum", 1, "A colleague doubts {place}."), ("multi", "none", "mfnone", 1, "Two files, one bug."), ("multi", "symptom", "mfsym", 1, "{symptom} across files."), ("multi", "symptom", "mfsym", 2, "Both files: {symptom}."),
+]
+
+
+def _duck_place(key: str, size: str) -> str:
+    out = "0::hugeint"
+    for start in (1, 9, 17, 25):
+        out = f"(({out} * 4294967296 + ('0x' || substr(md5({key}), {start}, 8))::bigint) % {size})"
+    return f"({out})::bigint"
+
+
+def _duck_rows(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join("null::varchar" if v is None else f"'{v}'" if isinstance(v, str) else str(v) for v in r) + ")" for r in rows)
+
+
+@query(
+    f"""with mix(mode, tier, place, pool, weight, needs, otherwise) as (values {_duck_rows(_MIX)}), said(mode, pool, seed, place, template) as (values {_duck_rows(_TEMPLATES)}),
+    d as (select doc_id, case when doc_id % 3 = 0 then 'multi' else 'single' end as mode, case when lang = 'de' then 'hard' else 'normal' end as tier, case when n_chars % 2 = 0 then rtrim(source || ' stalls..', '.') else '' end as symptom, coalesce(lang, '') as place from documents),
+    e as (select *, case when mode = 'multi' then 'normal' else tier end as used from d),
+    r as (select *, sum(weight) over (partition by mode, tier order by place) as upto, sum(weight) over (partition by mode, tier) as size from mix),
+    p as (select e.*, case when r.needs = 'symptom' and symptom = '' then r.otherwise else r.pool end as pool from e join r on e.mode = r.mode and e.used = r.tier and {_duck_place("'pool:' || doc_id", "r.size")} >= r.upto - r.weight and {_duck_place("'pool:' || doc_id", "r.size")} < r.upto),
+    s as (select *, count(*) over (partition by mode, pool) as size from said)
+    select doc_id, p.pool, replace(replace(template, '{{symptom}}', symptom), '{{place}}', p.place) as instruction from p join s on p.mode = s.mode and p.pool = s.pool and s.place - 1 = {_duck_place("s.seed || ':' || doc_id", "s.size")}"""
+)
+def pool_instructions(spark, d):
+    """An instruction for each document by mode, tier and pool; a tier that a mode does not know is normal."""
+    mix = spark.createDataFrame(_MIX, "mode string, tier string, place int, pool string, weight int, needs string, otherwise string")
+    said = spark.createDataFrame(_TEMPLATES, "mode string, pool string, seed string, place int, template string")
+    docs = _docs(spark, d).select(
+        "doc_id", F.col("doc_id").cast("string").alias("key"), F.when(F.col("doc_id") % 3 == 0, "multi").otherwise("single").alias("mode"), F.when(F.col("lang") == "de", "hard").otherwise("normal").alias("tier"),
+        F.when(F.col("n_chars") % 2 == 0, F.concat("source", F.lit(" stalls.."))).alias("seen"), "lang",
+    )
+    slots = {"symptom": F.regexp_replace("seen", r"\.+\z", ""), "place": F.col("lang")}
+    return pools.instructions(docs, mix, said, "mode", "tier", "key", slots).select("doc_id", "pool", "instruction")
+
+
 _ERRORS = [(1, "the", "no member named"), (2, "der", "undeclared identifier"), (3, "que", "no matching function"), (4, "reserved", "missing header")]
 
 
