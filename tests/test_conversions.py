@@ -184,13 +184,17 @@ def test_staged_build(spark, tmp_path):
     audit = lambda p: p.select(F.col("source_id").alias("row_id"), F.when(F.col("source_id") == "s0", '{"bug_present": false}').otherwise('{"bug_present": true}').alias("raw_verdict"), F.lit(False).alias("error"))
     build = stages.Build(spark, f"file://{tmp_path}", {"topics": topics, "rows": spark.createDataFrame([("i", "c", "r", None, None, "old", "train")], stages.ROW)}, {"generate": generate, "compile": compiled, "mutate": mutate, "audit": audit})
     first = stages.run(build)
-    assert [n for n, _, _ in first] == list(stages.STAGES) and [o for n, o, _ in first if n not in ("screen",)] == ["ok"] * 11, first
+    assert [n for n, _, _ in first] == list(stages.STAGES) and [o for _, o, _ in first] == ["ok"] * 12, first
+    assert build.read("screen").count() == 0 and {o for _, o, _ in stages.run(build)} == {"skipped"}  # an empty target is done too
     kept = build.read("add_retry").collect()
     assert {r["source_id"] for r in kept if r["variant"] == stages.MUTATION} == {"s1", "s2", "s3", "s4"} and [r["source_id"] for r in kept if r["variant"] == stages.RETRY] == ["s0"]
     assert sum(r["variant"] == conversions.NEGATIVE_VARIANT for r in kept) == 1 and sum(r["variant"] == "old" for r in kept) == 1
     assert {o for n, o, _ in stages.run(build, only=["generate", "add_retry"])} == {"skipped"}
     build.services["generate"] = lambda t: t.select("nothing")
     assert [o.split(":")[0] for _, o, _ in stages.run(build, only=["generate", "compile"], force=True)] == ["failed", "not run"]
+    assert list(build.failures) == ["generate"]
+    (tmp_path / "audit" / "_SUCCESS").unlink()  # as if its write had been cut off
+    assert [o for _, o, _ in stages.run(build, only=["mutate", "audit"])] == ["skipped", "ok"] and not build.failures
 
 
 def test_counts_and_charts(spark):

@@ -538,3 +538,34 @@ def logged_lines(spark, d):
         lines.where(F.col("turn") == turn).select("value").write.mode("append").text(f"{at}/log")
         out.writeStream.format("parquet").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start(f"{at}/out").awaitTermination()
     return spark.read.schema("event_id long, event_type string").parquet(f"{at}/out").groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query(
+    """with t as (select distinct md5(text) as id from documents where text is not null),
+    g as (select id, ('0x' || substr(id, 1, 4))::integer as h from t),
+    c as (select id, h, h % 5 <> 0 as ok from g where h % 7 <> 0),
+    m as (select *, h % 3 <> 0 as present from c where ok and h % 11 <> 0)
+    select 'negative' as part, count(*)::bigint as n from c where not ok union all select 'pair', count(*) from m where present union all select 'again', count(*) from m where not present union all select 'old', 1"""
+)
+def staged_build(spark, d):
+    """Twelve targets over recorded services: what stays of each sort of row in the last version."""
+    from tidewater.plans import stages
+
+    h = F.conv(F.substring("source_id", 1, 4), 16, 10).cast("int")
+    topics = _t(spark, d, "documents").where("text is not null").select(F.md5("text").alias("source_id")).distinct().select("source_id", F.lit("code_words").alias("slug"), F.lit("code words").alias("label"))
+    answers = topics.where(h % 7 != 0).select("source_id", F.concat(F.lit("the code of "), "source_id").alias("correct"), F.lit(1).alias("at"))
+    results = {"validation_error_class": F.lit("c"), "validation_error_excerpt": F.lit("error: e"), "prompt_error_excerpt": F.lit("")}
+    mutations = lambda turn: topics.where(h % 11 != 0).select("source_id", F.concat(F.lit(f"bad {turn} "), "source_id").alias("buggy"), F.lit("b").alias("bug_type"), F.lit(True).alias("parse_ok"), F.lit(True).alias("quality_ok"), F.lit(turn).alias("at"))
+    verdicts = topics.select(F.col("source_id").alias("row_id"), F.when(h % 3 == 0, '{"bug_present": false}').otherwise('{"bug_present": true}').alias("raw_verdict"), F.lit(False).alias("error"), F.lit(1).alias("at"))
+    turn = iter((1, 2))
+    services = {
+        "generate": stages.recorded(answers, ["source_id"], "at"), "compile": lambda jobs: jobs.withColumns({"compile_ok": h % 5 != 0, **results}),
+        "mutate": lambda asked: stages.recorded(mutations(next(turn)), ["source_id"], "at")(asked.select("source_id", "correct")),
+        "audit": lambda pairs: stages.recorded(verdicts, ["row_id"], "at")(pairs.select(F.col("source_id").alias("row_id"))).select("row_id", "raw_verdict", "error"),
+    }
+    old = spark.createDataFrame([("i", "c", "r", None, None, "old", "train")], stages.ROW)
+    build = stages.Build(spark, f"{_stream_folder(spark)}/build", {"topics": topics, "rows": old}, services)
+    if any(outcome != "ok" for _, outcome, _ in stages.run(build)):
+        raise next(iter(build.failures.values()))
+    part = F.when(F.col("variant") == "old", "old").when(F.col("variant") == stages.MUTATION, "pair").when(F.col("variant") == stages.RETRY, "again").otherwise("negative")
+    return build.read("add_retry").groupBy(part.alias("part")).agg(F.count("*").alias("n"))

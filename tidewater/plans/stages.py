@@ -1,7 +1,8 @@
 """The validated data set as twelve named targets, each a written table that later ones read.
 
-A target that is there already is left alone unless it is forced; a target that fails ends the
-run. Services (generation, compiler, mutation, audit) are functions from a DataFrame of
+A target is done when its write has left its marker (Spark's `_SUCCESS`), be it empty or not. What
+is done is left alone unless it is forced; a target that fails ends the run, leaves no marker, and
+is made again by the next run. Services (generation, compiler, mutation, audit) are functions from a DataFrame of
 requests to one of answers, live or recorded. Rows of the data set go from version to version
 and are never written over.
 """
@@ -10,9 +11,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,12 +34,12 @@ class Build:
     path: str
     tables: dict[str, DataFrame]
     services: dict[str, Service]
+    #: What ended the last run, by target.
+    failures: dict[str, Exception] = field(default_factory=dict)
 
     def has(self, name: str) -> bool:
-        try:
-            return not self.spark.read.parquet(f"{self.path}/{name}").isEmpty()
-        except AnalysisException:
-            return False
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/_SUCCESS")
+        return marker.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
     def read(self, name: str) -> DataFrame:
         return self.tables[name] if name in self.tables else self.spark.read.parquet(f"{self.path}/{name}")
@@ -118,8 +118,9 @@ STAGES: dict[str, tuple[str, Callable[[Build], DataFrame]]] = {
 
 
 def run(build: Build, only: Iterable[str] | None = None, force: bool = False) -> list[tuple[str, str, float]]:
-    """(target, outcome, seconds) of the wanted targets in their order; after a failure the others are `not run`."""
+    """(target, outcome, seconds) of the wanted targets in their order; after a failure, which build.failures then has as it was raised, the others are `not run`."""
     wanted = [s for s in STAGES if only is None or s in set(only)]
+    build.failures.clear()
     report, broken = [], False
     for name in wanted:
         began = time.time()
@@ -132,7 +133,8 @@ def run(build: Build, only: Iterable[str] | None = None, force: bool = False) ->
                 STAGES[name][1](build).write.mode("overwrite").parquet(f"{build.path}/{name}")
                 outcome = "ok"
             except Exception as e:
-                outcome, broken = f"failed: {str(e).splitlines()[0][:200]}", True
+                outcome, broken = f"failed: {(str(e).splitlines() or [type(e).__name__])[0][:200]}", True
+                build.failures[name] = e
         report.append((name, outcome, round(time.time() - began, 1)))
     return report
 
