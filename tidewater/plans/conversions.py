@@ -569,3 +569,75 @@ def staged_build(spark, d):
         raise next(iter(build.failures.values()))
     part = F.when(F.col("variant") == "old", "old").when(F.col("variant") == stages.MUTATION, "pair").when(F.col("variant") == stages.RETRY, "again").otherwise("negative")
     return build.read("add_retry").groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+
+
+# ---- readers and sinks, there and back
+
+
+@query("select s_suppkey as id, s_name as name, s_acctbal as balance from supplier")
+def pretty_json(spark, d):
+    """A file of one object over several lines for each supplier."""
+    at = _stream_folder(spark)
+    s = _t(spark, d, "supplier").select(F.to_json(F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance")), {"pretty": "true"}).alias("value"))
+    s.write.option("maxRecordsPerFile", 1).text(f"{at}/json")
+    from tidewater.sources import files
+
+    return files.json_documents(spark, f"{at}/json", "id long, name string, balance double").drop("file")
+
+
+@query("select doc_id, quality, toxic from labels")
+def appended_lines(spark, d):
+    """Labels as JSON lines of two appends, nulls included."""
+    from tidewater.sources import files
+
+    at, labels = f"{_stream_folder(spark)}/lines", _t(spark, d, "labels").select("doc_id", "quality", "toxic")
+    for turn in (0, 1):
+        files.append_json_lines(labels.where(F.col("doc_id") % 2 == turn), at)
+    return files.json_lines(spark, at, labels.schema)
+
+
+@query("select source, count(*) filter (n_chars >= 800 and lang is not null)::bigint as kept, count(*) filter (n_chars < 800 or lang is null)::bigint as dropped from documents group by 1")
+def kept_and_dropped(spark, d):
+    """Documents written to a table that is pruned by whether they are kept."""
+    from tidewater.sources import files
+
+    reasons = F.array_compact(F.array(F.when(F.col("n_chars") < 800, "short"), F.when(F.col("lang").isNull(), "no language")))
+    at = f"{_stream_folder(spark)}/kept"
+    files.write_kept_and_dropped(_t(spark, d, "documents").select("doc_id", "source", reasons.alias("reasons")), at, "reasons")
+    kept = F.col("kept") == "true"
+    return spark.read.schema("doc_id long, source string, reasons array<string>, kept string").parquet(at).groupBy("source").agg(F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped"))
+
+
+@query("select doc_id, 'all' as given from documents union all select doc_id, 'parts' from documents where doc_id % 3 < 2")
+def resolved_inputs(spark, d):
+    """The whole table where it has more rows than its training part, else both parts together."""
+    from tidewater.sources import files
+
+    docs = _t(spark, d, "documents").select("doc_id")
+    third = lambda k: docs.where(F.col("doc_id") % 3 == k)
+    whole, parts = files.resolve_input(spark, docs, third(0), third(1)), files.resolve_input(spark, third(0), third(0), third(1))
+    return whole.withColumn("given", F.lit("all")).unionByName(parts.withColumn("given", F.lit("parts")))
+
+
+@query(
+    """with f as (select doc_id, md5(text) as k, 'u' || doc_id % 400 as url from documents where source <> 'src2'), s as (select md5(text) as k, 'u' || doc_id % 400 as url from documents where source = 'src2')
+    select doc_id from f where k not in (select k from s where k is not null) and url not in (select url from s) qualify row_number() over (partition by k order by doc_id) = 1"""
+)
+def unknown_files(spark, d):
+    """Files whose content and address are new, one of each content."""
+    from tidewater.sources import files
+
+    docs = _t(spark, d, "documents").select("doc_id", "source", F.md5("text").alias("k"), F.concat(F.lit("u"), F.col("doc_id") % 400).alias("url"))
+    seen = docs.where("source = 'src2'").select(F.col("k").alias("content_key"), "url")
+    return files.new_files(docs.where("source <> 'src2'"), seen, F.col("k"), ["doc_id"]).select("doc_id")
+
+
+@query(
+    """with r as (select unnest([case when length(text) < 400 then 'short' end, case when contains(text, '@') then 'address' end, case when text = upper(text) then 'shouted' end]) as reason from documents)
+    select reason, count(*)::bigint as n from r where reason is not null group by 1"""
+)
+def audited_reasons(spark, d):
+    """What is wrong with documents, a row's several reasons each counted."""
+    reason = lambda name, test: F.when(test, F.lit(name))
+    reasons = F.array_compact(F.array(reason("short", F.length("text") < 400), reason("address", F.contains("text", F.lit("@"))), reason("shouted", F.col("text") == F.upper("text"))))
+    return reports.quality_audit(_t(spark, d, "documents").select(reasons.alias("reasons")), "reasons")
