@@ -27,3 +27,12 @@ def test_patches_that_do_not_fit_give_null(spark):
     diff = diffs.unified("a\nb\nc", "a\nx\nc")
     frame = spark.createDataFrame([("a\nb\nc", diff), ("a\nb\nd", diff), ("b\nc", diff), ("a\nb\nc", None), (None, diff)], "old string, diff string")
     assert [x[0] for x in frame.select(diffs.patched(F.col("old"), F.col("diff"))).collect()] == ["a\nx\nc", None, None, "a\nb\nc", None]
+
+
+def test_the_edit_without_an_artifact_and_what_stays_as_it_is():
+    from tidewater.functions import mutators
+    from tidewater.plans import edits
+
+    assert mutators.UNDISPATCHED["acc48_for_acc80_reverse"]("aie::accum<acc48, 8> a;") == "aie::accum<acc80, 8> a;"
+    assert {s for s, _, _ in edits.RECORDED} == set(mutators.REGISTRY)
+    assert all(edit("// nothing here\n") is None for edit in mutators.REGISTRY.values())

@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from tidewater.plans import catalog, conversions, features  # noqa: F401
+from tidewater.plans import catalog, conversions, edits, features  # noqa: F401
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no tables")
