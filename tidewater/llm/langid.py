@@ -49,7 +49,7 @@ def marked(text: str | None, most: int = 1 << 20) -> np.ndarray:
     return out if len(out) > 1 else out[:0]
 
 
-def runs(m: np.ndarray, most: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def runs(m: np.ndarray, most: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """Distinct runs of 1 to 3 characters, 21 bits each, ascending, and their counts; a lone mark is none, and none reaches across two marks."""
     parts = []
     for at in range(0, len(m), most):
@@ -92,7 +92,7 @@ def profiles(docs: DataFrame, size: int = 400) -> DataFrame:
 
         for batch in batches:
             langs = batch.column(1).to_pylist()
-            for at, texts in pieces(batch, "text"):
+            for at, texts in pieces(batch, "text", 2 << 20):
                 by: dict[str, list] = {}
                 for lang, text in zip(langs[at : at + len(texts)], texts):
                     by.setdefault(lang, []).append(marked(text))
