@@ -1,4 +1,4 @@
-"""Diffs, similarity and windows of changed lines: sequence comparison has no native form, so these are pandas UDFs."""
+"""Diffs, similarity and windows of changed lines: sequence comparison has no native form, so these are pandas UDFs. Long sequences go to blocks.Matcher."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.functions.blocks import matcher
+
 _TEXTS = T.ArrayType(T.StringType())
 
 
@@ -23,14 +25,14 @@ def similarity(a: str | None, b: str | None) -> float:
         return 1.0
     if not a or not b:
         return 0.0
-    return 1.0 if a == b else difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+    return 1.0 if a == b else matcher(a, b).ratio()
 
 
 def similarity_at_least(a: str | None, b: str | None, least: float) -> float:
     """The ratio where it can reach `least`, else a bound below it: the cheap upper bounds come first."""
     if not a or not b or a == b:
         return similarity(a, b)
-    m = difflib.SequenceMatcher(None, a, b, autojunk=False)
+    m = matcher(a, b)
     for bound in (m.real_quick_ratio, m.quick_ratio):
         if (most := bound()) < least:
             return most
@@ -39,7 +41,7 @@ def similarity_at_least(a: str | None, b: str | None, least: float) -> float:
 
 def changed_lines(a: str | None, b: str | None) -> int:
     """Lines that are added plus lines that are taken away."""
-    m = difflib.SequenceMatcher(None, (a or "").splitlines(), (b or "").splitlines(), autojunk=False)
+    m = matcher((a or "").splitlines(), (b or "").splitlines())
     return sum((i2 - i1) + (j2 - j1) for tag, i1, i2, j1, j2 in m.get_opcodes() if tag != "equal")
 
 
@@ -47,7 +49,7 @@ def anchors(a: str | None, b: str | None, most: int = 12) -> tuple[list[str], li
     """Distinct stripped lines that only the second, and only the first text has at a change; `most` of each."""
     left, right = (a or "").splitlines(), (b or "").splitlines()
     added, gone = {}, {}
-    for tag, i1, i2, j1, j2 in difflib.SequenceMatcher(None, left, right, autojunk=False).get_opcodes():
+    for tag, i1, i2, j1, j2 in matcher(left, right).get_opcodes():
         if tag != "equal":
             added |= dict.fromkeys(x.strip() for x in right[j1:j2] if x.strip())
             gone |= dict.fromkeys(x.strip() for x in left[i1:i2] if x.strip())
