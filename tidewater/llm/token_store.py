@@ -78,8 +78,21 @@ def merkle(leaves: list[bytes]) -> bytes:
     return digest_of(b"\x02" + level[0])
 
 
-def recipe_root(doc_id: object, start: int, n_tokens: int, sizes: list[int], digests: list[bytes]) -> bytes:
-    return merkle([digest_of(f"{doc_id} {start} {n_tokens} {sizes}".encode()), *digests])
+def recipe_root(doc_id: object, start: int, n_tokens: int, sizes: bytes, digests: list[bytes]) -> bytes:
+    """sizes: as 32-bit integers."""
+    return digest_of(merkle(digests) + f"{doc_id} {start} {n_tokens} ".encode() + sizes)
+
+
+def _spread(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """The elements of lists one after another, and where each list begins, with the end of the last."""
+    at = lists.offsets.to_numpy().astype(np.int64)
+    return lists.flatten(), at - at[0]
+
+
+def _size_bytes(sizes: pa.ListArray) -> list[bytes]:
+    flat, at = _spread(sizes)
+    data, at = flat.to_numpy(zero_copy_only=False).astype("<i4").tobytes(), (4 * at).tolist()
+    return [data[x:y] for x, y in zip(at, at[1:])]
 
 
 def part_root(docs: bytes, n_docs: int, n_tokens: int) -> bytes:
@@ -179,7 +192,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
             n, ids = batch.num_rows, batch.column(0)
             counts = batch.column(1).to_numpy()
             starts = start + np.cumsum(counts) - counts
-            roots = list(map(recipe_root, ids.to_pylist(), starts.tolist(), counts.tolist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()))
+            roots = list(map(recipe_root, ids.to_pylist(), starts.tolist(), counts.tolist(), _size_bytes(batch.column(2)), batch.column(3).to_pylist()))
             for r in roots:
                 tree.add(r)
             yield pa.RecordBatch.from_arrays([pa.array(["doc"] * n), pa.array(np.full(n, part, np.int32)), pa.array(np.arange(place, place + n)), ids, pa.array(starts), batch.column(1), batch.column(2), batch.column(3), pa.array(roots, pa.binary())], names)
@@ -239,10 +252,15 @@ _FIELDS = ("doc_id", "start", "n_tokens", "sizes", "digests")
 
 
 def _refuse_changed(batch: pa.RecordBatch) -> None:
-    """ValueError if the root of a recipe is not that of its fields and digests."""
-    for part, place, root, *fields in zip(*(batch.column(c).to_pylist() for c in ("part", "place", "root", *_FIELDS))):
-        if recipe_root(*fields) != root or sum(fields[3]) != fields[2]:
-            raise ValueError(f"recipe {place} of part {part} does not match its root")
+    """ValueError if the root of a recipe is not that of its fields and digests, or its sizes are not its ids'."""
+    column = lambda name: batch.column(name).to_pylist()
+    flat, at = _spread(batch.column("sizes"))
+    upto = np.concatenate([[0], np.cumsum(flat.to_numpy(zero_copy_only=False))])
+    right = (upto[at[1:]] - upto[at[:-1]]) == batch.column("n_tokens").to_numpy(zero_copy_only=False)
+    again = map(recipe_root, column("doc_id"), column("start"), column("n_tokens"), _size_bytes(batch.column("sizes")), column("digests"))
+    for i, (root, found) in enumerate(zip(column("root"), again)):
+        if found != root or not right[i]:
+            raise ValueError(f"recipe {batch.column('place')[i]} of part {batch.column('part')[i]} does not match its root")
 
 
 def _checked_recipes(recipes: DataFrame) -> DataFrame:
@@ -294,14 +312,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         names = ["part", "place", "digest", "n", "after"]
         for batch in batches:
             _refuse_changed(batch)
-            rows = [[], [], [], [], []]
-            for part, place, sizes, digests in zip(*(batch.column(c).to_pylist() for c in ("part", "place", "sizes", "digests"))):
-                after = sum(sizes)
-                for d, n in zip(digests, sizes):
-                    after -= n
-                    for column, value in zip(rows, (part, place, d, n, after)):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, (pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64()))], names)
+            sizes, at = _spread(batch.column("sizes"))
+            n = sizes.to_numpy(zero_copy_only=False).astype(np.int64)
+            upto, times = np.concatenate([[0], np.cumsum(n)]), np.diff(at)
+            part, place = (np.repeat(batch.column(c).to_numpy(), times) for c in ("part", "place"))
+            after = np.repeat(upto[at[1:]], times) - upto[1:]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(place, pa.int64()), batch.column("digests").flatten(), sizes, pa.array(after)], names)
 
     @F.pandas_udf("long")
     def shifted(crc, after):
