@@ -82,6 +82,10 @@ def math_operation(path: Column, code: Column) -> Column:
     return _first([(any_of(name, words) | any_of(text, said), F.lit(label)) for label, words, said in OPERATIONS], F.lit(OTHER_OPERATION))
 
 
+#: What stands for a list without entries.
+NONE_FOUND = {"interfaces": "No explicit interface type detected", "vectors": "No explicit vector types detected", "intrinsics": "No explicit AIE intrinsics detected"}
+
+
 def _listed(values: Column, none: str, most: int | None = None) -> Column:
     some = F.slice(values, 1, most) if most else values
     return F.when(F.size(values) > 0, F.array_join(some, ", ")).otherwise(none)
@@ -116,7 +120,7 @@ def answers(code: Column, artifact_type: Column, interfaces: Column, vector_type
     """struct of one answer for each template, from an artifact's features."""
     parts = {
         "purpose": purpose(artifact_type, interfaces, vector_types, operation), "kind": F.when(artifact_type == "graph_type", "ADF graph").otherwise("AIE kernel"), "ports": ports_text(code, artifact_type),
-        "interfaces": _listed(interfaces, "No explicit interface type detected"), "vectors": _listed(vector_types, "No explicit vector types detected"), "intrinsics": _listed(intrinsics, "No explicit AIE intrinsics detected", 12),
+        "interfaces": _listed(interfaces, NONE_FOUND["interfaces"]), "vectors": _listed(vector_types, NONE_FOUND["vectors"]), "intrinsics": _listed(intrinsics, NONE_FOUND["intrinsics"], 12),
         "buffers": buffers_text(code), "operation": operation, "limits": S.worded(S.constraint_flags(code, artifact_type, interfaces, intrinsics), limits or LIMITS),
     }
     return F.struct(*[_filled(t, parts).alias(name) for name, t in (templates or ANSWERS).items()])
