@@ -33,3 +33,12 @@ def test_held_and_spread(spark):
     found = held(spread(df), n=F.md5("t"), t=F.upper("t")).select("k", "t", F.concat("n", "n", "n").alias("x"))
     assert _plan(found).count("md5") == 1
     assert [(r["k"], r["t"], r["x"] and len(r["x"])) for r in found.orderBy("k").collect()] == [(1, "A B", 96), (2, None, None)]
+
+
+def test_project_gates_find_the_graph_once(spark):
+    from tidewater.functions import screens
+
+    df = spark.createDataFrame([("// FILE: graph.h\nclass g : public adf::graph {};\ng x;\n// FILE: kernels/k.cc\nint a;", ), (None,), ("",)], "code string")
+    found = df.select(screens.project_gate(F.col("code")).alias("r"))
+    assert _plan(found).count("FILE:[ ") == 2  # the names and the graph; it stood in each check
+    assert "missing_graph_instance" not in found.first()["r"] and found.count() == 3

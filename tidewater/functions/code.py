@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewater.functions.text import lines, one_space, or_text, strip, strip_right
+from tidewater.functions.text import lines, once, one_space, or_text, strip, strip_right
 
 # Words and patterns that results depend on.
 GRAPH_PATTERNS = (r"class\s+\w+\s*:\s*public\s+(?:adf::)?graph", r"\binput_plio\b", r"\boutput_plio\b", r"\bconnect<", r"\bkernel::create", r"\bdimensions\(")
@@ -71,12 +71,17 @@ def interface_types(code: Column, header_value: Column) -> Column:
     return F.array_distinct(F.array_compact(F.array(*hits)))
 
 
+def _last_of_keys(entries: Column) -> Column:
+    """map of k to the last v in an array of structs."""
+    last = lambda e, keys: F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(e, lambda x: x["k"] == k), -1)["v"]))
+    return once(entries, lambda e: once(F.array_distinct(F.transform(e, lambda x: x["k"])), lambda keys: last(e, keys)))
+
+
 def header_fields(comment: Column) -> Column:
     """map of lower-cased KEY to value from `KEY: value` lines; the last of a key counts."""
     pairs = F.filter(F.transform(lines(comment), lambda x: F.regexp_replace(x, r"\A[\s/*]+|\s+\z", "")), lambda x: x.rlike(r"\A[A-Za-z][^:]*:"))
     entries = F.transform(pairs, lambda x: F.struct(F.lower(strip(F.regexp_extract(x, r"\A([^:]*):", 1))).alias("k"), strip(F.regexp_extract(x, r"(?s)\A[^:]*:(.*)\z", 1)).alias("v")))
-    keys = F.array_distinct(F.transform(entries, lambda e: e["k"]))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["k"] == k), -1)["v"]))
+    return _last_of_keys(entries)
 
 
 def leading_comment(code: Column) -> Column:
@@ -174,8 +179,7 @@ def project_files(text: Column) -> Column:
     cut = F.split(F.concat(F.lit("\n"), text), r"\n[ \t]*//\s*FILE:[ \t]*", -1)
     parts = F.slice(cut, 2, F.greatest(F.size(cut) - 1, F.lit(0)))
     entry = F.transform(parts, lambda x: F.struct(strip(F.regexp_extract(x, r"\A([^\n]*)", 1)).alias("k"), strip(F.regexp_replace(x, r"\A[^\n]*\n?", "")).alias("v")))
-    keys = F.array_distinct(F.transform(entry, lambda e: e["k"]))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(entry, lambda e: e["k"] == k), -1)["v"]))
+    return _last_of_keys(entry)
 
 
 # ---- logs

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewater.functions.code import SUFFIXES, any_of, edge_fences, listed, project_files
-from tidewater.functions.text import lines, one_space, strip
+from tidewater.functions.text import lines, once, one_space, strip
 
 # Detector words and gate patterns.
 COMPUTE_PATTERNS = {
@@ -130,7 +130,10 @@ def tagged(text: Column, tag: str) -> Column:
 
 def pair_gate(reply: Column) -> Column:
     """Reasons against a reply with <buggy> and <correct>: a part is missing, both are equal, or one is no code."""
-    a, b = tagged(reply, "buggy"), tagged(reply, "correct")
+    return once(F.struct(tagged(reply, "buggy").alias("a"), tagged(reply, "correct").alias("b")), lambda x: _pair_reasons(x["a"], x["b"]))
+
+
+def _pair_reasons(a: Column, b: Column) -> Column:
     code = lambda c: c.rlike(r"[;{}]")
     there = (F.coalesce(a, F.lit("")) != "") & (F.coalesce(b, F.lit("")) != "")
     return F.array_compact(F.array(F.when(~there, "missing_part"), F.when(there & (a == b), "same_as_correct"), F.when(there & ~(code(a) & code(b)), "not_code")))
@@ -138,7 +141,10 @@ def pair_gate(reply: Column) -> Column:
 
 def mutation_gate(reply: Column, correct: Column, bad_apis: tuple[str, ...] = (), hints: tuple[str, ...] = ()) -> Column:
     """Reasons against a changed project: empty, same, no file marker, other files, or forbidden content."""
-    new = edge_fences(F.coalesce(reply, F.lit("")))
+    return once(edge_fences(F.coalesce(reply, F.lit(""))), lambda new: _mutation_reasons(new, correct, bad_apis, hints))
+
+
+def _mutation_reasons(new: Column, correct: Column, bad_apis: tuple[str, ...], hints: tuple[str, ...]) -> Column:
     names = lambda c: F.array_sort(F.map_keys(project_files(c)))
     marked = new.rlike(r"(?m)^\s*//\s*FILE:")
     return F.array_compact(F.array(
@@ -149,8 +155,12 @@ def mutation_gate(reply: Column, correct: Column, bad_apis: tuple[str, ...] = ()
 
 def project_gate(code: Column) -> Column:
     """Reasons against a generated project of a graph and its kernels (structure only), in the order of the checks; a graph file without a class is told twice."""
+    graph = lambda c: F.coalesce(F.try_element_at(project_files(c), F.lit("graph.h")), F.lit(""))
+    return once(code, lambda c: once(graph(c), lambda g: _project_reasons(c, g)))
+
+
+def _project_reasons(code: Column, graph: Column) -> Column:
     names = F.transform(F.regexp_extract_all(code, F.lit(r"(?m)^\s*//\s*FILE:[ \t]*(\S[^\n]*)"), F.lit(1)), lambda x: F.lower(strip(x)))
-    graph = F.coalesce(F.try_element_at(project_files(code), F.lit("graph.h")), F.lit(""))
     class_name = F.regexp_extract(graph, r"class\s+(\w+)\s*:\s*public\s+adf::graph", 1)
     created = F.array_distinct(F.concat(F.regexp_extract_all(graph, F.lit(r"adf::kernel::create\s*\(\s*([A-Za-z_]\w*)\s*\)"), F.lit(1)), F.regexp_extract_all(graph, F.lit(r"adf::kernel::create\s*<\s*([A-Za-z_]\w*)\s*>\s*\("), F.lit(1))))
     declared = F.regexp_extract_all(graph, F.lit(r"(?:^|\n)\s*(?:extern\s+)?void\s+([A-Za-z_]\w*)\s*\("), F.lit(1))

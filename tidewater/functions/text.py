@@ -5,6 +5,8 @@ Patterns say (?Ud): Unicode classes, and lines that end at \\n only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -83,6 +85,11 @@ def content_hash(column: Column) -> Column:
     return F.sha2(strip(F.replace(column, F.lit("\r\n"), F.lit("\n"))), 256)
 
 
+def once(column: Column, used: Callable[[Column], Column]) -> Column:
+    """What `used` makes of a column that is worked out once a row, however often it is named in there."""
+    return F.transform(F.array(column), used)[0]
+
+
 def normalized(column: Column) -> Column:
     """Lower case, no // and /* */ comments (in this order), numbers as <n>, single spaces."""
     c = F.regexp_replace(F.lower(column), r"(?d)//.*", "")
