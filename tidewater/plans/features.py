@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import code as C
 from tidewater.functions import screens as S
 from tidewater.operators import rows
+from tidewater.operators.lineage import held, spread
 from tidewater.plans.catalog import _t, query
 
 
@@ -34,7 +35,7 @@ def _braces(column: Column) -> Column:
 
 
 def _parts(spark, d):
-    return _t(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("n"), F.replace("p_brand", F.lit("#"), F.lit("")).alias("b"), F.col("p_name").alias("name"))
+    return spread(_t(spark, d, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("n"), F.replace("p_brand", F.lit("#"), F.lit("")).alias("b"), F.col("p_name").alias("name")))
 
 
 _PARTS = "select p_partkey as k, p_size as n, replace(p_brand, '#', '') as b, p_name as name from part"
@@ -47,9 +48,10 @@ _PARTS = "select p_partkey as k, p_size as n, replace(p_brand, '#', '') as b, p_
 )
 def source_features(spark, d):
     """Comments, headers, types, intrinsics, interfaces, ports and kinds of one kernel a part."""
-    p = _parts(spark, d).withColumn("code", _braces(_text(_KERNEL)))
+    p = held(_parts(spark, d), code=_braces(_text(_KERNEL)))
     code = F.col("code")
-    p = p.withColumn("header", C.leading_comment(code)).withColumn("f", C.header_fields(F.col("header"))).withColumn("body", C.body(code))
+    p = held(p, header=C.leading_comment(code), body=C.body(code))
+    p = held(p, f=C.header_fields(F.col("header")))
     repo, branch = C.repo_and_branch(F.col("f")["source"])
     return p.select(
         "k", "header", F.col("f")["source"].alias("source"), repo.alias("repo"), branch.alias("branch"), C.vector_types(F.col("body"), F.col("f")["vector types"]).alias("vectors"), C.intrinsics(F.col("body"), F.col("f")["key intrinsics"]).alias("intrinsics"),
@@ -88,16 +90,18 @@ _PROJECT = "// FILE: graph.h\nclass g{k};\n// FILE: kernels/k.cc\nvoid k{n}();\n
 )
 def section_features(spark, d):
     """Sections, fences, hints, marked files, code and log, and the gates on replies."""
-    p = _parts(spark, d).withColumns({"pair": _text(_PAIR), "reply": _text(_REPLY), "project": _text(_PROJECT)})
+    p = held(_parts(spark, d), pair=_text(_PAIR), reply=_text(_REPLY), project=_text(_PROJECT))
+    p = held(p, buggy=C.buggy_code(F.col("pair")), files=C.project_files(F.col("project")))
     n = F.col("n")
     logged = F.when(n % 3 == 0, _text("c{k}\n\n--- Error Log ---\nlog {n}")).when(n % 3 == 1, _text("c{k}\n-- Error Log --\nlog {n}")).otherwise(_text("c{k}"))
-    code, log = C.code_and_log(logged)
+    code, log = C.code_and_log(F.col("logged"))
     told = F.when(n % 3 == 0, F.lit("<buggy>a;</buggy>")).when(n % 3 == 1, F.lit("<buggy>a;</buggy><correct>a;</correct>")).otherwise(F.lit("<buggy>a</buggy><correct>b;</correct>"))
     changed = F.when(n % 3 == 0, F.col("project")).when(n % 3 == 1, F.replace("project", F.lit("k.cc"), F.lit("other.cc"))).otherwise(F.replace("project", F.lit("();"), F.lit("(int);")))
+    p = held(p, logged=logged, told=told, changed=changed)
     return p.select(
-        "k", C.buggy_code(F.col("pair")).alias("buggy"), C.correct_code(F.col("pair")).alias("correct"), C.without_hints(C.buggy_code(F.col("pair"))).alias("unhinted"), C.first_fenced(F.col("reply")).cast("string").alias("first_raw"), C.last_fenced(F.col("reply")).alias("last_raw"),
-        C.strip_whole_fence(_text("```cpp\nx {name}\n```")).alias("whole"), C.fence(_text("y {k}  \n\n")).alias("fenced"), C.project_files(F.col("project"))["graph.h"].alias("graph_file"), C.project_files(F.col("project"))["kernels/k.cc"].alias("kernel_file"),
-        code.alias("code"), log.alias("log"), S.pair_gate(told).alias("pair_gate"), S.mutation_gate(changed, F.col("project")).alias("mutation_gate"),
+        "k", "buggy", C.correct_code(F.col("pair")).alias("correct"), C.without_hints(F.col("buggy")).alias("unhinted"), C.first_fenced(F.col("reply")).cast("string").alias("first_raw"), C.last_fenced(F.col("reply")).alias("last_raw"),
+        C.strip_whole_fence(_text("```cpp\nx {name}\n```")).alias("whole"), C.fence(_text("y {k}  \n\n")).alias("fenced"), F.col("files")["graph.h"].alias("graph_file"), F.col("files")["kernels/k.cc"].alias("kernel_file"),
+        code.alias("code"), log.alias("log"), S.pair_gate(F.col("told")).alias("pair_gate"), S.mutation_gate(F.col("changed"), F.col("project")).alias("mutation_gate"),
     ).withColumn("first", F.rtrim(F.regexp_replace("first_raw", "\n", ""))).withColumn("last", F.rtrim(F.regexp_replace("last_raw", "\n", ""))).drop("first_raw", "last_raw")
 
 
