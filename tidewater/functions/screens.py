@@ -236,11 +236,11 @@ def constraint_flags(code: Column, artifact_type: Column, interfaces: Column, in
     """Names of what limits an artifact, in order; `default` if nothing does."""
     graph, has = artifact_type == "graph_type", lambda *w: any_of(code, w)
     simd = F.exists(intrinsics, lambda x: any_of(x, ("mul4", "mac4", "aie::mul", "aie::add")))
-    found = F.array_compact(F.array(
+    limits = F.array_compact(F.array(
         F.when(graph & has("connect<cascade>"), "cascade"), F.when(graph & has("location<kernel>", "bank("), "placement"), F.when(graph & has("runtime<ratio>"), "runtime_ratio"), F.when(graph & F.array_contains(interfaces, "PLIO"), "plio"),
         F.when(~graph & simd, "simd"), F.when(~graph & has("chess_prepare_for_pipelining", "chess_loop_range"), "pipelining"), F.when(~graph & F.array_contains(interfaces, "Stream"), "stream_balance"), F.when(~graph & F.array_contains(interfaces, "Window"), "window_alignment"),
     ))
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("default")))
+    return once(limits, lambda found: F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("default"))))
 
 
 def worded(flags: Column, sentences: dict[str, str]) -> Column:
