@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import screens as S
 from tidewater.functions.code import any_of, stem
-from tidewater.functions.text import one_space, or_text, strip
+from tidewater.functions.text import once, one_space, or_text, strip
 
 # Labels that results depend on, with the words of the file name or path (and of the code) that give them, the first that fits.
 OPERATIONS = (
@@ -88,7 +88,7 @@ NONE_FOUND = {"interfaces": "No explicit interface type detected", "vectors": "N
 
 def _listed(values: Column, none: str, most: int | None = None) -> Column:
     some = F.slice(values, 1, most) if most else values
-    return F.when(F.size(values) > 0, F.array_join(some, ", ")).otherwise(none)
+    return once(some, lambda v: F.when(F.size(v) > 0, F.array_join(v, ", ")).otherwise(none))
 
 
 def purpose(artifact_type: Column, interfaces: Column, vector_types: Column, operation: Column) -> Column:
@@ -123,7 +123,8 @@ def answers(code: Column, artifact_type: Column, interfaces: Column, vector_type
         "interfaces": _listed(interfaces, NONE_FOUND["interfaces"]), "vectors": _listed(vector_types, NONE_FOUND["vectors"]), "intrinsics": _listed(intrinsics, NONE_FOUND["intrinsics"], 12),
         "buffers": buffers_text(code), "operation": operation, "limits": S.worded(S.constraint_flags(code, artifact_type, interfaces, intrinsics), limits or LIMITS),
     }
-    return F.struct(*[_filled(t, parts).alias(name) for name, t in (templates or ANSWERS).items()])
+    said = F.struct(*[v.alias(k) for k, v in parts.items()])
+    return once(said, lambda x: F.struct(*[_filled(t, {k: x[k] for k in parts}).alias(name) for name, t in (templates or ANSWERS).items()]))
 
 
 def debug_answer(artifact_type: Column, interfaces: Column, bug_type: Column, symptom: Column, steps: dict[str, str] = DEBUG_STEPS) -> Column:
