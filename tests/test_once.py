@@ -56,3 +56,15 @@ def test_parts_are_dealt_over_tasks(spark):
 
     for name in ("source_features", "section_features", "artifact_answers", "injected_bugs", "sql_injected_bugs", "graph_descriptions", "source_mutations", "project_gates"):
         assert "Repartition" in _plan(entry.queries()[name](spark, "/root/testdata/sf0.001")), name
+
+
+def test_siblings_make_no_pairs(spark):
+    from tidewater.operators import merge
+
+    df = spark.createDataFrame([(i, "p", f"k{i % 7}") for i in range(300)], "id long, parent string, kind string").coalesce(1)
+    found = merge.siblings(df, "parent", "id", "kind", 4)
+    assert {r["n"] for r in found.groupBy("id").agg(F.count("*").alias("n")).collect()} == {4}
+    nodes = found._jdf.queryExecution().executedPlan().toString()
+    assert "__others" in nodes and "place" in nodes  # a parent's candidates are one array, not a row for each pair
+    twice = merge.siblings(df.union(df), "parent", "id", "kind", 4)
+    assert twice.groupBy("id").agg(F.max("place").alias("n")).where("n <> 4").count() == 0

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.lineage import spread
 from tidewater.operators.selection import first_of, last_of, ranked
 
 
@@ -41,16 +42,21 @@ def siblings(df: DataFrame, parent: str, key: str, kind: str, most: int = 4) ->
     Each side is first cut to what can be chosen, so pairs stay linear in the rows: of a
     parent's rows of one kind only the first `most` + 1 by md5 can be any row's siblings, and
     of its kinds only the `most` + 1 with the smallest first rows, as these hold the `most`
-    smallest rows of kinds other than any one. Rows without a key are no siblings.
+    smallest rows of kinds other than any one. Rows without a key are no siblings. What can be
+    chosen of a parent is one array, out of which each row picks its own, so neither memory nor
+    rows grow with the pairs; rows come dealt by key, however few files there are.
     """
     other = df.select(F.col(parent).alias("__p"), F.col(key).alias("sibling"), F.col(kind).alias("__kind"), F.md5(F.col(key).cast("string")).alias("__m"))
     other = ranked(other.where("sibling is not null"), ["__p", "__kind"], ["__m", "sibling"], "__k").where(F.col("__k") <= most + 1)
     kinds = other.groupBy("__p", "__kind").agg(F.min(F.struct("__m", "sibling")).alias("__least"))
     lead = ranked(kinds, ["__p"], ["__least"], "__kinds").where(F.col("__kinds") <= most + 1).drop("__least")
     other = other.join(lead, (other["__p"].eqNullSafe(lead["__p"])) & (other["__kind"].eqNullSafe(lead["__kind"]))).drop(lead["__p"]).drop(lead["__kind"])
-    met = df.select(F.col(parent).alias("__q"), key, kind).join(other, F.col("__q") == F.col("__p")).where(F.col(key) != F.col("sibling"))
-    differs = ~F.col(kind).eqNullSafe(F.col("__kind"))
-    met = ranked(met, [key], [F.desc(differs), "__m", "sibling"], "place")
+    lists = other.groupBy("__p").agg(F.collect_list(F.struct("__kind", "__m", "sibling")).alias("__others"))  # (most + 1) squared at most
+    met = spread(df.where(F.col(key).isNotNull()).select(F.col(parent).alias("__q"), key, kind)).join(lists, F.col("__q") == F.col("__p"))
+    others = F.filter("__others", lambda x: x["sibling"] != F.col(key))
+    ordered = F.array_sort(F.transform(others, lambda x: F.struct(x["__kind"].eqNullSafe(F.col(kind)).alias("same"), x["__m"].alias("m"), x["sibling"].alias("sibling"))))
+    met = met.select(key, F.explode(F.slice(ordered, 1, most)).alias("__x")).select(key, "__x.*")
+    met = ranked(met.repartition(key), [key], ["same", "m", "sibling"], "place")  # of a repeated key's rows, the first of all
     return met.where(F.col("place") <= most).select(key, "sibling", "place")
 
 
