@@ -68,3 +68,26 @@ def test_siblings_make_no_pairs(spark):
     assert "__others" in nodes and "place" in nodes  # a parent's candidates are one array, not a row for each pair
     twice = merge.siblings(df.union(df), "parent", "id", "kind", 4)
     assert twice.groupBy("id").agg(F.max("place").alias("n")).where("n <> 4").count() == 0
+
+
+def test_pretty_files_are_fewer_than_rows(spark, tmp_path):
+    from tidewater.sources import files
+
+    df = spark.range(1500).selectExpr("id", "if(id % 7 = 0, null, concat('a\nb ', id)) as name").coalesce(1)
+    df = df.union(df.where("id < 20"))  # repeated rows stay
+    files.write_json_arrays(df, f"{tmp_path}/arrays", 500)
+    assert len(list((tmp_path / "arrays").glob("part-*"))) == 4
+    back = files.json_documents(spark, f"{tmp_path}/arrays", "id long, name string")
+    assert sorted(map(tuple, back.drop("file").collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    assert back.groupBy("file").count().agg({"count": "max"}).first()[0] == 500
+    (tmp_path / "one.json").write_text('{\n  "id": 3,\n  "name": "x"\n}')
+    assert [tuple(r)[:2] for r in files.json_documents(spark, f"{tmp_path}/one.json", "id long, name string").collect()] == [(3, "x")]
+    files.write_json_arrays(df.where("false"), f"{tmp_path}/none")
+    assert files.json_documents(spark, f"{tmp_path}/none", "id long, name string").count() == 0
+
+
+def test_pretty_json_writes_no_file_a_supplier(spark):
+    import __spark_entry__ as entry
+
+    found = entry.queries()["pretty_json"](spark, "/root/testdata/sf0.1")
+    assert found.count() == 1000 and len(found.inputFiles()) < 10

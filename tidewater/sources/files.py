@@ -159,6 +159,13 @@ def append_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("ignoreNullFields", False).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, most: int = 1000) -> None:
+    """Files of one pretty array each, of `most` rows at most, so that files are far fewer than rows; for `json_documents`."""
+    piece = F.expr(f"monotonically_increasing_id() div {most}")
+    pieces = df.select(F.struct("*").alias("row"), piece.alias("piece")).groupBy("piece").agg(F.collect_list("row").alias("rows"))
+    pieces.select(F.to_json("rows", {"pretty": "true"}).alias("value")).write.mode("errorifexists").option("maxRecordsPerFile", 1).text(path)
+
+
 def write_splits(df: DataFrame, path: str, split: str = "split") -> None:
     """One table partitioned by split, from which each split is read by pruning."""
     df.write.mode("errorifexists").partitionBy(split).parquet(path)
