@@ -91,3 +91,13 @@ def test_pretty_json_writes_no_file_a_supplier(spark):
 
     found = entry.queries()["pretty_json"](spark, "/root/testdata/sf0.1")
     assert found.count() == 1000 and len(found.inputFiles()) < 10
+
+
+def test_diffs_are_worked_out_once(spark):
+    import __spark_entry__ as entry
+    from tidewater.operators import rows
+
+    assert _plan(entry.queries()["diff_conversions"](spark, "/root/testdata/sf0.001")).count("ArrowEvalPython") == 1  # its condition had one of its own
+    failures = spark.createDataFrame([("ab12", "a\nb", "a\nc", "x.cc:1: error: no b")], "source_id string, buggy string, correct string, log string")
+    found = rows.v5_rows(failures, ["fix"])
+    assert _plan(found).count("ArrowEvalPython") == 1 and "+c" in found.first()["response"]

@@ -14,6 +14,7 @@ from tidewater.functions import code as C
 from tidewater.functions import diffs
 from tidewater.functions.text import canonical_json, choose, hash_hex, lines, or_text, strip
 from tidewater.operators import merge, selection
+from tidewater.operators.lineage import held
 
 # Words that tell forms of rows apart, formats, and limits.
 KNOWN_GOOD, COMPILE_READY, YES_NO = "known-good", "compile-ready", "Does this AIE"
@@ -83,8 +84,8 @@ def diff_rows(rows: DataFrame, log: Column, instructions: list[str] = DIFF, has_
     """
     buggy, fixed = buggy_and_correct(_text("context"), _text("response"))
     d = rows.where(~F.coalesce(F.col("converted"), F.lit(False))) if "converted" in rows.columns else rows
-    d = d.withColumn("__log", log).withColumn("__buggy", buggy).withColumn("__fixed", fixed).where("__buggy is not null and __buggy <> __fixed")
-    d = d.withColumn("__diff", diffs.unified_diff("__buggy", "__fixed"))
+    d = held(d.withColumn("__log", log), __buggy=buggy, __fixed=fixed).where("__buggy is not null and __buggy <> __fixed")
+    d = held(d, __diff=diffs.unified_diff("__buggy", "__fixed"))  # else once for the condition and once for the column, each with workers of its own
     marks = F.filter(lines(F.col("__diff")), lambda x: x.rlike(r"\A[+-]") & ~x.rlike(r"\A(?:---|\+\+\+)"))
     longest = F.greatest(F.size(lines(F.col("__buggy"))), F.size(lines(F.col("__fixed"))), F.lit(1))
     d = d.where((F.col("__diff") != "") & (F.size(marks) / longest <= MOST_CHANGED))

@@ -13,7 +13,7 @@ from tidewater.functions import code as C
 from tidewater.functions import diffs
 from tidewater.functions.text import choose, content_hash, fingerprint, hex_mod, or_text, row_key, slug
 from tidewater.operators import merge, patterns, product, selection
-from tidewater.operators.lineage import settle
+from tidewater.operators.lineage import held, settle
 
 # Shares and caps that results depend on.
 TIER_SHARES = {"easy": 0.20, "normal": 0.30, "medium": 0.25, "hard": 0.15, "extra_hard": 0.10}
@@ -150,7 +150,7 @@ def audit_flags(audits: DataFrame) -> DataFrame:
 
 def v5_rows(failures: DataFrame, instructions: list[str], percent: int = 13) -> DataFrame:
     """Rows of (source_id, buggy, correct, log): code and log as context, a unified diff as response; the split is stored in the row."""
-    d = failures.where("buggy <> correct").withColumn("response", diffs.unified_diff("buggy", "correct"))
+    d = held(failures.where("buggy <> correct"), response=diffs.unified_diff("buggy", "correct"))
     d = d.withColumn("context", F.concat("buggy", F.lit(C.ERROR_SEPARATOR), C.error_lines(F.col("log"))))
     at = hex_mod(F.col("source_id"), 8, len(instructions)).cast("int")
     d = d.withColumn("instruction", F.element_at(F.array(*[F.lit(i) for i in instructions]), at + 1))
