@@ -101,3 +101,15 @@ def test_diffs_are_worked_out_once(spark):
     failures = spark.createDataFrame([("ab12", "a\nb", "a\nc", "x.cc:1: error: no b")], "source_id string, buggy string, correct string, log string")
     found = rows.v5_rows(failures, ["fix"])
     assert _plan(found).count("ArrowEvalPython") == 1 and "+c" in found.first()["response"]
+
+
+def test_diffs_of_batches_hold_few_python_values(spark):
+    from tidewater.functions import diffs
+
+    assert diffs.unified_diff.evalType == diffs.similarity_ratio.evalType == 250  # Arrow, not pandas
+    r = [(i, None if i % 7 == 0 else f"a\n{i}\n", None if i % 11 == 0 else f"a\n{i % 5}\n") for i in range(diffs.ROWS * 2 + 3)]
+    df = spark.createDataFrame(r, "i long, a string, b string").coalesce(1)
+    found = df.select("i", diffs.unified_diff("a", "b").alias("d"), diffs.cropped("a", "b").alias("c"), diffs.anchor_lines("a", "b").alias("n"), diffs.similarity_ratio("a", "b").alias("s"), diffs.n_changed_lines("a", "b").alias("k"), diffs.fix_is_proven("a", "b", "b").alias("p"))
+    wanted = [(i, diffs.unified(a, b), diffs.crop(a, b), diffs.anchors(a, b), diffs.similarity(a, b), diffs.changed_lines(a, b), diffs.proof(a, b, b)) for i, a, b in r]
+    assert sorted(((*x[:3], tuple(x[3]), *x[4:]) for x in map(tuple, found.collect())), key=lambda x: x[0]) == wanted
+    assert df.where("false").select(diffs.unified_diff("a", "b")).count() == 0

@@ -1,10 +1,11 @@
-"""Diffs, similarity and windows of changed lines: sequence comparison has no native form, so these are pandas UDFs. Long sequences go to blocks.Matcher."""
+"""Diffs, similarity and windows of changed lines: sequence comparison has no native form, so these are Arrow UDFs of one row at a time. Long sequences go to blocks.Matcher."""
 
 from __future__ import annotations
 
 import difflib
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 from tidewater.functions.blocks import matcher
 
 _TEXTS = T.ArrayType(T.StringType())
+#: Rows whose results a worker holds as Python values.
+ROWS = 200
 
 
 def unified(buggy: str | None, fixed: str | None, name: str = "aie_source", context: int = 3) -> str:
@@ -76,34 +79,29 @@ def crop(buggy: str | None, fixed: str | None, window: int = 20, most_chars: int
     return piece if len(piece) < most_chars or len(piece) < most_share * len(buggy or "") else None
 
 
-@F.pandas_udf(T.StringType())
-def unified_diff(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([unified(x, y) for x, y in zip(a, b)])
+def _each(f: Callable, kind: pa.DataType, returned: T.DataType) -> Callable[..., Column]:
+    """f of each row. Of a batch, which may hold 10,000 rows, the texts of a row are Python's only while it is worked on, and results go to Arrow `ROWS` at a time."""
 
+    def run(*columns: pa.Array) -> pa.Array:
+        pieces, size = [], len(columns[0])
+        for start in range(0, size, ROWS):
+            rows = range(start, min(start + ROWS, size))
+            pieces.append(pa.array([f(*(c[i].as_py() for c in columns)) for i in rows], kind))
+        return pa.concat_arrays(pieces) if pieces else pa.array([], kind)
 
-@F.pandas_udf(T.DoubleType())
-def similarity_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([similarity(x, y) for x, y in zip(a, b)])
+    return F.arrow_udf(run, returned)
 
 
-@F.pandas_udf(T.LongType())
-def n_changed_lines(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([changed_lines(x, y) for x, y in zip(a, b)])
-
-
-@F.pandas_udf(T.StructType([T.StructField("added", _TEXTS), T.StructField("gone", _TEXTS)]))
-def anchor_lines(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([anchors(x, y) for x, y in zip(a, b)], columns=["added", "gone"])
-
-
-@F.pandas_udf(T.BooleanType())
-def fix_is_proven(buggy: pd.Series, fixed: pd.Series, answer: pd.Series) -> pd.Series:
-    return pd.Series([proof(*x) for x in zip(buggy, fixed, answer)])
-
-
-@F.pandas_udf(T.StringType())
-def cropped(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([crop(x, y) for x, y in zip(a, b)])
+unified_diff = _each(lambda a, b: unified(a, b), pa.string(), T.StringType())
+similarity_ratio = _each(lambda a, b: similarity(a, b), pa.float64(), T.DoubleType())
+n_changed_lines = _each(lambda a, b: changed_lines(a, b), pa.int64(), T.LongType())
+fix_is_proven = _each(lambda buggy, fixed, answer: proof(buggy, fixed, answer), pa.bool_(), T.BooleanType())
+cropped = _each(lambda a, b: crop(a, b), pa.string(), T.StringType())
+anchor_lines = _each(
+    lambda a, b: dict(zip(("added", "gone"), anchors(a, b))),
+    pa.struct([("added", pa.list_(pa.string())), ("gone", pa.list_(pa.string()))]),
+    T.StructType([T.StructField("added", _TEXTS), T.StructField("gone", _TEXTS)]),
+)
 
 
 def patched(old: Column, diff: Column) -> Column:
