@@ -72,3 +72,53 @@ def test_rounds_ask_again_what_got_no_answer(spark):
     told = sorted(((r["k"] is None, r["k"] or 0, r["attempt"], r["feedback"], r["accepted"]) for r in log.collect()))
     assert told == [(False, 1, 1, "", False), (False, 1, 2, "bad 1", False), (False, 1, 3, "bad 2", True), (False, 2, 2, "", True), (True, 0, 2, "", False), (True, 0, 3, "bad 2", False), (True, 0, 4, "bad 3", True)]
     assert accepted.count() == 3
+
+
+def test_a_key_takes_few_calls_to_its_state():
+    """Each call goes from the worker to Spark and back; all of a key is one value, its timer included."""
+    calls, timers, kept = collections.Counter(), set(), {}
+
+    class Value:
+        def __init__(self, name):
+            self.name = name
+
+        def __getattr__(self, what):
+            def call(value=None):
+                calls[what] += 1
+                if what in ("update", "put"):
+                    kept[self.name] = value
+                return kept.pop(self.name, None) if what == "clear" else self.name in kept if what == "exists" else kept.get(self.name)
+
+            return call
+
+    class Handle:
+        getValueState = getListState = lambda self, name, shape: Value(name)  # noqa: E731, N815
+
+        def listTimers(self):  # noqa: N802
+            calls["listTimers"] += 1
+            return iter(timers)
+
+        def registerTimer(self, at):  # noqa: N802
+            calls["registerTimer"] += 1
+            timers.add(at)
+
+        def deleteTimer(self, at):  # noqa: N802
+            calls["deleteTimer"] += 1
+            timers.discard(at)
+
+    class Now:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentWatermarkInMs(self):  # noqa: N802
+            return self.at
+
+    p, limits = loops.LoopProcessor(["k"], loops.Limits(3, 10), None), loops.Limits(3, 10)
+    p.init(Handle())
+    records = [(0, 1, None, None, None), (5, 2, False, "no", 1.0), (40, 3, True, None, 1.0)]
+    assert not list(p.handleInputRows(("a",), [dict(zip(("__ms", "id", "ok", "told", "cost"), r)) for r in records], Now(0)))
+    assert timers == {0} and sum(calls.values()) == 3  # read, write, timer
+    out = [(r["attempt"], r["what"], r["__at"], r["feedback"], r["spent"]) for r in p.handleExpiredTimer(("a",), Now(6), None)]
+    assert timers == {15} and sum(calls.values()) == 7
+    out += [(r["attempt"], r["what"], r["__at"], r["feedback"], r["spent"]) for r in p.handleExpiredTimer(("a",), Now(50), None)]
+    assert out == loops.plain_loop(records, limits, 50) and not timers and sum(calls.values()) == 10
