@@ -6,10 +6,11 @@ from pathlib import Path
 
 import duckdb
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators import patterns
+from tidewater.operators import patterns, windows
 
 DATA = Path("/root/testdata/sf0.01")
 
@@ -62,3 +63,33 @@ def test_two_hundred_thousand_keys(spark):
     some = con.execute(f"select doc_id, word from read_parquet('{DATA}/documents.parquet') join k on contains(text, word) where doc_id % 20 = 0").fetchall()  # every 20th document, as SQL tests each key
     assert set(some) == {x for x in got if x[0] % 20 == 0} and len(some) > 10_000
     assert took < 120
+
+
+@pytest.mark.parametrize("at_once", [1, 70, 1 << 19])
+def test_windows_find_what_automata_find(monkeypatch, at_once):
+    monkeypatch.setattr(windows, "BYTES", at_once)
+    r = random.Random(at_once)
+    made = lambda most: "".join(r.choice("ab日é ") for _ in range(r.randint(0, most)))
+    for n_keys in (0, 1, 30, 120):
+        texts, keys = ["", *(made(60) for _ in range(25)), "aaaaaaaaaaaa"], sorted({k for k in (made(14) for _ in range(n_keys)) if k})
+        t, column, found = windows.table(pa.array(keys, pa.string())), pa.array(["before", *texts]).slice(1), []
+        for start, stop in windows.slices(column):
+            rows, names, times, firsts = windows.hits(column.slice(start, stop - start), t)
+            found += zip((rows + start).tolist(), names.to_pylist(), times.tolist(), firsts.tolist())
+        assert sorted(found) == plain_hits(list(enumerate(texts)), keys)
+
+
+def test_windows_compare_bytes_where_hashes_agree(monkeypatch):
+    monkeypatch.setattr(windows._Sums, "hashes", lambda self, at, size, salt=0: at.astype("uint64") * 0 + 7)
+    keys, texts = ["aa", "ab", "abc", "b"], ["abcab", "xaa", ""]
+    rows, names, times, firsts = windows.hits(pa.array(texts), windows.table(pa.array(keys)))
+    assert sorted(zip(rows.tolist(), names.to_pylist(), times.tolist(), firsts.tolist())) == plain_hits(list(enumerate(texts)), keys)
+
+
+def test_passes_do_not_grow_with_the_parts_of_automata(spark):
+    table = spark.range(20_000).selectExpr("concat('word', id) as word").union(spark.sql("select 'w'"))
+    texts = spark.range(300).selectExpr("id", "concat('a word', id * 70, '8 word', id) as text")
+    found = patterns.hits(texts, ["id"], "text", table, "word", 16 << 10)  # 170 kB: eleven automata before
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
+    want = plain_hits([tuple(r) for r in texts.where("id < 4").collect()], [r["word"] for r in table.collect()])
+    assert sorted(map(tuple, found.where("id < 4").collect())) == want
