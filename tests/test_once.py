@@ -113,3 +113,30 @@ def test_diffs_of_batches_hold_few_python_values(spark):
     wanted = [(i, diffs.unified(a, b), diffs.crop(a, b), diffs.anchors(a, b), diffs.similarity(a, b), diffs.changed_lines(a, b), diffs.proof(a, b, b)) for i, a, b in r]
     assert sorted(((*x[:3], tuple(x[3]), *x[4:]) for x in map(tuple, found.collect())), key=lambda x: x[0]) == wanted
     assert df.where("false").select(diffs.unified_diff("a", "b")).count() == 0
+
+
+def test_patterns_are_tried_where_their_words_are(spark):
+    from tidewater.functions import code as C
+    from tidewater.functions import recipes
+    from tidewater.functions import screens as S
+
+    kernel = "void k(input_stream<int16>* in, // first\n  aie::vector<int16, 8>& v) { readincr_v8(in); x<int>::run(y) { } aie::mul(a); aie::mul(b); upd_v(1); srs mul4 mac4_x; }"
+    texts = [None, "", "void", "void f() {", "void f()", "avoid f(int a) {}", "a<b>::c (int d, e<f, g>& h) {\n}", "template<a>::b; void (x) {", "x<y>::\nz(a) {", "avoid aie:: readincrs connect<> connect<a<b>>x bank(1) tile location runtime<ratio> initialization_functions",
+             "\tinput_port a, b;\ninput_ports c;\n output_plio d\n ;x input_plio e;", "kernel::create_object<k>(1) kernel::creat kernel::create(a)", "dimensions(a) = {64}; dimensions(b) = { 64 }; dimensions() = {1}; connect<window< 256 >>(x); connect<window<>>; begin_vector<8>(y) begin_vector<a>", "aie::multiply", "xmac4 simul4", recipes.GRAPH, kernel, kernel * 2]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, c string").repartition(2)
+    c, every = F.col("c"), lambda p, g=0: F.regexp_extract_all("c", F.lit(p), F.lit(g))
+    plain_ports = F.when(c.rlike(S.KERNEL_PARAMETERS), F.transform(C.listed(F.regexp_replace(F.regexp_extract("c", S.KERNEL_PARAMETERS, 1), r"(?d)//.*", "")), S.one_space))
+    trimmed = lambda a: F.transform(a, S.strip)
+    plain = {
+        "intrinsics": F.array_distinct(F.concat(F.array().cast("array<string>"), F.transform(every(r"aie::([A-Za-z_][A-Za-z0-9_]*)", 1), lambda x: F.concat(F.lit("aie::"), x)), *[every(p) for p in C.INTRINSICS])),
+        "parameters": plain_ports, "declarations": trimmed(F.transform(F.concat(*[every(rf"(?m)^[ \t]*({k}\b[^;]*;)", 1) for k in S.PORT_KEYWORDS]), S.one_space)), "n_kernels": F.regexp_count("c", F.lit(S.KERNEL_MADE)),
+        "dimensions": F.array_distinct(trimmed(every(S.DIMENSIONS, 1))), "windows": trimmed(every(S.WINDOWS, 1)), "lanes": F.array_distinct(trimmed(every(S.LANES, 1))),
+    }
+    found = df.select("i", C.intrinsics(c, F.lit(None).cast("string")).alias("intrinsics"), S.kernel_ports(c).alias("parameters"), S.graph_ports(c).alias("p"), S.buffers(c).alias("b")).select("i", "intrinsics", "parameters", "p.*", "b.*")
+    wanted = df.select("i", *[p.alias(n) for n, p in plain.items()])
+    assert found.columns == wanted.columns and [f.dataType for f in found.schema] == [f.dataType for f in wanted.schema]
+    assert found.orderBy("i").collect() == wanted.orderBy("i").collect()
+    flags = lambda found: [r[0] for r in df.orderBy("i").select(S.constraint_flags(c, F.lit("kernel_type"), F.array(F.lit("Stream")), found)).collect()]
+    assert flags(S.limiting_intrinsics(c)) == flags(C.intrinsics(c, F.lit(None).cast("string"))) and sum("simd" in (f or []) for f in flags(S.limiting_intrinsics(c))) == 3
+    assert _plan(df.select(C.intrinsics(c, F.lit(None).cast("string")))).count("Contains(") == len(C.INTRINSICS) + 1  # each pattern was tried at every place of every text
+    assert _plan(df.select(S.kernel_ports(c))).count("(c#") == 3  # two words and one pattern see the whole text; two patterns did

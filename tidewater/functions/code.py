@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewater.functions.text import lines, once, one_space, or_text, strip, strip_right
+from tidewater.functions.text import all_said, lines, once, one_space, or_text, strip, strip_right
 
 # Words and patterns that results depend on.
 GRAPH_PATTERNS = (r"class\s+\w+\s*:\s*public\s+(?:adf::)?graph", r"\binput_plio\b", r"\boutput_plio\b", r"\bconnect<", r"\bkernel::create", r"\bdimensions\(")
@@ -60,9 +62,14 @@ def vector_types(code: Column, header_value: Column) -> Column:
     return F.array_distinct(F.transform(found, cpp_type))
 
 
+def _word(pattern: str) -> str:
+    """The word that a pattern of INTRINSICS begins with, so that all its matches hold it."""
+    return re.match(r"\\b(\w+?)(?:\\b|\(\?:)", pattern)[1]
+
+
 def intrinsics(code: Column, header_value: Column) -> Column:
-    named = F.transform(F.regexp_extract_all(code, F.lit(r"aie::([A-Za-z_][A-Za-z0-9_]*)"), F.lit(1)), lambda x: F.concat(F.lit("aie::"), x))
-    return F.array_distinct(F.concat(listed(header_value), named, *[_found(code, p) for p in INTRINSICS]))
+    named = F.transform(all_said(code, ("aie::",), r"aie::([A-Za-z_][A-Za-z0-9_]*)", 1), lambda x: F.concat(F.lit("aie::"), x))
+    return F.array_distinct(F.concat(listed(header_value), named, *[all_said(code, (_word(p),), p) for p in INTRINSICS]))
 
 
 def interface_types(code: Column, header_value: Column) -> Column:

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewater.functions.code import SUFFIXES, any_of, edge_fences, listed, project_files
-from tidewater.functions.text import lines, once, one_space, strip
+from tidewater.functions.code import SUFFIXES, any_of, edge_fences, intrinsics, listed, project_files
+from tidewater.functions.text import all_said, if_said, lines, once, one_space, strip
 
 # Detector words and gate patterns.
 COMPUTE_PATTERNS = {
@@ -42,6 +42,7 @@ PROJECT_MUST_NOT = {
 KERNEL_PARAMETERS = r"(?s)(?:\b\w+(?:::\w+)?\s*<[^>]+>::\w+|\bvoid\s+\w+)\s*\((.*?)\)\s*\{"
 PORT_KEYWORDS, KERNEL_MADE = ("input_port", "output_port", "input_plio", "output_plio"), r"kernel::create(?:_object)?"
 DIMENSIONS, WINDOWS, LANES = r"dimensions\([^\)]+\)\s*=\s*\{([^}]+)\}", r"connect<window<\s*([^>]+?)\s*>>", r"begin_vector<\s*(\d+)\s*>"
+SIMD_WORDS = ("mul4", "mac4", "aie::mul", "aie::add")
 ANCHOR_CLASS = r"\bclass\s+([A-Za-z_][A-Za-z0-9_]*)"
 ANCHOR_FUNCTION = r"\b(?:void|int|float|cint32|cint16|int16|int32|uint16|uint32|bfloat16|bool)\s+([A-Za-z_][A-Za-z0-9_]*)\s*\("
 ANCHOR_NAME = r"\b(?:in_iter|out_iter|in_stream|out_stream|buf|coeff|delay_line|acc|window|stream)[A-Za-z0-9_]*"
@@ -216,26 +217,27 @@ def quality_score(logical_ok: Column, verdict: Column, changed: Column) -> Colum
 
 def kernel_ports(code: Column) -> Column:
     """Parameters of the first function, without comments; null without a function."""
-    params = F.regexp_extract(code, KERNEL_PARAMETERS, 1)
-    return F.when(code.rlike(KERNEL_PARAMETERS), F.transform(listed(F.regexp_replace(params, r"(?d)//.*", "")), one_space))
+    params = lambda head: F.regexp_replace(F.regexp_extract(head, KERNEL_PARAMETERS, 1), r"(?d)//.*", "")
+    first = if_said(code, ("void", ">::"), F.regexp_extract(code, KERNEL_PARAMETERS, 0), F.lit(""))
+    return once(first, lambda head: F.when(head != "", F.transform(listed(params(head)), one_space)))
 
 
 def graph_ports(code: Column) -> Column:
     """struct of port declarations (by keyword, then place) and the number of kernels that are made."""
-    found = [F.regexp_extract_all(code, F.lit(rf"(?m)^[ \t]*({k}\b[^;]*;)"), F.lit(1)) for k in PORT_KEYWORDS]
-    return F.struct(F.transform(F.concat(*found), lambda x: strip(one_space(x))).alias("declarations"), F.regexp_count(code, F.lit(KERNEL_MADE)).alias("n_kernels"))
+    found = [all_said(code, (k,), rf"(?m)^[ \t]*({k}\b[^;]*;)", 1) for k in PORT_KEYWORDS]
+    return F.struct(F.transform(F.concat(*found), lambda x: strip(one_space(x))).alias("declarations"), if_said(code, ("kernel::create",), F.regexp_count(code, F.lit(KERNEL_MADE)), F.lit(0)).alias("n_kernels"))
 
 
 def buffers(code: Column) -> Column:
     """struct of graph dimensions (distinct), window sizes and vector lanes (distinct)."""
-    of = lambda p: F.transform(F.regexp_extract_all(code, F.lit(p), F.lit(1)), strip)
-    return F.struct(F.array_distinct(of(DIMENSIONS)).alias("dimensions"), of(WINDOWS).alias("windows"), F.array_distinct(of(LANES)).alias("lanes"))
+    of = lambda word, p: F.transform(all_said(code, (word,), p, 1), strip)
+    return F.struct(F.array_distinct(of("dimensions(", DIMENSIONS)).alias("dimensions"), of("connect<window<", WINDOWS).alias("windows"), F.array_distinct(of("begin_vector<", LANES)).alias("lanes"))
 
 
 def constraint_flags(code: Column, artifact_type: Column, interfaces: Column, intrinsics: Column) -> Column:
     """Names of what limits an artifact, in order; `default` if nothing does."""
     graph, has = artifact_type == "graph_type", lambda *w: any_of(code, w)
-    simd = F.exists(intrinsics, lambda x: any_of(x, ("mul4", "mac4", "aie::mul", "aie::add")))
+    simd = F.exists(intrinsics, lambda x: any_of(x, SIMD_WORDS))
     limits = F.array_compact(F.array(
         F.when(graph & has("connect<cascade>"), "cascade"), F.when(graph & has("location<kernel>", "bank("), "placement"), F.when(graph & has("runtime<ratio>"), "runtime_ratio"), F.when(graph & F.array_contains(interfaces, "PLIO"), "plio"),
         F.when(~graph & simd, "simd"), F.when(~graph & has("chess_prepare_for_pipelining", "chess_loop_range"), "pipelining"), F.when(~graph & F.array_contains(interfaces, "Stream"), "stream_balance"), F.when(~graph & F.array_contains(interfaces, "Window"), "window_alignment"),
@@ -243,6 +245,11 @@ def constraint_flags(code: Column, artifact_type: Column, interfaces: Column, in
     return once(limits, lambda found: F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("default"))))
 
 
+def limiting_intrinsics(code: Column) -> Column:
+    """The intrinsics of a code for constraint_flags: each is a part of the code, so none is looked for in a code without the words that the flags hang on."""
+    return if_said(code, SIMD_WORDS, intrinsics(code, F.lit(None).cast("string")), F.array().cast("array<string>"))
+
+
 def worded(flags: Column, sentences: dict[str, str]) -> Column:
     """One text of the sentences of flags."""
     return F.array_join(F.transform(flags, lambda f: F.create_map(*[x for k, v in sentences.items() for x in (F.lit(k), F.lit(v))])[f]), " ")

@@ -90,6 +90,19 @@ def once(column: Column, used: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(column), used)[0]
 
 
+def if_said(column: Column, words: tuple[str, ...], found: Column, other: Column) -> Column:
+    """found (null of a null text) for texts with one of the words, else other: for patterns whose matches all hold a word, as looking for words costs a hundredth of trying a pattern at each place."""
+    said = F.contains(column, F.lit(words[0]))
+    for w in words[1:]:
+        said = said | F.contains(column, F.lit(w))
+    return F.when(~said, other).otherwise(found)
+
+
+def all_said(column: Column, words: tuple[str, ...], pattern: str, group: int = 0) -> Column:
+    """All matches of a pattern (their group), each of which holds one of the words."""
+    return if_said(column, words, F.regexp_extract_all(column, F.lit(pattern), F.lit(group)), F.array().cast("array<string>"))
+
+
 def normalized(column: Column) -> Column:
     """Lower case, no // and /* */ comments (in this order), numbers as <n>, single spaces."""
     c = F.regexp_replace(F.lower(column), r"(?d)//.*", "")
