@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import patterns, windows
+from tidewater.plans import catalog
 
 DATA = Path("/root/testdata/sf0.01")
 
@@ -93,3 +94,55 @@ def test_passes_do_not_grow_with_the_parts_of_automata(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
     want = plain_hits([tuple(r) for r in texts.where("id < 4").collect()], [r["word"] for r in table.collect()])
     assert sorted(map(tuple, found.where("id < 4").collect())) == want
+
+
+@pytest.mark.parametrize("part_bytes", [20, 1 << 20])
+def test_lists_hold_a_texts_keys_in_order(spark, part_bytes):
+    r = random.Random(5)
+    made = lambda most: "".join(r.choice("ab日é  ") for _ in range(most))
+    for least, spaced in ((0, True), (1, False), (6, False)):
+        keys = [None, *(made(r.randint(least, 12)) for _ in range(100))]
+        keys = [k for k in keys if k is None or (len(k) >= least and (spaced or " " not in k))]
+        rows = [*enumerate([None, "", " ", "  a", *(made(r.randint(0, 90)) for _ in range(60)), *(f"x{k} {k} {k}" for k in keys[1:20])]), (5, " ".join(k for k in keys if k))]
+        frame, table = spark.createDataFrame(rows, "id long, text string"), spark.createDataFrame([(k,) for k in keys], "word string")
+        found = patterns.lists(frame, ["id"], "text", table, "word", part_bytes).collect()
+        want = {}
+        for at, (i, text) in enumerate(rows):
+            for _, k, _, first in sorted(plain_hits([(i, text)], keys), key=lambda h: h[1].encode()):
+                want.setdefault((at, i), []).append((k, first))
+        assert sorted((x["id"], list(zip(x["word"], x["firsts"]))) for x in found) == sorted((i, met) for (_, i), met in want.items())
+        assert sorted(map(tuple, patterns.hits(frame, ["id"], "text", table, "word", part_bytes).collect())) == plain_hits(rows, keys)
+
+
+def test_a_piece_of_many_texts_is_searched_once():
+    seen = []
+    t = windows.table(pa.array(["abcdef", "cdefgh"]))
+    search = lambda texts: seen.extend(texts.to_pylist()) or windows.met(texts, t)
+    texts = ["abcdefgh abc", "", "é abcdefgh abcdefgh", "abcdef"] * 40
+    rows, keys, times, firsts = windows.merged(*windows.in_pieces(pa.array(texts), 6, search))
+    assert sorted(seen) == ["abcdef", "abcdefgh"]
+    assert sorted(zip(rows.tolist(), t.names(keys).to_pylist(), times.tolist(), firsts.tolist())) == plain_hits(list(enumerate(texts)), ["abcdef", "cdefgh"])
+
+
+def test_texts_of_one_row_group_are_dealt_over_tasks(spark):
+    frame, table = spark.range(300).selectExpr("id", "concat('a word', id) as text").coalesce(1), spark.createDataFrame([("word7",)], "word string")
+    for found in (patterns.hits(frame, ["id"], "text", table, "word"), patterns.lists(frame, ["id"], "text", table, "word")):
+        assert found.selectExpr("spark_partition_id() as part").distinct().count() > 8
+
+
+@pytest.mark.parametrize("ids", [[1, 2, 3, None, 5, 6], [1, 2, 2, None, None, 2]])
+def test_words_in_texts_read_whole_tables_and_join_no_hits(spark, tmp_path, ids):
+    texts = ["eins zweidrei vierfünf zweidrei", "xzweidreixx", "vierfünf und zweidrei", "nothing", None, "ünfsechs\nsieben vierfünfsechs\nsiebenacht"]
+    said = ["zweidrei vierfünf eins", None, "fünfsechs\nsieben xzweidreix", "dreivier zweidrei"]
+    texts, ids = texts + [f"nr{i}zweidrei vierfünf" for i in range(3000)], ids + list(range(10, 3010))
+    said += [f"word nr{i}zwei" for i in range(0, 3000, 7)]
+    con = duckdb.connect()
+    for name, frame in (("documents", pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "text": texts})), ("conversations", pd.DataFrame({"conv_id": range(len(said)), "text": said}))):
+        con.register("f", frame)
+        con.execute(f"copy f to '{tmp_path}/{name}.parquet' (format parquet)")
+        con.execute(f"create view {name} as select * from read_parquet('{tmp_path}/{name}.parquet')")
+    got = catalog.words_in_texts(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(con.execute(catalog.ORACLES["words_in_texts"]).fetchall(), key=str)
+    if len(set(ids)) == len(ids):
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and "Aggregate" not in plan and "Join" not in plan
